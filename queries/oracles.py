@@ -344,7 +344,7 @@ OIL_NUMBERED = """oil_n AS (
   SELECT *, CAST(date_diff('day', (SELECT min(date) FROM oil), date) AS INTEGER) AS date_numeric FROM oil)"""
 OIL_FILLED = cubic("oil_filled", "oil_n", "dcoilwtico", "dcoilwtico_filled")
 OIL_PCHIP = with_(OIL, OIL_NUMBERED, OIL_FILLED) + """
-SELECT date, ROUND(dcoilwtico, 3) AS dcoilwtico, date_numeric, ROUND(dcoilwtico_filled, 3) AS dcoilwtico_filled
+SELECT date, ROUND(dcoilwtico, 6) AS dcoilwtico, date_numeric, ROUND(dcoilwtico_filled, 6) AS dcoilwtico_filled
 FROM oil_filled"""
 
 SPINE = """spine AS (
@@ -353,11 +353,11 @@ SPINE = """spine AS (
 oil_full AS (SELECT date, dcoilwtico, dcoilwtico_filled FROM spine LEFT JOIN oil_filled USING (date))"""
 OIL_DENSE = (
     with_(OIL, OIL_NUMBERED, OIL_FILLED, SPINE, cubic("dense", "oil_full", "dcoilwtico_filled", "dcoilwtico_complete"))
-    + f"SELECT date, {rounded('dcoilwtico', 3)}, {rounded('dcoilwtico_filled', 3)}, {rounded('dcoilwtico_complete', 3)}"
+    + f"SELECT date, {rounded('dcoilwtico', 6)}, {rounded('dcoilwtico_filled', 6)}, {rounded('dcoilwtico_complete', 6)}"
     + " FROM dense"
 )
 OIL_REVIEW = with_(OIL, OIL_NUMBERED, OIL_FILLED) + f"""
-SELECT date, ROUND(dcoilwtico, 3) AS value, ROUND(dcoilwtico_filled, 3) AS filled, dcoilwtico IS NULL AS is_filled,
+SELECT date, ROUND(dcoilwtico, 6) AS value, ROUND(dcoilwtico_filled, 6) AS filled, dcoilwtico IS NULL AS is_filled,
        date BETWEEN {LO} AND {HI} AS in_zoom FROM oil_filled"""
 
 ITEM_PRICE_DENSE = (
@@ -369,8 +369,8 @@ price_full AS (SELECT item_nbr, date, price, price_filled FROM spine LEFT JOIN p
 """
     + cubic("price_c", "price_full", "price_filled", "price_complete", "item_nbr")
     + """
-SELECT item_nbr, date, ROUND(price, 3) AS price, ROUND(price_filled, 3) AS price_filled,
-       ROUND(price_complete, 3) AS price_complete FROM price_c"""
+SELECT item_nbr, date, ROUND(price, 6) AS price, ROUND(price_filled, 6) AS price_filled,
+       ROUND(price_complete, 6) AS price_complete FROM price_c"""
 )
 
 GAPS = """every_day AS (

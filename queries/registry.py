@@ -317,19 +317,19 @@ def seasonality_by_store(spark: SparkSession, d: str) -> DataFrame:
 @query(sql.OIL_PCHIP)
 def oil_pchip(spark: SparkSession, d: str) -> DataFrame:
     """TS-1."""
-    return rounded(fill_oil_pchip(v.oil(spark, d)), 3)
+    return rounded(fill_oil_pchip(v.oil(spark, d)))
 
 
 @query(sql.OIL_DENSE)
 def oil_dense(spark: SparkSession, d: str) -> DataFrame:
     """TS-2, JOIN-8."""
-    return rounded(fill_time_series_full_range(fill_oil_pchip(v.oil(spark, d))), 3)
+    return rounded(fill_time_series_full_range(fill_oil_pchip(v.oil(spark, d))))
 
 
 @query(sql.OIL_REVIEW)
 def oil_interpolation_review(spark: SparkSession, d: str) -> DataFrame:
     """TS-3."""
-    return rounded(oil_review(fill_oil_pchip(v.oil(spark, d)), zoom=SLICE), 3)
+    return rounded(oil_review(fill_oil_pchip(v.oil(spark, d)), zoom=SLICE))
 
 
 @query(sql.ITEM_PRICE_DENSE)
@@ -340,8 +340,7 @@ def item_price_dense(spark: SparkSession, d: str) -> DataFrame:
     return rounded(
         fill_time_series_full_range(
             filled, "price", filled_col="price_filled", complete_col="price_complete", partition_cols=keys
-        ),
-        3,
+        )
     )
 
 

@@ -65,11 +65,14 @@ STORES = """stores AS (
 
 
 def oil(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A daily price with holes: weekdays only, NULL on every fifth day of the month and on the first days."""
+    """A daily price with holes: weekdays only, NULL on every fifth day of the month and on the first days.
+
+    The square root keeps interpolated values off decimal ties, where two engines may round apart.
+    """
     price = (
         table(spark, sf_dir, "orders")
         .groupBy(F.col("o_orderdate").cast("date").alias("date"))
-        .agg(F.max("o_totalprice").alias("price"))
+        .agg(F.sqrt(F.max("o_totalprice")).alias("price"))
         .where(F.weekday("date") < 5)
     )
     first = price.agg(F.min("date")).scalar()
@@ -78,7 +81,7 @@ def oil(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OIL = """oil_days AS (
-  SELECT CAST(o_orderdate AS DATE) AS date, MAX(o_totalprice) AS price FROM orders
+  SELECT CAST(o_orderdate AS DATE) AS date, sqrt(MAX(o_totalprice)) AS price FROM orders
   WHERE isodow(CAST(o_orderdate AS DATE)) < 6 GROUP BY 1),
 oil AS (
   SELECT date, CASE WHEN date_diff('day', (SELECT MIN(date) FROM oil_days), date) < 3
@@ -207,12 +210,12 @@ def store_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         lineitem.join(part, lineitem.l_partkey == part.p_partkey)
         .groupBy(_item().alias("item_nbr"), F.col("l_shipdate").cast("date").alias("date"))
-        .agg(F.max("l_extendedprice").alias("price"))
+        .agg(F.sqrt(F.max("l_extendedprice")).alias("price"))
         .withColumn("price", F.when(F.dayofmonth("date") % 3 != 0, F.col("price")))
     )
 
 
 STORE_PRICES = """store_prices AS (
   SELECT CAST(substr(p_brand, 7) AS INTEGER) AS item_nbr, CAST(l_shipdate AS DATE) AS date,
-         CASE WHEN extract(day FROM CAST(l_shipdate AS DATE)) % 3 <> 0 THEN MAX(l_extendedprice) END AS price
+         CASE WHEN extract(day FROM CAST(l_shipdate AS DATE)) % 3 <> 0 THEN sqrt(MAX(l_extendedprice)) END AS price
   FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2)"""

@@ -21,6 +21,9 @@ SEASONAL_FEATURES = [
     "week_of_year", "seasonal_idx_w", "month_of_year", "seasonal_idx_m", "regular_coeff_w", "regular_coeff_m",
 ]
 
+#: Helper columns of a table of totals.
+_TOTALS = ["_total", "_known", "_first_date"]
+
 _PERIODS = {"w": ("week_of_year", F.weekofyear), "m": ("month_of_year", F.month)}
 
 
@@ -62,50 +65,62 @@ def period_totals(
     return rows.groupBy(*partition_cols, "year", *names).agg(
         F.sum(F.col(target_col).cast("double")).alias("_total"),
         F.count(target_col).alias("_known"),
-        F.min("date").alias("_first"),
+        F.min("date").alias("_first_date"),
     )
 
 
-def seasonal_index(totals: DataFrame, kind: str, partition_cols: Sequence[str] = ()) -> DataFrame:
-    """Mean of the period over mean of the year, per (year, period), from the totals."""
-    name = _PERIODS[kind][0]
+def with_index(table: DataFrame, kind: str, partition_cols: Sequence[str] = ()) -> DataFrame:
+    """Add the seasonal index to a table of totals: mean of the period over mean of the year."""
     year = [*partition_cols, "year"]
-    in_year = Window.partitionBy(*year)
-    year_mean = F.try_divide(F.sum("_t").over(in_year), F.sum("_k").over(in_year))
-    return (
-        totals.groupBy(*year, name)
-        .agg(F.sum("_total").alias("_t"), F.sum("_known").alias("_k"))
-        .withColumn("_year_mean", year_mean)
-        .where(F.col("year").isNotNull() & F.col(name).isNotNull())
-        .select(*year, name, F.try_divide(F.try_divide("_t", "_k"), "_year_mean").alias(f"seasonal_idx_{kind}"))
-    )
+    means = []
+    for keys in ([*year, _PERIODS[kind][0]], year):
+        w = Window.partitionBy(*keys)
+        means.append(F.try_divide(F.sum("_total").over(w), F.sum("_known").over(w)))
+    return table.withColumn(f"seasonal_idx_{kind}", F.try_divide(*means))
 
 
-def regular_coefficient(
-    index: DataFrame, kind: str, partition_cols: Sequence[str] = (), decay: str = "oldest"
+def with_coefficient(
+    table: DataFrame,
+    kind: str,
+    partition_cols: Sequence[str] = (),
+    decay: str = "oldest",
+    inside: Column | None = None,
+    name: str = "regular_coeff",
 ) -> DataFrame:
-    """WIN-9/10 on the (year, period) table: weighted mean of the same period's index in earlier years.
+    """WIN-9/10 on a table of periods: weighted mean of the same period's index in earlier years.
 
     The latest earlier year weighs 0.8. The others share 0.2 with weights that fall by a factor e per year, from the
-    oldest year up (``decay="oldest"``) or from the most recent of them down (``decay="recent"``).
+    oldest year up (``decay="oldest"``) or from the most recent of them down (``decay="recent"``). Years that are not
+    ``inside`` neither count nor get a value. A period that has several rows in the table (weeks cut by the end of a
+    month) counts once.
     """
     if decay not in ("oldest", "recent"):
         raise ValueError("decay must be 'oldest' or 'recent'")
-    name, value = _PERIODS[kind][0], F.col(f"seasonal_idx_{kind}")
-    w = Window.partitionBy(*partition_cols, name).orderBy("year")
+    period, value = _PERIODS[kind][0], F.col(f"seasonal_idx_{kind}")
+    rows_of_period = Window.partitionBy(*partition_cols, "year", period)
+    others = [n for n, _ in _PERIODS.values() if n in table.columns and n != period]
+    counted = F.lit(True) if inside is None else inside
+    if others:
+        counted = counted & (F.row_number().over(rows_of_period.orderBy(*others)) == 1)
+    w = Window.partitionBy(*partition_cols, period, "_counted").orderBy("year")
     older = w.rowsBetween(Window.unboundedPreceding, -2)
     earlier = w.rowsBetween(Window.unboundedPreceding, -1)
     # Only the ratio of the weights counts, so a common factor may be left in: e^-j from one end, e^j from the other.
     weight = F.exp(-F.col("_n") if decay == "oldest" else F.col("_n"))
     latest = F.lag(value).over(w)
-    mixed = F.lit(LATEST_SHARE) * latest + F.lit(OLDER_SHARE) * (F.sum(weight * value).over(older) / F.sum(weight).over(older))
+    old_mean = F.try_divide(F.sum(weight * value).over(older), F.sum(weight).over(older))
     complete = F.count(value).over(earlier) == F.col("_n") - 1
-    coefficient = F.when(F.col("_n") == 2, latest).when((F.col("_n") > 2) & complete, mixed)
-    return (
-        index.withColumn("_n", F.row_number().over(w))
-        .withColumn("regular_coeff", coefficient)
-        .drop("_n")
+    coefficient = F.when(F.col("_n") == 2, latest).when(
+        (F.col("_n") > 2) & complete, F.lit(LATEST_SHARE) * latest + F.lit(OLDER_SHARE) * old_mean
+    )
+    table = (
+        table.withColumn("_counted", F.coalesce(counted, F.lit(False)))
+        .withColumn("_n", F.row_number().over(w))
+        .withColumn(name, F.when(F.col("_counted"), coefficient))
     )
+    if others:
+        table = table.withColumn(name, F.max(name).over(rows_of_period))
+    return table.drop("_counted", "_n")
 
 
 def _small(partition_cols: Sequence[str]) -> bool:
@@ -116,18 +131,15 @@ def _small(partition_cols: Sequence[str]) -> bool:
 def _add_index(df, kind, start_year, end_year, target_col, partition_cols) -> DataFrame:
     df = _with_period_columns(df, kind)
     totals = period_totals(df, [kind], target_col, start_year, end_year, partition_cols)
-    index = seasonal_index(totals, kind, partition_cols)
-    on = [*partition_cols, "year", _PERIODS[kind][0]]
-    return _back(df, [(index, on)], partition_cols)
+    return _back(df, with_index(totals, kind, partition_cols), [kind], partition_cols)
 
 
-def _back(df: DataFrame, tables: Sequence[tuple[DataFrame, list[str]]], partition_cols: Sequence[str]) -> DataFrame:
-    """JOIN-10: join small aggregates back to their rows, keeping the column order."""
-    columns = list(df.columns)
-    for table, on in tables:
-        columns += [c for c in table.columns if c not in on]
-        df = attach(df, table, on, small=_small(partition_cols))
-    return df.select(*columns)
+def _back(df: DataFrame, table: DataFrame, kinds: Sequence[str], partition_cols: Sequence[str]) -> DataFrame:
+    """JOIN-10: join a small table of periods back to the rows, keeping the column order."""
+    on = [*partition_cols, "year", *[_PERIODS[kind][0] for kind in kinds]]
+    added = [c for c in table.columns if c not in on and c not in _TOTALS]
+    joined = attach(df, table.select(*on, *added), on, small=_small(partition_cols))
+    return joined.select(*df.columns, *added)
 
 
 def add_seasonal_idx_w(
@@ -159,20 +171,16 @@ def _add_coefficient(
 ) -> DataFrame:
     df = _with_period_columns(df, kind)
     name, index_col = _PERIODS[kind][0], f"seasonal_idx_{kind}"
-    on = [*partition_cols, "year", name]
     inside = _year_range(start_year, end_year)
     rows = df if inside is None else df.where(inside)
     if index_col in df.columns:
-        known = rows.where(F.col("year").isNotNull() & F.col(name).isNotNull())
-        index = known.groupBy(*on).agg(F.avg(index_col).alias(index_col))
-        table = regular_coefficient(index, kind, partition_cols, decay).drop(index_col)
+        table = rows.groupBy(*partition_cols, "year", name).agg(F.avg(index_col).alias(index_col))
+        table = with_coefficient(table, kind, partition_cols, decay).drop(index_col)
     else:
         # The index is constant within (year, period): its own table stands for the rows.
-        index = seasonal_index(period_totals(df, [kind], target_col, partition_cols=partition_cols), kind, partition_cols)
-        table = regular_coefficient(index if inside is None else index.where(inside), kind, partition_cols, decay)
-        if inside is not None and not drop_out_of_range:
-            table = index.join(table.drop(index_col), on, "left")
-    return _back(rows if drop_out_of_range else df, [(table, on)], partition_cols)
+        table = with_index(period_totals(df, [kind], target_col, partition_cols=partition_cols), kind, partition_cols)
+        table = with_coefficient(table, kind, partition_cols, decay, inside)
+    return _back(rows if drop_out_of_range else df, table, [kind], partition_cols)
 
 
 def add_regular_coeff_w(
@@ -216,20 +224,22 @@ def create_seasonality_features(
 ) -> DataFrame:
     """WIN-11: both indices and both coefficients, from one pass over the fact table.
 
-    ``totals`` may bring the result of that pass (``seasonal_totals``), when the caller reads it for more.
+    ``totals`` may bring the result of that pass (``seasonal_totals``); further columns it has, named with a leading
+    underscore, come along to the rows.
     """
     df = _with_period_columns(df, "w", "m")
     if totals is None:
         totals = seasonal_totals(df, start_year, end_year, target_col=target_col, partition_cols=partition_cols)
-    tables = []
+    table = totals
+    for kind in ("w", "m"):
+        table = with_index(table, kind, partition_cols)
     for kind in ("w", "m"):
-        on = [*partition_cols, "year", _PERIODS[kind][0]]
-        table = regular_coefficient(seasonal_index(totals, kind, partition_cols), kind, partition_cols, decay)
-        tables.append((table.withColumnRenamed("regular_coeff", f"regular_coeff_{kind}"), on))
+        table = with_coefficient(table, kind, partition_cols, decay, name=f"regular_coeff_{kind}")
     inside = _year_range(start_year, end_year)
     rows = df.where(inside) if drop_out_of_range and inside is not None else df
     base = [c for c in df.columns if c not in SEASONAL_FEATURES]
-    return _back(rows, tables, partition_cols).select(*base, *SEASONAL_FEATURES)
+    carried = [c for c in totals.columns if c.startswith("_") and c not in _TOTALS]
+    return _back(rows, table, ["w", "m"], partition_cols).select(*base, *SEASONAL_FEATURES, *carried)
 
 
 def seasonal_totals(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfline.config import Features
@@ -64,12 +64,14 @@ def make_features(
     if visible_from is not None:
         start = F.lit(visible_from)
         wide, rows = wide.where(F.col("date") >= start), rows.where(F.col("date") >= start)
-    # Origin and means come from one aggregate pass over the input rows, which reads two columns and skips the windows.
-    totals = seasonal_totals(rows)
-    dated, calendar = extract_date_features(wide, start=totals.agg(F.min("_first")).scalar())
-    seasonal = create_seasonality_features(dated, totals=totals)
+    # The seasonal pass over the input rows also finds the first date, which comes back with the same join. Its table
+    # has a few rows per month, so the window over all of it is small.
+    whole = Window.partitionBy(F.lit(0))
+    totals = seasonal_totals(rows).withColumn("_origin", F.min("_first_date").over(whole))
+    seasonal = create_seasonality_features(wide, totals=totals)
+    dated, calendar = extract_date_features(seasonal, start=F.col("_origin"))
     base = [c for c in df.columns if c not in (*names, *calendar, *SEASONAL_FEATURES)]
-    return seasonal.select(*base, *calendar, *SEASONAL_FEATURES, *names)
+    return dated.select(*base, *calendar, *SEASONAL_FEATURES, *names)
 
 
 def slice_features(
