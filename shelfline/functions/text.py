@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import unicodedata
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Prefixes of Spanish holiday descriptions, by holiday type.
@@ -25,12 +25,16 @@ ROLES = {
 }
 
 # A description that ends in a signed day offset.
-OFFSET_SUFFIX = r"^(.*?)([+-][0-9]+)$"
+OFFSET_SUFFIX = r"([+-][0-9]+)$"
 
-#: Latin letters whose ASCII form has more than one letter or no canonical decomposition.
-SPECIAL_LETTERS = {
-    "ß": "ss", "æ": "ae", "œ": "oe", "þ": "th", "ð": "d", "ø": "o", "đ": "d", "ł": "l", "ħ": "h", "ı": "i",
-}
+# The white space characters of Unicode.
+WHITE_SPACE = " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + (
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
+#: Latin letters without a canonical decomposition: one ASCII letter, or several.
+SINGLE_LETTERS = {"ø": "o", "Ø": "O", "đ": "d", "Đ": "D", "ð": "d", "Ð": "D", "ł": "l", "Ł": "L", "ħ": "h", "ı": "i"}
+LETTER_PAIRS = {"ß": "ss", "æ": "ae", "œ": "oe", "þ": "th"}
 
 
 def _accented_letters() -> tuple[str, str]:
@@ -42,6 +46,8 @@ def _accented_letters() -> tuple[str, str]:
         if len(plain) == 1 and plain.isascii() and plain != letter:
             accented.append(letter)
             base.append(plain)
+    accented += SINGLE_LETTERS.keys()
+    base += SINGLE_LETTERS.values()
     return "".join(accented), "".join(base)
 
 
@@ -50,35 +56,45 @@ _ACCENTED, _BASE = _accented_letters()
 
 def strip(text: Column) -> Column:
     """Trim white space of any kind, not only blanks."""
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    return F.btrim(text, F.lit(WHITE_SPACE))
 
 
 def ascii_key(text: Column) -> Column:
     """STR-2: Latin accents off, lower case, trimmed, inner white space collapsed to one blank."""
     plain = F.lower(F.translate(F.regexp_replace(text, r"\p{M}", ""), _ACCENTED, _BASE))
-    for letter, letters in SPECIAL_LETTERS.items():
+    for letter, letters in LETTER_PAIRS.items():
         plain = F.replace(plain, F.lit(letter), F.lit(letters))
-    return F.regexp_replace(strip(plain), r"(?U)\s+", " ")
+    return strip(F.regexp_replace(plain, f"[{WHITE_SPACE}]+", " "))
+
 
+def parse_descriptions(df: DataFrame, type_col: str = "type", description: str = "description") -> DataFrame:
+    """STR-1 and STR-2: add ``role, anchor_label, offset_days, anchor_key`` to a holiday table.
 
-def parse_description(type_col: Column, description: Column) -> dict[str, Column]:
-    """STR-1: role, anchor label and day offset of a holiday row."""
-    text = strip(F.coalesce(description, F.lit("")))
-    suffix = F.regexp_extract(text, OFFSET_SUFFIX, 2)
-    stem = strip(F.regexp_extract(text, OFFSET_SUFFIX, 1))
-    has_suffix = type_col.isin("Holiday", "Additional", "Event") & (suffix != "")
+    The steps are columns of their own, so that every pattern runs once per row.
+    """
+    kind = F.col(type_col)
+    text, suffix = F.col("_text"), F.col("_suffix")
+    with_offset = kind.isin("Holiday", "Additional", "Event") & (suffix != "")
 
-    role = F.when((type_col == "Holiday") & (suffix != ""), "additional")
+    role = F.when((kind == "Holiday") & (suffix != ""), "additional")
     for holiday_type, name in ROLES.items():
-        role = role.when(type_col == holiday_type, name)
-    role = role.otherwise(F.coalesce(F.replace(F.lower(type_col), F.lit(" "), F.lit("_")), F.lit("other")))
+        role = role.when(kind == holiday_type, name)
+    role = role.otherwise(F.coalesce(F.replace(F.lower(kind), F.lit(" "), F.lit("_")), F.lit("other")))
 
-    anchor = F.when(has_suffix, stem)
+    anchor = F.when(with_offset, strip(F.left(text, F.char_length(text) - F.char_length(suffix))))
     for holiday_type, prefix in PREFIXES.items():
-        anchor = anchor.when(type_col == holiday_type, strip(F.regexp_replace(text, prefix, "")))
-
-    return {
-        "role": role,
-        "anchor_label": anchor.otherwise(text),
-        "offset_days": F.when(has_suffix, suffix.try_cast("int")).otherwise(F.lit(0)),
-    }
+        anchor = anchor.when(kind == holiday_type, strip(F.regexp_replace(text, prefix, "")))
+
+    return (
+        df.withColumn("_text", strip(F.coalesce(F.col(description), F.lit(""))))
+        .withColumn("_suffix", F.regexp_extract(text, OFFSET_SUFFIX, 1))
+        .withColumns(
+            {
+                "role": role,
+                "anchor_label": anchor.otherwise(text),
+                "offset_days": F.when(with_offset, suffix.try_cast("int")).otherwise(F.lit(0)),
+            }
+        )
+        .withColumn("anchor_key", ascii_key(F.col("anchor_label")))
+        .drop("_text", "_suffix")
+    )

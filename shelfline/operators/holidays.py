@@ -5,25 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.functions.text import ascii_key, parse_description
+from shelfline.functions.text import parse_descriptions
 from shelfline.operators.relational import aligned, attach, fits_broadcast, keep_one, require_unique
 from shelfline.schemas import as_date, require_columns
+from shelfline.session import written
 
 HOLIDAY_FLAGS = ["is_holiday", "holiday_duration", "is_day_off", "is_event"]
 
 # The columns a holiday table drops once its features exist.
 CONSUMED = ["type", "scope_name", "description", "transferred", "anchor_label"]
 
-# Holiday scope and the keys a sales row is matched on.
-SCOPE_KEYS = {"national": ["date"], "regional": ["date", "state"], "local": ["date", "city"]}
+# Holiday scopes, and the column of a sales row that names the place of the narrower ones.
+PLACES = {"regional": "state", "local": "city"}
+SCOPES = ["national", *PLACES]
 
 
 def clean(holidays: DataFrame) -> DataFrame:
     """STR-3: rename the locale columns and parse the description."""
     require_columns(holidays, ["date", "type", "locale", "locale_name", "description"], "clean")
     df = as_date(holidays).withColumnsRenamed({"locale": "scope", "locale_name": "scope_name"})
-    parsed = parse_description(F.col("type"), F.col("description"))
-    return df.withColumns({**parsed, "anchor_key": ascii_key(parsed["anchor_label"])})
+    return parse_descriptions(df)
 
 
 def add_business(holidays: DataFrame) -> DataFrame:
@@ -50,7 +51,9 @@ def add_features(holidays: DataFrame) -> DataFrame:
     )
     offset = F.col("offset_days")
     spans = holidays.groupBy("anchor_key").agg((F.max(offset) - F.min(offset) + 1).alias("holiday_duration"))
-    joined = attach(flagged, spans, ["anchor_key"], small=fits_broadcast(holidays.select("anchor_key", "offset_days")))
+    # A key is no longer than the description it was cut from, which is cheaper to measure.
+    source = "description" if "description" in holidays.columns else "anchor_key"
+    joined = attach(flagged, spans, ["anchor_key"], small=fits_broadcast(holidays.select(source)))
     return joined.select(*flagged.columns, "holiday_duration")
 
 
@@ -64,12 +67,21 @@ def preprocess(holidays: DataFrame) -> DataFrame:
     return holidays.transform(clean).transform(add_business).transform(add_features).transform(drop_consumed)
 
 
-def scope_flags(holidays: DataFrame, scope: str) -> DataFrame:
-    """AGG-6: one row per key of a scope; flags are OR-ed and the longest duration wins."""
-    keys = SCOPE_KEYS[scope]
-    rows = holidays.where(F.lower("scope") == scope).dropna(subset=keys)
-    return rows.groupBy(*keys).agg(
-        *[F.max(F.coalesce(F.col(c).cast("int"), F.lit(0))).alias(f"_{scope}_{c}") for c in HOLIDAY_FLAGS]
+def scope_flags(holidays: DataFrame) -> DataFrame:
+    """AGG-6: one row per date and place a holiday applies to; flags are OR-ed and the longest duration wins.
+
+    The place is that of the scope: the whole country, a state or a city. Rows without a date or place are left out.
+    """
+    scope = F.lower("scope")
+    place = F.when(scope == "national", F.lit(""))
+    for name, column in PLACES.items():
+        place = place.when(scope == name, F.col(column))
+    flags = [F.max(F.coalesce(F.col(c).cast("int"), F.lit(0))).alias(c) for c in HOLIDAY_FLAGS]
+    return (
+        holidays.select("date", scope.alias("scope"), place.alias("place"), *HOLIDAY_FLAGS)
+        .where(F.col("date").isNotNull() & F.col("place").isNotNull())
+        .groupBy("date", "scope", "place")
+        .agg(*flags)
     )
 
 
@@ -88,13 +100,18 @@ def merge_train(train: DataFrame, holidays: DataFrame, stores: DataFrame, *, val
             require_unique(places, ["store_nbr"], "merge_train: stores")
         out = attach(out, places, ["store_nbr"], small=fits_broadcast(places))
 
+    # Written once: three joins read it, and its size is known before they are planned.
     days = as_date(holidays).select("date", "scope", "city", "state", *HOLIDAY_FLAGS)
-    small = fits_broadcast(days)
-    for scope, keys in SCOPE_KEYS.items():
-        out = attach(out, scope_flags(days, scope), keys, small=small)
+    table = written(scope_flags(days), "holiday-flags")
+    small = fits_broadcast(table)
+    for scope in SCOPES:
+        place = PLACES.get(scope)
+        side = table.where(F.col("scope") == scope).select(
+            "date", *([F.col("place").alias(place)] if place else []), F.struct(*HOLIDAY_FLAGS).alias(f"_{scope}")
+        )
+        out = attach(out, side, ["date", place] if place else ["date"], small=small)
     flags = [
-        F.greatest(*[F.coalesce(F.col(f"_{scope}_{c}"), F.lit(0)) for scope in SCOPE_KEYS]).alias(c)
-        for c in HOLIDAY_FLAGS
+        F.greatest(*[F.coalesce(F.col(f"_{scope}")[c], F.lit(0)) for scope in SCOPES]).alias(c) for c in HOLIDAY_FLAGS
     ]
     return out.select(*[c for c in train.columns if c not in HOLIDAY_FLAGS], *flags)
 

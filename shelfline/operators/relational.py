@@ -31,7 +31,7 @@ def keep_one(
     """AGG-9: one row per key, the first or the last in an explicit order.
 
     The order is ``order_by``, else the order of the source file when it was kept, else the remaining columns' values.
-    ``min_by``/``max_by`` combine on the map side, so a key that holds most of the rows sends one row per task.
+    The extreme of a struct combines on the map side, so a key that holds most of the rows sends one row per task.
     """
     if keep not in ("first", "last"):
         raise ValueError("keep must be 'first' or 'last'")
@@ -39,11 +39,16 @@ def keep_one(
     if not rest:
         return df.distinct()
     order = list(order_by or ([SOURCE_ORDER] if SOURCE_ORDER in rest else rest))
-    pick = F.min_by if keep == "first" else F.max_by
     # Remaining columns close the order, so that equal sort keys still give one fixed row.
-    ranking = F.struct(*order, *[c for c in rest if c not in order and _orderable(df, c)])
-    chosen = df.groupBy(*keys).agg(pick(F.struct(*rest), ranking).alias("_row"))
-    return chosen.select(*keys, *[F.col("_row")[c].alias(c) for c in rest]).select(*df.columns)
+    closing = [c for c in rest if c not in order]
+    extreme = F.min if keep == "first" else F.max
+    if all(_orderable(df, c) for c in closing):
+        row = extreme(F.struct(*order, *closing))
+    else:
+        pick = F.min_by if keep == "first" else F.max_by
+        row = pick(F.struct(*order, *closing), F.struct(*order, *[c for c in closing if _orderable(df, c)]))
+    chosen = df.groupBy(*keys).agg(row.alias("_row"))
+    return chosen.select(*[c if c in keys else F.col("_row")[c].alias(c) for c in df.columns])
 
 
 def _orderable(df: DataFrame, column: str) -> bool:
