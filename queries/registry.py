@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,7 +26,7 @@ from shelfline.operators.fill import (
     fill_time_series_full_range,
     oil_review,
 )
-from shelfline.operators.folds import build_rolling_windows, collect_folds, embargo_days, feasibility
+from shelfline.operators.folds import build_rolling_windows, collect_folds, embargo_days, feasibility, rows_of_folds
 from shelfline.operators.metrics import aggregate_fold_scores, evaluate_metrics, to_long
 from shelfline.operators.profile import check_features
 from shelfline.operators.promotions import (
@@ -392,13 +391,9 @@ def cv_feasibility(spark: SparkSession, d: str) -> DataFrame:
 def naive_forecasts(spark: SparkSession, d: str) -> DataFrame:
     """The sales of the validation slice of every fold, forecast by the value one row earlier."""
     lagged = make_lag(v.sales(spark, d), "unit_sales", [1], **DAILY)
-    slices = [
-        slice_by_date(lagged, fold.val_range).select(
-            F.lit(fold.fold).alias("fold"), F.col("unit_sales").alias("y"), F.col("unit_sales_lag_1").alias("yhat")
-        )
-        for fold in collect_folds(folds_of(v.sales(spark, d)))
-    ]
-    return reduce(DataFrame.unionByName, slices)
+    return rows_of_folds(lagged, folds_of(v.sales(spark, d))).select(
+        "fold", F.col("unit_sales").alias("y"), F.col("unit_sales_lag_1").alias("yhat")
+    )
 
 
 @query(sql.METRICS)

@@ -77,6 +77,8 @@ class BacktestConfig:
     train_rows: int | None = None
     #: "daily" when a series has at most one row per day, "check" to count first.
     rows_per_group: str = "check"
+    #: Store the prepared table in this many buckets per series key, so that no fold shuffles it again.
+    series_buckets: int | None = None
     save_fold0: bool = True
     cols: Columns = field(default_factory=Columns)
     cv: CrossValidation = field(default_factory=CrossValidation)

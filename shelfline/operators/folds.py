@@ -48,13 +48,16 @@ def build_rolling_windows(
         (F.row_number().over(everything.orderBy("date")) - 1).alias("pos"),
         F.count(F.lit(1)).over(everything).alias("n"),
     )
-    folds = F.explode(F.sequence(F.lit(0), F.lit(n_windows - 1))) if n_windows > 0 else F.explode(F.array().cast("array<int>"))
+    numbers = F.sequence(F.lit(0), F.lit(n_windows - 1)) if n_windows > 0 else F.array().cast("array<int>")
     val_end = F.col("n") - F.col("fold") * stride
     val_start = val_end - val_size
     train_end = val_start - embargo
-    at = lambda position: F.max(F.when(F.col("pos") == position, F.col("date")))
+
+    def at(position):
+        return F.max(F.when(F.col("pos") == position, F.col("date")))
+
     return (
-        placed.withColumn("fold", folds)
+        placed.withColumn("fold", F.explode(numbers))
         .where(train_end >= min_train_days)
         .groupBy("fold")
         .agg(
@@ -67,9 +70,7 @@ def build_rolling_windows(
     )
 
 
-def feasibility(
-    dates: DataFrame, val_size: int, embargo: int, min_train_days: int
-) -> DataFrame:
+def feasibility(dates: DataFrame, val_size: int, embargo: int, min_train_days: int) -> DataFrame:
     """CV-2: how many dates there are, how many one fold needs, and whether that is enough."""
     required = min_train_days + embargo + val_size
     n = F.count(F.lit(1))
@@ -81,3 +82,15 @@ def feasibility(
 def collect_folds(folds: DataFrame) -> list[Fold]:
     """The fold table as values for a loop of jobs: one row per fold."""
     return [Fold(**row.asDict()) for row in folds.orderBy("fold").collect()]
+
+
+def rows_of_folds(df: DataFrame, folds: DataFrame, part: str = "val") -> DataFrame:
+    """Rows of ``df`` in the training or validation range of each fold, with the ``fold`` they belong to.
+
+    The ranges become a table of days (bounded by the calendar and the number of folds), so this is an equi-join, and
+    ``df`` is read once for all folds.
+    """
+    if part not in ("train", "val"):
+        raise ValueError("part must be 'train' or 'val'")
+    days = F.explode(F.sequence(f"{part}_start", f"{part}_end", F.expr("interval 1 day"))).alias("date")
+    return df.join(F.broadcast(folds.select("fold", days)), "date").select("fold", *df.columns)

@@ -253,3 +253,20 @@ def seasonal_totals(
     """The fact pass of ``create_seasonality_features``: totals per (year, week, month)."""
     rows = _with_period_columns(df, "w", "m")
     return period_totals(rows, ["w", "m"], target_col, start_year, end_year, partition_cols)
+
+
+def daily_totals(df: DataFrame, target_col: str = "unit_sales") -> DataFrame:
+    """Totals per date: one pass over the fact table from which ``seasonal_totals`` of any date range follow."""
+    df = as_date(df).where(F.col("date").isNotNull())
+    return df.groupBy("date").agg(
+        F.sum(F.col(target_col).cast("double")).alias("_total"), F.count(target_col).alias("_known")
+    )
+
+
+def totals_from_days(days: DataFrame) -> DataFrame:
+    """``seasonal_totals`` of the dates in a table of daily totals."""
+    return (
+        _with_period_columns(days, "w", "m")
+        .groupBy("year", *[name for name, _ in _PERIODS.values()])
+        .agg(F.sum("_total").alias("_total"), F.sum("_known").alias("_known"), F.min("date").alias("_first_date"))
+    )

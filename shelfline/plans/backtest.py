@@ -18,11 +18,11 @@ from shelfline.operators.profile import check_features
 from shelfline.operators.promotions import process_promotions
 from shelfline.operators.series import first_rows
 from shelfline.operators.slicing import unique_dates
-from shelfline.plans.features import slice_features
+from shelfline.plans.fold_features import FoldFeatures
 from shelfline.plans.model import check_framework, feature_importance, predict, train_model
 from shelfline.plans.sweep import SweepResult, run_sweep
 from shelfline.session import shared_folder
-from shelfline.sources.sinks import FoldCache, RunRecords, importance_table, save_model
+from shelfline.sources.sinks import RunRecords, importance_table, save_features, save_model
 from shelfline.sources.tables import load_tables
 
 
@@ -42,12 +42,26 @@ def prepare(tables: dict[str, DataFrame], cfg: BacktestConfig) -> DataFrame:
     return join_oil(train, oil, oil_col="dcoilwtico_complete")
 
 
-def fold_features(prepared: DataFrame, fold: Fold, cfg: BacktestConfig) -> tuple[DataFrame, DataFrame]:
-    """Training and validation features of a fold, each from its own date slice."""
-    return tuple(
-        slice_features(prepared, dates, cfg.features, cfg.cols.target, cfg.cols.group_cols, cfg.rows_per_group)
-        for dates in (fold.train_range, fold.val_range)
+def store_prepared(prepared: DataFrame, path: str, cfg: BacktestConfig, run_id: str) -> DataFrame:
+    """Write the prepared table and read it back, sorted by date so that date slices skip row groups.
+
+    With ``series_buckets`` it becomes a table bucketed by series: the windows of every fold then start without a
+    shuffle of the facts.
+    """
+    spark = prepared.sparkSession
+    keys = [c for c in cfg.cols.group_cols if c in prepared.columns]
+    if not cfg.series_buckets or not keys:
+        prepared.sortWithinPartitions("date").write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+    name = f"shelfline_prepared_{run_id}"
+    (
+        prepared.repartition(cfg.series_buckets, *keys)
+        .write.bucketBy(cfg.series_buckets, *keys)
+        .sortBy("date")
+        .option("path", path)
+        .saveAsTable(name)
     )
+    return spark.table(name)
 
 
 def make_folds(prepared: DataFrame, cfg: BacktestConfig) -> DataFrame:
@@ -80,8 +94,8 @@ def run_backtest(
 ) -> BacktestResult:
     """FLOW-3. ``tables`` may bring the inputs; otherwise they are loaded from ``cfg.paths``.
 
-    The prepared table and the features of every fold are written once and read back: the date slices of all folds
-    prune the first, all sweep trials read the second, and lost executors cost no more than the step at hand.
+    The prepared table and the windowed features are written once and read back: the date slices of all folds prune
+    the first, all folds and sweep trials share the second, and lost executors cost no more than the step at hand.
     """
     check_framework(cfg.model)
     run_id = uuid.uuid4().hex[:12]
@@ -90,27 +104,26 @@ def run_backtest(
     records = RunRecords(spark, os.path.join(out, "records"), run_id)
     records.config(cfg.as_json())
 
-    path = os.path.join(out, "prepared", run_id)
-    prepare(tables, cfg).write.mode("overwrite").parquet(path)
-    prepared = spark.read.parquet(path)
+    prepared = store_prepared(prepare(tables, cfg), os.path.join(out, "prepared", run_id), cfg, run_id)
 
     cv = cfg.cv
     possible = feasibility(
         unique_dates(prepared), cv.val_days, embargo_days(cv.max_lag, cv.max_window), cv.min_train_days
     )
     folds = collect_folds(make_folds(prepared, cfg))
-    cache = FoldCache(spark, os.path.join(out, "folds"), run_id, cfg.features, cfg.cols)
-
-    def build(fold: Fold) -> tuple[DataFrame, DataFrame]:
-        return fold_features(prepared, fold, cfg)
+    features = FoldFeatures(
+        spark, os.path.join(out, "folds", run_id), prepared, folds, cfg.features, cfg.cols, cfg.rows_per_group
+    )
 
     scores, importances, profile = [], [], None
     for fold in folds:
-        train, val = cache.load_or_build(fold, build)
+        train, val = features.build(fold)
         if fold.fold == 0:
             profile = check_features(train, cfg.cols.target)
+            records.catalogue(train)
             if cfg.save_fold0:
-                records.catalogue(train)
+                save_features(train, os.path.join(out, "features", run_id, "train"))
+                save_features(val, os.path.join(out, "features", run_id, "val"))
         model = train_model(train, val, cfg.cols.target, cfg.model)
         save_model(model, os.path.join(out, "models", run_id, f"fold{fold.fold}"))
         row = evaluate_metrics(predict(model, val), cfg.cols.target, "prediction").first()
@@ -126,7 +139,7 @@ def run_backtest(
 
     result, next_config = None, cfg
     if cfg.sweep.enabled and folds:
-        result = run_sweep(spark, folds, build, cfg.model, cfg.sweep, cache, cfg.cols.target)
+        result = run_sweep(spark, folds, features.build, cfg.model, cfg.sweep, target_col=cfg.cols.target)
         records.sweep(result.trials, result.cv_by_fold, result.best_model_params)
         if cfg.sweep.apply_best:
             next_config = cfg.with_model_params(result.best_model_params)

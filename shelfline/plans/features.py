@@ -14,10 +14,18 @@ from shelfline.functions.promo import promo_flag
 from shelfline.operators.promotions import _FLAG, promo_feature_list
 from shelfline.operators.relational import resolve_group_cols
 from shelfline.operators.seasonality import SEASONAL_FEATURES, create_seasonality_features, seasonal_totals
-from shelfline.operators.series import add_series_features, expanding_feature, lag_feature, rolling_feature
+from shelfline.operators.series import (
+    BoundedFeature,
+    RunningFeature,
+    add_series_features,
+    expanding_feature,
+    lag_feature,
+    rolling_feature,
+)
 from shelfline.operators.slicing import slice_by_date
 from shelfline.schemas import as_date, require_columns
 
+Feature = BoundedFeature | RunningFeature
 STATS = ("mean", "std", "max", "min", "sum")
 
 
@@ -43,35 +51,55 @@ def make_features(
     aggregate pass over date and target, and come back by broadcast. With ``visible_from``, earlier rows only feed the
     windows: they leave before calendar and seasonal features are measured.
     """
-    require_columns(df, ["date", target_col, "onpromotion"], "make_features")
     groups = resolve_group_cols(df, group_cols)
     features = [
         *promo_feature_list("date", promo_window),
-        *[lag_feature(target_col, k) for k in lags],
-        *[rolling_feature(target_col, v, w, s) for s in rolling_stats for v in rollag for w in windows],
-        *[expanding_feature(target_col, v, s) for s in exp_stats for v in explag],
+        *target_feature_list(target_col, lags, rollag, explag, windows, rolling_stats, exp_stats),
     ]
-    names = [f.name for f in features]
-    wide = add_series_features(
-        df,
-        features,
-        groups,
-        tiebreak=tiebreak,
-        rows_per_group=rows_per_group,
-        scratch={_FLAG: promo_flag(df, "onpromotion")},
-    )
+    wide = windowed(df, features, groups, target_col, tiebreak, rows_per_group)
     rows = as_date(df)
     if visible_from is not None:
         start = F.lit(visible_from)
         wide, rows = wide.where(F.col("date") >= start), rows.where(F.col("date") >= start)
-    # The seasonal pass over the input rows also finds the first date, which comes back with the same join. Its table
-    # has a few rows per month, so the window over all of it is small.
+    return dressed(wide, seasonal_totals(rows), df.columns, [f.name for f in features])
+
+
+def target_feature_list(target_col, lags, rollag, explag, windows, rolling_stats, exp_stats) -> list[Feature]:
+    return [
+        *[lag_feature(target_col, k) for k in lags],
+        *[rolling_feature(target_col, v, w, s) for s in rolling_stats for v in rollag for w in windows],
+        *[expanding_feature(target_col, v, s) for s in exp_stats for v in explag],
+    ]
+
+
+def windowed(
+    df: DataFrame,
+    features: Sequence[Feature],
+    groups: Sequence[str],
+    target_col: str,
+    tiebreak: Sequence[str] = (),
+    rows_per_group: str = "check",
+) -> DataFrame:
+    """The rows with all series features: the only step that shuffles them."""
+    require_columns(df, ["date", target_col, "onpromotion"], "make_features")
+    flag = {_FLAG: promo_flag(df, "onpromotion")}
+    return add_series_features(
+        df, features, groups, tiebreak=tiebreak, rows_per_group=rows_per_group, scratch=flag
+    )
+
+
+def dressed(wide: DataFrame, totals: DataFrame, base: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """Windowed rows with calendar and seasonal features: narrow work and one broadcast join.
+
+    ``totals`` are those of ``seasonal_totals``. They also hold the first date, which comes back with the same join;
+    their table has a few rows per month, so the window over all of it is small.
+    """
     whole = Window.partitionBy(F.lit(0))
-    totals = seasonal_totals(rows).withColumn("_origin", F.min("_first_date").over(whole))
+    totals = totals.withColumn("_origin", F.min("_first_date").over(whole))
     seasonal = create_seasonality_features(wide, totals=totals)
     dated, calendar = extract_date_features(seasonal, start=F.col("_origin"))
-    base = [c for c in df.columns if c not in (*names, *calendar, *SEASONAL_FEATURES)]
-    return dated.select(*base, *calendar, *SEASONAL_FEATURES, *names)
+    kept = [c for c in base if c not in (*names, *calendar, *SEASONAL_FEATURES)]
+    return dated.select(*kept, *calendar, *SEASONAL_FEATURES, *names)
 
 
 def slice_features(

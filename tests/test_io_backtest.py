@@ -12,11 +12,12 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfline.config import BacktestConfig, CrossValidation, Features, Model, Sweep, fingerprint
+from shelfline.config import BacktestConfig, Columns, CrossValidation, Features, Model, Sweep, fingerprint
 from shelfline.operators.enrich import create_extend_train
 from shelfline.operators.folds import Fold
-from shelfline.plans.backtest import run_backtest
+from shelfline.plans.backtest import run_backtest, store_prepared
 from shelfline.plans.features import make_features, slice_features
+from shelfline.plans.fold_features import FoldFeatures
 from shelfline.plans.model import feature_importance, merge_params, model_inputs, predict, spark_params, train_model
 from shelfline.plans.sweep import SEARCH_SPACE, run_sweep, should_prune, suggest_params
 from shelfline.sources.sinks import FoldCache, RunRecords, load_model, save_features, save_model
@@ -138,6 +139,35 @@ def test_slice_sees_only_itself_unless_given_context(spark):
         assert column(seeing, name) == column(alone, name)
 
 
+@pytest.mark.parametrize("rows_per_group", ["daily", "check"])
+def test_shared_fold_features_equal_those_of_each_slice(spark, tmp_path, rows_per_group):
+    df = sample(spark, 90)
+    folds = [Fold(i, day(0), day(end), day(end + 5), day(end + 14)) for i, end in enumerate((70, 63, 41))]
+    settings = Features(lags=(1, 7), windows=(3,), rolling_stats=("mean", "std"), exp_stats=("sum",))
+    shared = FoldFeatures(spark, str(tmp_path / "folds"), df, folds, settings, Columns(), rows_per_group)
+    assert shared.shared
+    for f in folds:
+        for got, dates in zip(shared.build(f), (f.train_range, f.val_range), strict=True):
+            want = slice_features(df, dates, settings, "unit_sales", KEYS, rows_per_group)
+            assert got.columns == want.columns
+            assert got.dtypes == want.dtypes
+            order = ["date", "store_nbr"]
+            for a, b in zip(got.orderBy(*order).collect(), want.orderBy(*order).collect(), strict=True):
+                for name in got.columns:
+                    same = a[name] == pytest.approx(b[name]) if isinstance(a[name], float) else a[name] == b[name]
+                    assert same, (f.fold, a["date"], name, a[name], b[name])
+
+
+def test_bucketed_table_needs_no_shuffle(spark, tmp_path):
+    cfg = BacktestConfig(series_buckets=4)
+    stored = store_prepared(sample(spark), str(tmp_path / "prepared"), cfg, "test")
+    out = make_features(stored, group_cols=KEYS, rows_per_group="daily")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(store_nbr" not in plan
+    assert out.count() == sample(spark).count()
+    spark.sql("DROP TABLE shelfline_prepared_test")
+
+
 def test_model_inputs(spark):
     df = sample(spark, 2).withColumn("at", F.current_timestamp())
     assert model_inputs(df, "unit_sales") == (["store_nbr", "item_nbr", "onpromotion"], ["family"])
