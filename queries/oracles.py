@@ -445,13 +445,16 @@ PROFILE = with_(SALES, ITEMS, STORES, ENRICHED) + _profile()
 FIRST_ROWS = with_(SALES) + "SELECT * FROM sales ORDER BY date, store_nbr, item_nbr LIMIT 2000"
 
 PROMO_COLUMNS = [SINCE, UNTIL, NEXT]
-FEATURE_MATRIX = (
-    with_(SALES, RUNS, *seasonal_tables(), f"streaks AS (SELECT date, store_nbr, item_nbr, {RUN_LENGTH} FROM runs)")
-    + f""",
-wide AS (SELECT *, {calendar('(SELECT min(date) FROM sales)')},
-  """
-    + ",\n  ".join([*PROMO_COLUMNS, *lags([7, 14, 28]), *rolling([1], [7, 14, 28]), *expanding([1])])
-    + f"""
+
+
+def features(visible: str, columns: list[str]) -> str:
+    """All features of the rows in ``sales``; calendar and seasonal columns are measured on the rows in ``visible``."""
+    seasonal = [t.replace("FROM sales)", f"FROM {visible})") for t in seasonal_tables()]
+    streaks = f"streaks AS (SELECT date, store_nbr, item_nbr, {RUN_LENGTH} FROM runs)"
+    selected = ",\n  ".join([*PROMO_COLUMNS, *columns])
+    return ",\n".join([RUNS, streaks, *seasonal]) + f""",
+wide AS (SELECT *, {calendar(f"(SELECT min(date) FROM {visible})")},
+  {selected}
   FROM sales)
 SELECT w.*, d.week_of_year, d.month_of_year, promo_streak, {SEASONAL_COLUMNS}
 FROM wide w JOIN dated d USING (date, store_nbr, item_nbr) JOIN streaks USING (date, store_nbr, item_nbr)
@@ -459,28 +462,29 @@ LEFT JOIN idx_w iw ON d.year = iw.year AND d.week_of_year = iw.week_of_year
 LEFT JOIN idx_m im ON d.year = im.year AND d.month_of_year = im.month_of_year
 LEFT JOIN coef_w cw ON d.year = cw.year AND d.week_of_year = cw.week_of_year
 LEFT JOIN coef_m cm ON d.year = cm.year AND d.month_of_year = cm.month_of_year"""
+
+
+ALL_SALES = "all_" + SALES
+LIGHT = [*lags([7, 14]), *rolling([1], [7], ["mean"])]
+
+FEATURE_MATRIX = with_(
+    SALES, features("sales", [*lags([7, 14, 28]), *rolling([1], [7, 14, 28]), *expanding([1])])
 )
 
 # Windows read up to 400 days before the slice; calendar and seasonal columns see the slice alone.
-FEATURE_SLICE = (
-    "WITH all_" + SALES
-    + f""",
-sales AS (SELECT * FROM all_sales WHERE date BETWEEN {LO} - INTERVAL 400 DAY AND {HI}),
-{RUNS},
-streaks AS (SELECT date, store_nbr, item_nbr, {RUN_LENGTH} FROM runs),
-visible AS (SELECT * FROM sales WHERE date >= {LO}),
-"""
-    + ",\n".join(t.replace("FROM sales)", "FROM visible)") for t in seasonal_tables())
-    + f""",
-wide AS (SELECT *, {calendar('(SELECT min(date) FROM visible)')},
-  """
-    + ",\n  ".join([*PROMO_COLUMNS, *lags([7, 14]), *rolling([1], [7], ["mean"])])
-    + f"""
-  FROM sales)
-SELECT w.*, d.week_of_year, d.month_of_year, promo_streak, {SEASONAL_COLUMNS}
-FROM wide w JOIN dated d USING (date, store_nbr, item_nbr) JOIN streaks USING (date, store_nbr, item_nbr)
-LEFT JOIN idx_w iw ON d.year = iw.year AND d.week_of_year = iw.week_of_year
-LEFT JOIN idx_m im ON d.year = im.year AND d.month_of_year = im.month_of_year
-LEFT JOIN coef_w cw ON d.year = cw.year AND d.week_of_year = cw.week_of_year
-LEFT JOIN coef_m cm ON d.year = cm.year AND d.month_of_year = cm.month_of_year"""
+FEATURE_SLICE = with_(
+    ALL_SALES,
+    f"sales AS (SELECT * FROM all_sales WHERE date BETWEEN {LO} - INTERVAL 400 DAY AND {HI})",
+    f"visible AS (SELECT * FROM sales WHERE date >= {LO})",
+    features("visible", LIGHT),
+)
+
+FOLD_TRAIN = with_(
+    ALL_SALES,
+    FOLDS.replace("FROM sales", "FROM all_sales"),
+    "sales AS (SELECT * FROM all_sales WHERE date <= (SELECT train_end FROM folds WHERE fold = 1))",
+    features("sales", LIGHT),
 )
+
+CSV_LOAD = with_(SALES) + """
+SELECT date, CAST(store_nbr AS INTEGER) AS store_nbr, item_nbr, unit_sales, onpromotion FROM sales"""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Callable
 from datetime import date
 
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 
 from queries import oracles as sql
 from queries import views as v
-from shelfline.config import CrossValidation, Features, Model, Sweep
+from shelfline.config import Columns, CrossValidation, Features, Model, Sweep
 from shelfline.functions.calendar import (
     add_is_weekend,
     add_month_of_year,
@@ -47,10 +49,12 @@ from shelfline.operators.seasonality import (
 from shelfline.operators.series import first_rows, make_expanding, make_lag, make_rolling
 from shelfline.operators.slicing import date_bounds, drop_target_cols, slice_by_date, unique_dates
 from shelfline.plans.features import make_features, slice_features
+from shelfline.plans.fold_features import FoldFeatures
 from shelfline.plans.model import feature_importance, predict, train_model
 from shelfline.plans.sweep import run_sweep
-from shelfline.session import written
+from shelfline.session import shared_folder, written
 from shelfline.sources.sinks import importance_table
+from shelfline.sources.tables import load_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -434,6 +438,23 @@ def feature_slice_with_context(spark: SparkSession, d: str) -> DataFrame:
     return rounded(slice_features(v.sales(spark, d), dates, light, "unit_sales", KEYS, "daily"))
 
 
+@query(sql.FOLD_TRAIN)
+def fold_train_features(spark: SparkSession, d: str) -> DataFrame:
+    """CV-3, SNK-2: training features of the second fold, cut from the windowed table that all folds share."""
+    sales = v.sales(spark, d)
+    folds = collect_folds(folds_of(sales))
+    path = os.path.join(shared_folder(spark), f"fold-features-{uuid.uuid4().hex}")
+    return rounded(FoldFeatures(spark, path, sales, folds, Features(), Columns(), "daily").train(folds[1]))
+
+
+@query(sql.CSV_LOAD)
+def csv_load(spark: SparkSession, d: str) -> DataFrame:
+    """SRC-1, SRC-2: the sales table written as CSV and loaded with pinned types."""
+    path = os.path.join(shared_folder(spark), f"csv-{uuid.uuid4().hex}", "train.csv")
+    v.sales(spark, d).write.option("header", True).csv(path)
+    return load_tables(spark, {"train": path})["train"]
+
+
 # --- Models ---------------------------------------------------------------------------------------------------------
 
 SMALL_MODEL = Model(params={"n_estimators": 5, "learning_rate": 0.2, "max_depth": 4, "random_state": 7})

@@ -16,15 +16,15 @@ MIN_KNOTS = 4
 ZOOM = ("2016-10-01", "2017-12-31")
 
 
-def _one_row_per_day(df: DataFrame, date_col: str) -> DataFrame:
-    """Check that a series without partition columns has one row per day; a repeated day fails the query.
+def _one_row_per_day(df: DataFrame, date_col: str, keys: Sequence[str]) -> DataFrame:
+    """Check that every series has one row per day; a repeated day fails the query.
 
-    After this step the calendar bounds the number of rows, so that the single-series windows are small.
+    The aggregate combines on the map side, and after it the calendar bounds the length of a series: the windows that
+    follow never meet a series that does not fit a task, not even on their way to the error.
     """
-    rest = [c for c in df.columns if c != date_col]
-    merged = df.groupBy(date_col).agg(
-        F.count(F.lit(1)).alias("_n"), *[F.any_value(F.col(c)).alias(c) for c in rest]
-    )
+    days = [*keys, date_col]
+    rest = [c for c in df.columns if c not in days]
+    merged = df.groupBy(*days).agg(F.count(F.lit(1)).alias("_n"), *[F.any_value(F.col(c)).alias(c) for c in rest])
     checked = F.when(F.col("_n") == 1, F.col(date_col)).otherwise(
         F.raise_error(F.lit(f"'{date_col}' must be unique in a daily series")).cast("date")
     )
@@ -58,8 +58,7 @@ def interpolate_daily(
     one is carried forward and the first one back. All windows start from one shuffle by ``partition_cols``.
     """
     keys = list(partition_cols)
-    if not keys:
-        df = _one_row_per_day(df, date_col)
+    df = _one_row_per_day(df, date_col, keys)
     columns = df.columns
     series = keys or [F.lit(0)]
     whole = Window.partitionBy(*series)

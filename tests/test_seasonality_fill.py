@@ -222,6 +222,9 @@ def test_linear_fallback(spark):
 def test_repeated_day_is_an_error(spark):
     with pytest.raises(Exception, match="unique"):
         fill_oil_pchip(oil_table(spark, [1.0, 2.0], [0, 0])).collect()
+    twice = oil_table(spark, [1.0, 2.0], [0, 0]).selectExpr("1 AS item_nbr", "*")
+    with pytest.raises(Exception, match="unique"):
+        fill_oil_pchip(twice, partition_cols=["item_nbr"]).collect()
 
 
 def test_full_range(spark):
