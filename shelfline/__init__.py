@@ -1,5 +1,7 @@
 """Retail demand features and backtests on Spark: every operator takes and returns DataFrames."""
 
+from types import ModuleType
+
 from shelfline.config import BacktestConfig, Columns, CrossValidation, Features, Model, Sweep
 from shelfline.functions.calendar import (
     add_is_weekend,
@@ -60,4 +62,4 @@ from shelfline.session import build_session
 from shelfline.sources.sinks import FoldCache, RunRecords, load_model, save_features, save_model
 from shelfline.sources.tables import load_tables
 
-__all__ = [name for name in dir() if not name.startswith("_")]
+__all__ = [n for n, x in list(globals().items()) if n[0] != "_" and n != "ModuleType" and not isinstance(x, ModuleType)]

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.functions.text import parse_descriptions
-from shelfline.operators.relational import aligned, attach, fits_broadcast, keep_one, require_unique
+from shelfline.operators.relational import aligned, attach, fits_broadcast, require_unique
 from shelfline.schemas import as_date, require_columns
 from shelfline.session import written
 
@@ -114,8 +114,3 @@ def merge_train(train: DataFrame, holidays: DataFrame, stores: DataFrame, *, val
         F.greatest(*[F.coalesce(F.col(f"_{scope}")[c], F.lit(0)) for scope in SCOPES]).alias(c) for c in HOLIDAY_FLAGS
     ]
     return out.select(*[c for c in train.columns if c not in HOLIDAY_FLAGS], *flags)
-
-
-def store_places(stores: DataFrame) -> DataFrame:
-    """One row per store with its city and state."""
-    return keep_one(stores.select("store_nbr", "city", "state"), ["store_nbr"])

@@ -9,14 +9,15 @@ from pyspark.sql import functions as F
 
 from shelfline.functions.promo import promo_flag
 from shelfline.operators.series import (
-    _POS,
+    POSITION,
     BoundedFeature,
     RunningFeature,
     RunningState,
     add_series_features,
 )
 
-_FLAG = "_promo_flag"
+#: Helper column with the three-valued promo state, while features are computed.
+PROMO_FLAG = "_promo_flag"
 
 # Fixed value: the category of a missing promotion state.
 MISSING_PROMO = "NO_PROMO_INFO"
@@ -25,7 +26,7 @@ _KEYS = ("store_nbr", "item_nbr")
 
 
 def _when_promo(date_col: str):
-    return F.when(F.col(_FLAG), F.col(date_col))
+    return F.when(F.col(PROMO_FLAG), F.col(date_col))
 
 
 def days_since_last(date_col: str) -> RunningFeature:
@@ -54,14 +55,14 @@ def days_until_next(date_col: str) -> RunningFeature:
 
 def streak() -> RunningFeature:
     """WIN-6: rows since the last row that was not a known promo; an unknown row breaks the run and is NULL itself."""
-    break_pos = F.when(~F.coalesce(F.col(_FLAG), F.lit(False)), F.col(_POS))
+    break_pos = F.when(~F.coalesce(F.col(PROMO_FLAG), F.lit(False)), F.col(POSITION))
 
     def build(run, _, carried):
         last = F.max(break_pos).over(run)
         before = carried("last_break")
         last = last if before is None else F.greatest(before, last)
-        length = (F.col(_POS) - F.coalesce(last, F.lit(0))).cast("int")
-        return F.when(F.col(_FLAG), length).when(~F.col(_FLAG), F.lit(0))
+        length = (F.col(POSITION) - F.coalesce(last, F.lit(0))).cast("int")
+        return F.when(F.col(PROMO_FLAG), length).when(~F.col(PROMO_FLAG), F.lit(0))
 
     state = RunningState(lambda: F.max(break_pos), F.max)
     return RunningFeature("promo_streak", build, states={"last_break": state})
@@ -72,15 +73,15 @@ def next_rows_flag(window: int) -> BoundedFeature:
 
     def build(w):
         frame = w.rowsBetween(1, window)
-        seen = F.bool_or(_FLAG).over(frame)
-        known = F.count(_FLAG).over(frame)
+        seen = F.bool_or(PROMO_FLAG).over(frame)
+        known = F.count(PROMO_FLAG).over(frame)
         return F.when(seen, F.lit(1)).when(known == window, F.lit(0))
 
     return BoundedFeature("promo_in_next_7days", back=0, ahead=window, build=build)
 
 
 def _apply(df, features, group_cols, date_col, promo_col, spread) -> DataFrame:
-    scratch = {_FLAG: promo_flag(df, promo_col)}
+    scratch = {PROMO_FLAG: promo_flag(df, promo_col)}
     return add_series_features(df, features, group_cols, date_col=date_col, scratch=scratch, **spread)
 
 

@@ -23,7 +23,9 @@ from pyspark.sql import types as T
 from shelfline.schemas import as_date, require_columns
 from shelfline.session import MAX_GROUP_ROWS, int_setting, written
 
-_LANE, _POS, _HASH, _RID = "_lane", "_pos", "_row_hash", "_rid"
+#: Number of a row within its series, while features are computed.
+POSITION = "_pos"
+_LANE, _HASH, _RID = "_lane", "_row_hash", "_rid"
 _PART, _CHUNK, _HOME = "_part", "_chunk", "_home"
 _NULL_KEY_LANES = 1024
 
@@ -255,7 +257,7 @@ def _whole_series(df: DataFrame, features: Sequence, keys: list[str], order: lis
 
     columns = {name: f.build(asc) for name, f in _inputs(features).items()}
     if running:
-        columns[_POS] = F.row_number().over(asc).cast("long")
+        columns[POSITION] = F.row_number().over(asc).cast("long")
     df = df.withColumns(columns)
     run = asc.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rev = desc.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -285,7 +287,7 @@ def with_positions(df: DataFrame, keys: list[str], order: list[str], rows_per_pa
     within = Window.partitionBy(*keys, _PART).orderBy(*order, _RID)
     return (
         cut.join(starts, [*keys, _PART])
-        .withColumn(_POS, F.row_number().over(within) + F.col("_start"))
+        .withColumn(POSITION, F.row_number().over(within) + F.col("_start"))
         .drop("_start", _PART, _RID)
     )
 
@@ -299,16 +301,16 @@ def _cut_series(df: DataFrame, features: Sequence, keys: list[str], order: list[
     size = max(limit, back, ahead, 1)
 
     rows = with_positions(df, keys, order, size)
-    own = F.floor((F.col(_POS) - 1) / size)
-    place = F.pmod(F.col(_POS) - 1, F.lit(size))
+    own = F.floor((F.col(POSITION) - 1) / size)
+    place = F.pmod(F.col(POSITION) - 1, F.lit(size))
     homes = F.array(
         own,
         F.when(place >= size - back, own + 1) if back else F.lit(None).cast("long"),
         F.when((place < ahead) & (own > 0), own - 1) if ahead else F.lit(None).cast("long"),
     )
     chunked = rows.withColumn(_CHUNK, F.explode(F.array_compact(homes))).withColumn(_HOME, F.col(_CHUNK) == own)
-    asc = Window.partitionBy(*keys, _CHUNK).orderBy(_POS)
-    desc = Window.partitionBy(*keys, _CHUNK).orderBy(F.col(_POS).desc())
+    asc = Window.partitionBy(*keys, _CHUNK).orderBy(POSITION)
+    desc = Window.partitionBy(*keys, _CHUNK).orderBy(F.col(POSITION).desc())
     bounded = chunked.withColumns({name: f.build(asc) for name, f in inputs.items()}).where(F.col(_HOME))
     guarded = _guarded(features)
     bounded = bounded.withColumns(guarded) if guarded else bounded
@@ -385,4 +387,4 @@ def make_expanding(
 def first_rows(df: DataFrame, n: int, keys: Sequence[str], date_col: str = "date") -> DataFrame:
     """SRC-4: the first ``n`` rows by date and key, found by position so that no task holds the whole prefix."""
     rows = with_positions(df, [], [date_col, *keys], int_setting(df.sparkSession, MAX_GROUP_ROWS))
-    return rows.where(F.col(_POS) <= n).select(*df.columns)
+    return rows.where(F.col(POSITION) <= n).select(*df.columns)

@@ -30,12 +30,15 @@ def prepare(tables: dict[str, DataFrame], cfg: BacktestConfig) -> DataFrame:
     """Sales with item, store, promotion, holiday and gap-free price columns.
 
     The price that is joined is the interpolated one. Promotions are a column of the sales table, so they need no
-    join with a copy of it, and the target cannot slip in under another name.
+    join with a copy of it. A ``promos`` table of its own is joined without its sales, so that the target cannot slip
+    in under another name.
     """
     train = tables["train"]
     if cfg.train_rows:
         train = first_rows(train, cfg.train_rows, list(cfg.cols.group_cols))
     train = create_extend_train(train, tables["items"], tables["stores"])
+    if tables.get("promos") is not None:
+        train = join_promos(train, tables["promos"].drop(cfg.cols.target))
     train = process_promotions(train, "nan")
     train = hol.merge_train(train, hol.preprocess(tables["holidays_events"]), tables["stores"])
     oil = fill_time_series_full_range(fill_oil_pchip(tables["oil"]))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from shelfline.config import Features
 from shelfline.functions.calendar import extract_date_features
 from shelfline.functions.promo import promo_flag
-from shelfline.operators.promotions import _FLAG, promo_feature_list
+from shelfline.operators.promotions import PROMO_FLAG, promo_feature_list
 from shelfline.operators.relational import resolve_group_cols
 from shelfline.operators.seasonality import SEASONAL_FEATURES, create_seasonality_features, seasonal_totals
 from shelfline.operators.series import (
@@ -82,7 +82,7 @@ def windowed(
 ) -> DataFrame:
     """The rows with all series features: the only step that shuffles them."""
     require_columns(df, ["date", target_col, "onpromotion"], "make_features")
-    flag = {_FLAG: promo_flag(df, "onpromotion")}
+    flag = {PROMO_FLAG: promo_flag(df, "onpromotion")}
     return add_series_features(
         df, features, groups, tiebreak=tiebreak, rows_per_group=rows_per_group, scratch=flag
     )

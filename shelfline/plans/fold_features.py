@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from shelfline.config import Columns, Features
 from shelfline.operators.folds import Fold
-from shelfline.operators.promotions import _FLAG, promo_feature_list
+from shelfline.operators.promotions import PROMO_FLAG, promo_feature_list
 from shelfline.operators.relational import resolve_group_cols
 from shelfline.operators.seasonality import daily_totals, totals_from_days
 from shelfline.operators.series import BoundedFeature
@@ -31,7 +31,7 @@ def _look_ahead() -> list[BoundedFeature]:
     """Dates behind the next-rows flag: of the first promo among the next rows, and of the last of these rows."""
 
     def coming(w: WindowSpec):
-        return F.min(F.when(F.col(_FLAG), F.col("date"))).over(w.rowsBetween(1, _PROMO_ROWS))
+        return F.min(F.when(F.col(PROMO_FLAG), F.col("date"))).over(w.rowsBetween(1, _PROMO_ROWS))
 
     return [
         BoundedFeature(_COMING, 0, _PROMO_ROWS, coming),

@@ -78,23 +78,35 @@ def model_inputs(df: DataFrame, target_col: str) -> tuple[list[str], list[str]]:
     return numbers, texts
 
 
-def _preparation(df: DataFrame, target_col: str) -> tuple[list, list[str]]:
+def _with_gaps(rows: DataFrame, columns: list[str]) -> set[str]:
+    """Columns with a missing value, by one aggregate."""
+    if not columns:
+        return set()
+    missing = rows.agg(*[F.bool_or(F.col(c).isNull()).alias(f"c{i}") for i, c in enumerate(columns)]).first()
+    return {c for c, found in zip(columns, missing, strict=True) if found}
+
+
+def _preparation(train: DataFrame, rows: DataFrame, target_col: str) -> tuple[list, list[str]]:
     """Fitted preparation stages and the names of the assembled inputs.
 
-    Spark's trees take no missing values: a number becomes its value or 0, next to a flag that says it was missing.
-    Text becomes an index fitted on the training rows; unseen and missing text share one extra index.
+    Spark's trees take no missing values: a number becomes its value or 0, next to a flag that says it was missing, if
+    it ever is in the training and validation rows. Text becomes an index fitted on the training rows; unseen and
+    missing text share one extra index.
     """
-    numbers, texts = model_inputs(df, target_col)
+    numbers, texts = model_inputs(train, target_col)
+    gaps = _with_gaps(rows, numbers)
     pieces, inputs = [], []
     for c in numbers:
         pieces.append(f"coalesce(cast(`{c}` AS double), 0D) AS `_x_{c}`")
-        pieces.append(f"cast(`{c}` IS NULL AS double) AS `_missing_{c}`")
-        inputs += [f"_x_{c}", f"_missing_{c}"]
+        inputs.append(f"_x_{c}")
+        if c in gaps:
+            pieces.append(f"cast(`{c}` IS NULL AS double) AS `_missing_{c}`")
+            inputs.append(f"_missing_{c}")
     stages: list = [SQLTransformer(statement=f"SELECT *, {', '.join(pieces)} FROM __THIS__")] if pieces else []
     if texts:
         indexed = [f"_x_{c}" for c in texts]
         indexer = StringIndexer(inputCols=texts, outputCols=indexed, handleInvalid="keep")
-        stages.append(indexer.fit(df))
+        stages.append(indexer.fit(train))
         inputs += indexed
     stages.append(VectorAssembler(inputCols=inputs, outputCol=_FEATURES))
     return stages, inputs
@@ -105,15 +117,15 @@ def train_model(train: DataFrame, val: DataFrame, target_col: str, model: Model)
     check_framework(model)
     params = spark_params(model.params)
     train = train.where(F.col(target_col).isNotNull())
-    stages, _ = _preparation(train, target_col)
+    rows = train.withColumn(_VAL, F.lit(False)).unionByName(
+        val.where(F.col(target_col).isNotNull()).withColumn(_VAL, F.lit(True))
+    )
+    stages, _ = _preparation(train, rows, target_col)
     categories = max(
         [len(labels) + 1 for stage in stages if hasattr(stage, "labelsArray") for labels in stage.labelsArray], default=0
     )
     params["maxBins"] = max(int(params.get("maxBins", 32)), categories)
     params.setdefault("validationTol", 0.0)
-    rows = train.withColumn(_VAL, F.lit(False)).unionByName(
-        val.where(F.col(target_col).isNotNull()).withColumn(_VAL, F.lit(True))
-    )
     prepared = PipelineModel(stages).transform(rows).select(_FEATURES, F.col(target_col).cast("double").alias("_y"), _VAL)
     learner = GBTRegressor(
         featuresCol=_FEATURES, labelCol="_y", predictionCol="prediction", validationIndicatorCol=_VAL, **params
