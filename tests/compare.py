@@ -5,13 +5,10 @@ from __future__ import annotations
 import os
 import sys
 import time
-import warnings
 
 import duckdb
 import pandas as pd
 
-warnings.filterwarnings("ignore", message="Arrow output")
-
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 ).split()
@@ -66,15 +63,15 @@ def _nullable(arrow_type):
 def mismatch(spark, con, query, sql: str, sf_dir: str) -> str | None:
     """None when both give the same rows, else what differs."""
     result = query(spark, sf_dir)
-    relation = con.execute(sql)
-    kinds = {d[0]: _kind(str(d[1])) for d in relation.description}
+    relation = con.sql(sql)
+    kinds = {name: _kind(str(kind)) for name, kind in zip(relation.columns, relation.types, strict=True)}
     got_kinds = {f.name: _kind(f.dataType.simpleString()) for f in result.schema.fields}
     if sorted(kinds) != sorted(got_kinds):
         return f"columns: spark {sorted(got_kinds)} sql {sorted(kinds)}"
     wrong = {c: (got_kinds[c], kinds[c]) for c in kinds if kinds[c] != got_kinds[c] and "decimal" not in kinds[c]}
     if wrong:
         return f"types (spark, sql): {wrong}"
-    want = canonical(con.execute(sql).to_arrow_table().to_pandas(types_mapper=_nullable, date_as_object=True))
+    want = canonical(relation.to_arrow_table().to_pandas(types_mapper=_nullable, date_as_object=True))
     got = canonical(as_frame(result))
     if len(want) != len(got):
         return f"rows: spark {len(got)} sql {len(want)}"
