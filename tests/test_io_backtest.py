@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from shelfline.config import BacktestConfig, Columns, CrossValidation, Features, Model, Sweep, fingerprint
 from shelfline.operators.enrich import create_extend_train
 from shelfline.operators.folds import Fold
-from shelfline.plans.backtest import run_backtest, store_prepared
+from shelfline.plans.backtest import prepare, run_backtest, store_prepared
 from shelfline.plans.features import make_features, slice_features
 from shelfline.plans.fold_features import FoldFeatures
 from shelfline.plans.model import feature_importance, merge_params, model_inputs, predict, spark_params, train_model
@@ -267,6 +267,18 @@ def test_records(spark, tmp_path):
     assert first.read("catalogue").where("name = 'date'").first()["type"] == "date"
 
 
+def test_own_promotions_table_brings_no_sales(spark, folder):
+    tables = load_tables(spark, str(folder))
+    sales = tables["train"]
+    promos = sales.select("date", "store_nbr", "item_nbr", "unit_sales", (~F.col("onpromotion")).alias("onpromotion"))
+    out = prepare({**tables, "promos": promos}, BacktestConfig())
+    assert "promo_unit_sales" not in out.columns
+    keys = ["date", "store_nbr", "item_nbr"]
+    was = sales.select(*keys, F.col("onpromotion").alias("was"))
+    assert out.join(was, keys).where("NOT (onpromotion <=> (NOT was))").count() == 0
+    assert out.count() == sales.count()
+
+
 def test_backtest_from_files(spark, folder, tmp_path):
     cfg = BacktestConfig(
         paths=str(folder),
