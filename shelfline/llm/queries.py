@@ -6,10 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shelfline.llm import chat, rules
 from shelfline.llm.bpe import op7_bpe
+from shelfline.llm.chat import op6_chat
+from shelfline.llm.rules import op10_host_rules
+from shelfline.llm.wavelet import op3_wavelet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_wavelet": op3_wavelet,
+    "op6_chat": op6_chat,
     "op7_bpe": op7_bpe,
+    "op10_host_rules": op10_host_rules,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_chat": chat.ORACLE,
+    "op10_host_rules": rules.ORACLE,
+}
