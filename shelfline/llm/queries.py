@@ -6,20 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfline.llm import chat, rules
+from shelfline.llm import chat, html, rules
 from shelfline.llm.bpe import op7_bpe
 from shelfline.llm.chat import op6_chat
+from shelfline.llm.html import op1_html
+from shelfline.llm.quality import op9_quality
 from shelfline.llm.rules import op10_host_rules
 from shelfline.llm.wavelet import op3_wavelet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html": op1_html,
     "op3_wavelet": op3_wavelet,
     "op6_chat": op6_chat,
     "op7_bpe": op7_bpe,
+    "op9_quality": op9_quality,
     "op10_host_rules": op10_host_rules,
 }
 
 ORACLES: dict[str, str] = {
+    "op1_html": html.ORACLE,
     "op6_chat": chat.ORACLE,
     "op10_host_rules": rules.ORACLE,
 }
