@@ -20,6 +20,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -159,7 +160,10 @@ def blocks_of(page: str) -> list[_Block]:
                 main = main or role == "main"
         noise = noise or name in NOISE_TAGS or name == "header" and not main
         main = main or name in MAIN_TAGS
-        stack.append((name, f"{path}>{label}" if name in BLOCK else path, name if name in BLOCK else block, main, noise))
+        if name in BLOCK:
+            # A very deep place is named by a hash of the path above it.
+            path = f"{path if len(path) < 400 else xxhash.xxh64_hexdigest(path)}>{label}"
+        stack.append((name, path, name if name in BLOCK else block, main, noise))
         if name in BLOCK or noise != home[4]:
             if noise != home[4] and name not in BLOCK:
                 continue
@@ -176,8 +180,6 @@ def path_contents(pages: DataFrame, html: str = "html") -> DataFrame:
     """First pass: ``_host, path, content`` once for each page that has it; content 0 stands for the path itself."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
         for batch in batches:
             hosts, paths, contents = [], [], []
             for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):

@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfline.llm import chat, html, rules
+from shelfline.llm import chat, decontaminate, html, rules
 from shelfline.llm.bpe import op7_bpe
 from shelfline.llm.chat import op6_chat
+from shelfline.llm.decontaminate import op8_decontaminate
 from shelfline.llm.html import op1_html
 from shelfline.llm.quality import op9_quality
 from shelfline.llm.rules import op10_host_rules
@@ -19,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_wavelet": op3_wavelet,
     "op6_chat": op6_chat,
     "op7_bpe": op7_bpe,
+    "op8_decontaminate": op8_decontaminate,
     "op9_quality": op9_quality,
     "op10_host_rules": op10_host_rules,
 }
@@ -26,5 +28,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op1_html": html.ORACLE,
     "op6_chat": chat.ORACLE,
+    "op8_decontaminate": decontaminate.ORACLE,
     "op10_host_rules": rules.ORACLE,
 }
