@@ -6,17 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfline.llm import chat, decontaminate, html, rules
+from shelfline.llm import chat, decontaminate, html, jaccard, rules
 from shelfline.llm.bpe import op7_bpe
 from shelfline.llm.chat import op6_chat
 from shelfline.llm.decontaminate import op8_decontaminate
 from shelfline.llm.html import op1_html
+from shelfline.llm.jaccard import op2_jaccard
 from shelfline.llm.quality import op9_quality
 from shelfline.llm.rules import op10_host_rules
 from shelfline.llm.wavelet import op3_wavelet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html": op1_html,
+    "op2_jaccard": op2_jaccard,
     "op3_wavelet": op3_wavelet,
     "op6_chat": op6_chat,
     "op7_bpe": op7_bpe,
@@ -27,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = {
     "op1_html": html.ORACLE,
+    "op2_jaccard": jaccard.ORACLE,
     "op6_chat": chat.ORACLE,
     "op8_decontaminate": decontaminate.ORACLE,
     "op10_host_rules": rules.ORACLE,
