@@ -22,8 +22,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shelfline.llm.bpe import cut_pieces, vocabulary_path
-from shelfline.llm.common import table, utf8
+from shelfline.llm.bpe import PRE_TOKENS, byte_letters, cut_pieces, vocabulary_path
+from shelfline.llm.common import table
 from shelfline.session import shared_folder
 
 #: Ids after which a shard is closed at the next document end.
@@ -125,7 +125,10 @@ class WaveletMatrix:
 
 
 class _Library:
-    """The tokenizers library behind a memory of pieces."""
+    """The tokenizers library behind a memory of pieces.
+
+    Its model merges each new pre-token; texts are cut as its pre-tokenizer does, at most once per piece.
+    """
 
     def __init__(self, path: str):
         import json
@@ -142,24 +145,41 @@ class _Library:
             special = [t["content"] for t in json.load(file)["added_tokens"]]
         self.split = re.compile("(" + "|".join(map(re.escape, special)) + ")" if special else "$^()").split
         self.pieces = regex.compile(r"\s*\S+|\s+")
+        self.cut = regex.compile(PRE_TOKENS)
+        self.letters = byte_letters()
+        self.special = {t: np.array([self.tokenizer.token_to_id(t)], "<u4").tobytes() for t in special}
         self.memory: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [[p for k, part in enumerate(self.split(t)) for p in ([part] if k % 2 else cut_pieces(part, self.pieces)) if p] for t in texts]
+    def _word(self, word: str) -> bytes:
+        """One pre-token through the library's own model."""
+        letters = word.encode().decode("latin-1").translate(self.letters)
+        return np.array([t.id for t in self.tokenizer.model.tokenize(letters)], "<u4").tobytes()
+
+    def _learn(self, piece: str) -> bytes:
+        found = self.older.get(piece)
+        if found is None:
+            core = piece[1:] if piece[0] == " " else piece
+            words = [piece] if core.isalpha() else self.cut.findall(piece)
+            if len(words) == 1:
+                found = self._word(piece)
+            else:
+                # The same word often comes back with another sign after it.
+                found = b"".join([self.memory.get(w) or self.memory.setdefault(w, self._word(w)) for w in words])
         if len(self.memory) >= MEMORY_PIECES:
             self.older, self.memory = self.memory, {}
-        memory = self.memory
-        new = {p for pieces in cut for p in pieces if p not in memory}
-        for piece in [p for p in new if p in self.older]:
-            memory[piece] = self.older[piece]
-            new.discard(piece)
-        order = list(new)
-        for lo in range(0, len(order), 4096):
-            some = order[lo : lo + 4096]
-            for piece, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                memory[piece] = np.array(found.ids, "<u4").tobytes()
-        return [b"".join(map(memory.__getitem__, pieces)) for pieces in cut]
+        self.memory[piece] = found
+        return found
+
+    def encode(self, text: str) -> bytes:
+        out: list[bytes] = []
+        for k, part in enumerate(self.split(text)):
+            if k % 2:
+                out.append(self.special[part])
+                continue
+            known, learn = self.memory.get, self._learn
+            out += [known(p) or learn(p) for p in cut_pieces(part, self.pieces) if p]
+        return b"".join(out)
 
 
 @cache
@@ -188,17 +208,13 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
         end = np.array([end_id], "<u4").tobytes()
         part, seq, ids, names, held = TaskContext.get().partitionId(), 0, [], [], 0
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                some = batch.slice(lo, 256)
-                data, offsets = utf8(some.column(1))
-                texts = [data[a:b].tobytes().decode("utf-8", "replace") for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-                for name, own in zip(some.column(0).to_pylist(), library.encode(texts), strict=True):
-                    ids.append(own + end)
-                    names.append(name)
-                    held += len(own) // 4 + 1
-                    if held >= shard_tokens:
-                        yield _shard(part, seq, ids, names)
-                        seq, ids, names, held = seq + 1, [], [], 0
+            for name, text in zip(batch.column(0), batch.column(1), strict=True):
+                ids.append(library.encode(text.as_py() or "") + end)
+                names.append(name.as_py())
+                held += len(ids[-1]) // 4
+                if held >= shard_tokens:
+                    yield _shard(part, seq, ids, names)
+                    seq, ids, names, held = seq + 1, [], [], 0
         if ids:
             yield _shard(part, seq, ids, names)
 
