@@ -14,12 +14,14 @@ from shelfline.llm.html import op1_html
 from shelfline.llm.jaccard import op2_jaccard
 from shelfline.llm.quality import op9_quality
 from shelfline.llm.rules import op10_host_rules
+from shelfline.llm.suffix import op4_suffix
 from shelfline.llm.wavelet import op3_wavelet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html": op1_html,
     "op2_jaccard": op2_jaccard,
     "op3_wavelet": op3_wavelet,
+    "op4_suffix": op4_suffix,
     "op6_chat": op6_chat,
     "op7_bpe": op7_bpe,
     "op8_decontaminate": op8_decontaminate,
