@@ -239,12 +239,29 @@ def _possible(a: str, b: str):
     return (100 * na >= PERCENT * nb) & (100 * nb >= PERCENT * na) & ((pa_ < 0) | (pb < 0) | overlap)
 
 
+def plausible(pairs: DataFrame, lists: DataFrame, light: int) -> DataFrame:
+    """Pairs that share enough of their first shingles to link; nothing that links is lost.
+
+    Of two sets, let a's first shingles end before b's do. Then all that a's first shingles have in common with b stands
+    among b's first ones, and the rest of a adds ``needed(n) - 1`` at most. Sets without inverted lists pass.
+    """
+    listed = F.collect_list(F.when(F.col("place") >= 0, F.col("key"))).alias("keys")
+    firsts = written(lists.groupBy("set_id").agg(F.max("n").alias("n"), listed), "firsts")
+    u = firsts.select(F.col("set_id").alias("u"), F.col("n").alias("nu"), F.col("keys").alias("ku"))
+    v = firsts.select(F.col("set_id").alias("v"), F.col("n").alias("nv"), F.col("keys").alias("kv"))
+    n, m = F.col("nu"), F.col("nv")
+    rest = F.greatest(F.ceil(n * PERCENT / 100), F.ceil(m * PERCENT / 100)) - 1
+    overlap = F.ceil((n + m) * PERCENT / (100 + PERCENT))
+    unlisted = F.least(n, m) * 100 < PERCENT * (light + 1)
+    return pairs.join(u, "u").join(v, "v").where(unlisted | (F.size(F.array_intersect("ku", "kv")) >= overlap - rest)).select("u", "v")
+
+
 def verified(docs: DataFrame, known: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs (u, v) of set ids whose sets link, compared as a whole.
 
     Only documents that stand for a set of a pair are read as a whole: one per set, and those without an id.
     """
-    pairs = written(pairs.distinct(), "pairs")
+    pairs = written(pairs, "pairs")
     wanted = pairs.select(F.col("u").alias("set_id")).unionByName(pairs.select(F.col("v").alias("set_id"))).distinct()
     own = known.groupBy("set_id").agg(F.min("doc_id").alias("doc_id")).join(wanted, "set_id", "left_semi")
     ids = written(own.where(F.col("doc_id").isNotNull()).select("doc_id").distinct(), "of-pairs")
@@ -287,7 +304,7 @@ def set_links(docs: DataFrame, known: DataFrame) -> DataFrame:
     star = lists.alias("a").join(centre.alias("b"), "key").where((F.col("a.set_id") != F.col("b.set_id")) & _possible("a", "b"))
     pairs = star.select(F.least("a.set_id", "b.set_id").alias("u"), F.greatest("a.set_id", "b.set_id").alias("v")).distinct()
     pairs = written(pairs, "stars")
-    links = verified(docs, known, pairs)
+    links = verified(docs, known, plausible(pairs, lists, light))
 
     # Then entries outside the largest component of their list against all others of the list.
     joined = components(links).withColumnsRenamed({"node": "set_id"})
@@ -305,7 +322,7 @@ def set_links(docs: DataFrame, known: DataFrame) -> DataFrame:
     )
     more = other.select(F.least("a.set_id", "b.set_id").alias("u"), F.greatest("a.set_id", "b.set_id").alias("v")).distinct()
     more = more.join(pairs, ["u", "v"], "left_anti")
-    return links.unionByName(verified(docs, known, more))
+    return links.unionByName(verified(docs, known, plausible(more, lists, light)))
 
 
 def near_components(docs: DataFrame) -> DataFrame:
