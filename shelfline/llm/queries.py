@@ -12,6 +12,7 @@ from shelfline.llm.chat import op6_chat
 from shelfline.llm.decontaminate import op8_decontaminate
 from shelfline.llm.html import op1_html
 from shelfline.llm.jaccard import op2_jaccard
+from shelfline.llm.masked import op5_pseudo_likelihood
 from shelfline.llm.quality import op9_quality
 from shelfline.llm.rules import op10_host_rules
 from shelfline.llm.suffix import op4_suffix
@@ -22,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_jaccard": op2_jaccard,
     "op3_wavelet": op3_wavelet,
     "op4_suffix": op4_suffix,
+    "op5_pseudo_likelihood": op5_pseudo_likelihood,
     "op6_chat": op6_chat,
     "op7_bpe": op7_bpe,
     "op8_decontaminate": op8_decontaminate,
