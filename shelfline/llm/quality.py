@@ -160,10 +160,10 @@ def training_sample(docs: DataFrame, labels: DataFrame) -> tuple[list[str], np.n
     return [r["_text"] for r in rows], np.array([r["_quality"] for r in rows], np.float32)
 
 
-def score(docs: DataFrame, model: Network | float) -> DataFrame:
-    """``docs`` with ``score`` of each whole text."""
-    keep = [c for c in docs.columns if c != "score"]
-    schema = docs.select(*keep).schema.add("score", "double")
+def score(docs: DataFrame, model: Network | float, name: str = "score") -> DataFrame:
+    """``docs`` with the score of each whole text as column ``name``."""
+    keep = [c for c in docs.columns if c != name]
+    schema = docs.select(*keep).schema.add(name, "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -172,7 +172,7 @@ def score(docs: DataFrame, model: Network | float) -> DataFrame:
                 data, offsets = utf8(batch.column("text"))
                 for lo, hi, d, o in blocks(data, offsets, 1 << 18):
                     found[lo:hi] = model.scores(d, o)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found)], names=[*keep, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found)], names=[*keep, name])
 
     return docs.select(*keep).mapInArrow(run, schema)
 
