@@ -428,7 +428,7 @@ def _cover(size: int, spans: list | None) -> np.ndarray:
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with the covered bytes of ``text`` removed; what is left of a cut character goes too."""
-    found = with_spans(docs)
+    found, columns = with_spans(docs), docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -437,7 +437,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                 if spans.is_valid and texts[k]:
                     raw = np.frombuffer(texts[k].encode(), np.uint8)
                     texts[k] = raw[~_cover(len(raw), spans.as_py())].tobytes().decode("utf-8", "ignore")
-            rows = {c: batch.column(c) for c in docs.columns} | {"text": pa.array(texts, pa.string())}
+            rows = {c: batch.column(c) for c in columns} | {"text": pa.array(texts, pa.string())}
             if "n_chars" in rows:
                 rows["n_chars"] = pa.array([None if t is None else len(t) for t in texts], rows["n_chars"].type)
             yield pa.RecordBatch.from_arrays(list(rows.values()), names=list(rows))
