@@ -43,7 +43,7 @@ GRAM, RADIUS = 16, 32
 SHORT = 128
 REACH = LENGTH - SHORT
 #: Blocks whose names travel with a suffix for the comparison of neighbours.
-AHEAD = 16
+AHEAD = LENGTH // (RADIUS + 1) + 2
 #: Bytes by which a common prefix may be longer than its whole blocks.
 SLACK = SHORT + RADIUS + GRAM
 LEVELS = 3
@@ -75,7 +75,10 @@ def cuts_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def _block_cuts(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
-    """Of every cut with ``SHORT`` bytes after it: text, place, gap before it, next cut, and three hashes."""
+    """Of every cut with ``SHORT`` bytes after it: text, place, gap before it (``REACH`` at most), size and three hashes.
+
+    The size of a text's last block is negative: no cut follows it.
+    """
     at, doc = cuts_of(data, offsets)
     begin, end = offsets[:-1][doc], offsets[1:][doc]
     before = np.concatenate([[-1], at[:-1]]) if len(at) else at
@@ -91,7 +94,7 @@ def _block_cuts(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     hi = np.minimum(end, at + LENGTH - RADIUS)
     around = mixed(word_hashes(data, lo, hi) + (at - lo).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
     return {
-        "doc": doc, "at": at - begin, "gap": gap, "next": np.where(last, -1, after - begin), "size": block_end - at,
+        "doc": doc, "at": at - begin, "gap": np.minimum(gap, REACH), "size": np.where(last, at - block_end, block_end - at),
         "key": word_hashes(data, at, at + SHORT), "block": word_hashes(data, at, block_end) | np.uint64(1), "around": around,
     }
 
@@ -104,13 +107,13 @@ def _once(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return head, count[inverse] > 1
 
 
-_FIELDS = (("key", "<u8"), ("rid", "<i8"), ("at", "<i4"), ("gap", "<i4"), ("next", "<i4"), ("size", "<i4"), ("block", "<u8"), ("around", "<u8"))
+_FIELDS = (("key", "<u8"), ("rid", "<i8"), ("at", "<i4"), ("gap", "<u2"), ("size", "<i4"), ("block", "<u8"), ("around", "<u8"))
 
 
 def _dealt(columns: dict[str, np.ndarray], fields, known: np.ndarray, spread: int, head: np.ndarray) -> pa.RecordBatch:
     """One row per bucket: entries to be filtered by key, and known ones dealt by row id."""
     key = columns["key"]
-    bucket = np.where(head, (mixed(key) % np.uint64(spread)).astype(np.int64), spread + columns["rid"] % spread)
+    bucket = np.where(head, (mixed(key) % np.uint64(spread)).astype(np.int64), spread + np.abs(columns["rid"] % spread))
     columns = {**columns, "known": known}
     by = np.argsort(bucket, kind="stable")
     bucket = bucket[by]
@@ -165,7 +168,7 @@ def repeated_cuts(staged: DataFrame, spread: int) -> DataFrame:
     def several(bucket: pa.Table) -> pa.Table:
         columns = _unpacked(bucket, _FIELDS)
         keep = _several(columns, bucket["bucket"][0].as_py() < spread)
-        return pa.table({f: pa.array(columns[f][keep].astype(np.int64) if columns[f].dtype.kind == "i" else columns[f][keep].view(np.int64)) for f in names})
+        return pa.table({f: pa.array(columns[f][keep].view(np.int64) if f in ("block", "around") else columns[f][keep].astype(np.int64)) for f in names})
 
     sent = staged.select("rid", "text").mapInArrow(enter, "bucket long, " + ", ".join(f"{f} binary" for f, _ in _FIELDS) + ", known binary")
     return sent.groupBy("bucket").applyInArrow(several, ", ".join(f"{f} long" for f in names))
@@ -233,92 +236,92 @@ def suffix_order(strings: DataFrame, levels: int = LEVELS) -> DataFrame:
 
 
 def _strings(cuts: DataFrame) -> DataFrame:
-    """Cuts that follow each other directly form a string: ``s`` and the place ``i`` in it."""
+    """Cuts that follow each other directly form a string: its name ``s`` and the place ``i`` in it."""
     of = Window.partitionBy("rid").orderBy("at")
-    new = F.coalesce((F.lag("next").over(of) != F.col("at")).cast("int"), F.lit(1))
+    follows = F.when(F.col("size") > 0, F.col("at") + F.col("size") - GRAM)
+    new = F.coalesce((F.lag(follows).over(of) != F.col("at")).cast("int"), F.lit(1))
     marked = cuts.withColumn("_run", F.sum(new).over(of.rowsBetween(Window.unboundedPreceding, 0)))
     in_run = Window.partitionBy("rid", "_run").orderBy("at")
-    # Row ids and runs are numbered apart: a hash of both names the string; equal names would only mix two strings' order.
-    s = F.shiftright(F.xxhash64("rid", "_run"), 8)
-    return marked.select("*", s.alias("s"), (F.row_number().over(in_run) - 1).cast("long").alias("i"))
+    # Equal names of two runs would only mix their order; names leave room for the recursion to double them.
+    name = F.shiftright(F.xxhash64("rid", "_run"), 8)
+    return marked.select("*", name.alias("s"), (F.row_number().over(in_run) - 1).cast("long").alias("i")).drop("_run")
 
 
 def intervals(cuts: DataFrame) -> DataFrame:
-    """Each cut with ``upper`` (bound of the bytes that it shares with another suffix), its interval and its part in it.
+    """Each cut with ``upper`` (a bound of the bytes that it shares with another suffix) and its interval ``part, seq``.
 
-    ``role``: 2 if another suffix of the interval has the same bytes around its cut and comes first, 1 if it is the first of
-    several, 0 if it is alone with its surrounding; ``kinds`` is the number of surroundings in the interval.
+    Equal strings are ordered once, under the least of their names.
     """
     strings = written(_strings(cuts), "strings")
-    ranks = suffix_order(strings.select("s", "i", F.col("block").alias("x")))
+    whole = strings.groupBy("s").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("block", "i")).alias("one"), F.bit_xor(F.xxhash64("i", "block")).alias("two"))
+    equal = whole.groupBy("n", "one", "two").agg(F.min("s").alias("rep"), F.count(F.lit(1)).alias("strings"))
+    stands = written(whole.join(equal, ["n", "one", "two"]).select("s", "rep", "strings"), "equal-strings")
+    reps = stands.where("s = rep").select("s", "strings")
+    once = written(strings.join(reps, "s").select("s", "i", "block", "size", "strings"), "distinct-strings")
+
+    ranks = suffix_order(once.select("s", "i", F.col("block").alias("x")))
     in_string = Window.partitionBy("s").orderBy("i").rowsBetween(0, AHEAD - 1)
-    names = F.collect_list(F.struct((F.col("block") % 2147483647).cast("int").alias("b"), (F.col("size") - GRAM).cast("int").alias("n"))).over(in_string)
-    carried = strings.withColumn("names", names).join(ranks, ["s", "i"])
-    carried = carried.select("rank", "rid", "at", "gap", "around", "names")
-    ordered = carried.repartitionByRange("rank").sortWithinPartitions("rank", "rid", "at")
-    schema = "rid long, at long, gap long, around long, upper long, part long, seq long"
+    # Nine bits of size, as no bound beyond LENGTH is needed, and 22 of the block's name.
+    packed = (F.pmod("block", F.lit(1 << 22)) * 512 + F.least(F.abs("size") - GRAM, F.lit(511))).cast("int")
+    carried = once.join(ranks, ["s", "i"]).select("rank", "s", "i", "strings", F.collect_list(packed).over(in_string).alias("names"))
+    ordered = carried.repartitionByRange("rank").sortWithinPartitions("rank", "s", "i")
+    schema = "s long, i long, upper long, part long, seq long"
 
     def shared(a: list, b: list) -> int:
         total = 0
         for x, y in zip(a, b, strict=False):
-            if x["b"] != y["b"]:
-                return total + min(x["n"], y["n"]) + SLACK
-            total += x["n"]
+            if x != y:
+                return total + min(x & 511, y & 511) + SLACK
+            total += x & 511
         return total + SLACK
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, seq, last_rank, last_names, last_upper = TaskContext.get().partitionId(), 0, None, None, 0
+        part, seq, last_rank, last_names, last_both = TaskContext.get().partitionId(), 0, None, None, 0
         held: dict[str, list] | None = None
         for batch in batches:
-            rank = batch.column("rank").to_numpy()
-            names_ = batch.column("names")
-            upper, group = np.zeros(len(rank), np.int64), np.zeros(len(rank), np.int64)
+            rank, names = batch.column("rank").to_pylist(), batch.column("names").to_pylist()
+            copies = batch.column("strings").to_pylist()
+            rows = {c: batch.column(c).to_pylist() for c in ("s", "i")} | {"upper": [], "part": [part] * len(rank), "seq": []}
             for k in range(len(rank)):
-                own = None
+                both = 0
                 if last_rank is not None:
-                    if rank[k] == last_rank:
-                        both = LENGTH + SLACK
-                    else:
-                        own = names_[k].as_py()
-                        both = shared(last_names, own)
+                    both = LENGTH + SLACK if rank[k] == last_rank else shared(last_names, names[k])
                     if both < SHORT:
                         seq, both = seq + 1, 0
-                    if k:
-                        upper[k - 1] = max(last_upper, both)
-                    elif held is not None:
-                        held["upper"][-1] = max(last_upper, both)
-                    last_upper = both
-                else:
-                    last_upper = 0
-                if rank[k] != last_rank:
-                    last_rank, last_names = rank[k], own if own is not None else names_[k].as_py()
-                upper[k], group[k] = last_upper, seq
+                    before = rows if k else held
+                    before["upper"][-1] = max(before["upper"][-1], both)
+                last_rank, last_names = rank[k], names[k]
+                rows["upper"].append(LENGTH + SLACK if copies[k] > 1 else both)
+                rows["seq"].append(seq)
             if held is not None:
                 yield pa.RecordBatch.from_pydict(held, schema=kinds)
-            held = {c: batch.column(c).to_numpy().tolist() for c in ("rid", "at", "gap", "around")} | {"upper": upper.tolist(), "part": [part] * len(rank), "seq": group.tolist()}
+            held = rows if rank else held
         if held is not None:
             yield pa.RecordBatch.from_pydict(held, schema=kinds)
 
     kinds = pa.schema([(f.split()[0], pa.int64()) for f in schema.split(", ")])
-    return written(ordered.mapInArrow(run, schema), "intervals")
+    found = written(ordered.mapInArrow(run, schema), "order").withColumnRenamed("s", "rep")
+    placed = strings.select("s", "i", "rid", "at", "gap", "around").join(stands.select("s", "rep"), "s").join(found, ["rep", "i"])
+    return written(placed.select("rid", "at", "gap", "around", "upper", "part", "seq"), "intervals")
 
 
 def tasks_of(found: DataFrame) -> DataFrame:
-    """What to do for each cut: ``sure`` cuts have repeated passages only, the others ask or answer.
+    """What to do for each cut: all passages that hang on a ``sure`` cut are repeated, as another cut has the same bytes around
+    it; a cut to ``check`` compares its passages one by one, as its interval holds other surroundings.
 
-    Partition edges: a suffix at the edge of a range partition is not compared with the one beyond it, so the surroundings
-    are gathered over all intervals by their own hash, and edges ask and answer for all they hold.
+    Of several cuts with one surrounding the first one compares for all. A suffix at the edge of a range partition is not
+    compared with the one beyond it, so the intervals at edges compare all they hold.
     """
-    same = found.groupBy("around").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("rid", "at")).alias("head"), F.max("upper").alias("most"))
-    edges = found.groupBy("part").agg(F.max("seq").alias("seq")).unionByName(found.groupBy("part").agg(F.min("seq").alias("seq"))).distinct()
-    mixed_ = found.groupBy("part", "seq").agg((F.min("around") != F.max("around")).alias("several"))
-    mixed_ = mixed_.join(F.broadcast(edges.withColumn("edge", F.lit(True))), ["part", "seq"], "left")
-    of_group = mixed_.select("part", "seq", (F.col("several") | F.coalesce("edge", F.lit(False))).alias("several"), F.coalesce("edge", F.lit(False)).alias("edge"))
-    all_ = found.join(of_group, ["part", "seq"]).join(same, "around")
+    same = found.groupBy("around").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("rid", "at")).alias("head"))
+    ends = found.groupBy("part").agg(F.min("seq").alias("low"), F.max("seq").alias("high"))
+    group = found.groupBy("part", "seq").agg((F.min("around") != F.max("around")).alias("several"))
+    # One row per partition.
+    group = group.join(F.broadcast(ends), "part").withColumn("edge", (F.col("seq") == F.col("low")) | (F.col("seq") == F.col("high")))
+    joined = found.join(group.select("part", "seq", (F.col("several") | F.col("edge")).alias("several"), "edge"), ["part", "seq"]).join(same, "around")
     head = (F.col("head.rid") == F.col("rid")) & (F.col("head.at") == F.col("at"))
-    upper = F.when(F.col("edge"), F.lit(LENGTH + SLACK)).otherwise(F.greatest("upper", F.when(F.col("copies") > 1, F.lit(LENGTH + SLACK)).otherwise(F.lit(0))))
-    return all_.select(
-        "rid", "at", "gap", (F.col("copies") > 1).alias("sure"), upper.alias("upper"),
+    far = F.lit(LENGTH + SLACK)
+    return joined.select(
+        "rid", "at", "gap", (F.col("copies") > 1).alias("sure"), F.when(F.col("edge") | (F.col("copies") > 1), far).otherwise(F.col("upper")).alias("upper"),
         (F.col("several") & ((F.col("copies") == 1) | head)).alias("check"),
     )
 
@@ -399,9 +402,16 @@ def _fits(lists: DataFrame) -> bool:
 
 
 def with_spans(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` stored with a row id ``rid`` and ``spans``: the first bytes of repeated passages, as ranges."""
+    """``docs`` with a row id ``rid`` and ``spans``: the first bytes of repeated passages, as ranges.
+
+    ``docs`` is read several times, so it should be a stored table. A hash of id and text names a row; if rows repeat, so
+    that this is no name, the table is stored again with numbered rows.
+    """
     keep = [c for c in docs.columns if c not in ("rid", "spans")]
-    staged = written(docs.select(*keep).withColumn("rid", F.monotonically_increasing_id()), "staged")
+    id_ = [c for c in ("doc_id",) if c in keep]
+    staged = docs.select(*keep).withColumn("rid", F.xxhash64(*id_, text_col))
+    if not staged.groupBy("rid").count().where("count > 1").isEmpty():
+        staged = written(docs.select(*keep).withColumn("rid", F.monotonically_increasing_id()), "staged")
     slim = staged.select("rid", F.col(text_col).alias("text"))
     size = slim.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
     spread = max(8, int(size // 60 // _BUCKET) + 1)
