@@ -132,7 +132,7 @@ def common_order(counts: DataFrame) -> tuple[Order, float]:
         kept, least = kept + row["n"], row["level"]
     rest = [r for r in rows if r["level"] < least]
     scanned = sum(r["df"] for r in rest) / max(1, sum(r["n"] for r in rest)) if rest else 2.0
-    chosen = counts.where(F.col("df") >= 2**least).toArrow()  # at most ORDERED rows
+    chosen = counts.where(F.floor(F.log2("df")) >= least).toArrow()  # at most ORDERED rows
     return Order(chosen["token"].to_numpy().view(np.uint64), chosen["df"].to_numpy()), float(scanned)
 
 
@@ -189,7 +189,7 @@ def shared_entries(docs: DataFrame, order: Order, light: int, entries: int) -> D
         rows = [key.astype("<u8"), ids.astype("<u8"), n.astype("<u4"), place.astype("<i4")]
         rows, bucket = [x[by] for x in rows], bucket[by]
         cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else np.zeros(0, int)
-        ends = np.append(cut[1:], len(bucket))
+        ends = np.append(cut[1:], len(bucket))[: len(cut)]
         blobs = [pa.array([x[a:b].tobytes() for a, b in zip(cut, ends, strict=True)], pa.binary()) for x in rows]
         return pa.RecordBatch.from_arrays([pa.array(bucket[cut], pa.int64()), *blobs], names=["bucket", "key", "set_id", "n", "place"])
 

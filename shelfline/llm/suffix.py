@@ -118,7 +118,7 @@ def _dealt(columns: dict[str, np.ndarray], fields, known: np.ndarray, spread: in
     by = np.argsort(bucket, kind="stable")
     bucket = bucket[by]
     cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else np.zeros(0, np.int64)
-    ends = np.append(cut[1:], len(bucket)).astype(np.int64)
+    ends = np.append(cut[1:], len(bucket)).astype(np.int64)[: len(cut)]
     blobs = []
     for name, kind in (*fields, ("known", "u1")):
         values = columns[name][by].astype(kind)
