@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import dataclasses
+import functools
 import os
 import uuid
 from collections.abc import Callable
@@ -12,7 +14,7 @@ from pyspark.sql import functions as F
 
 from queries import oracles as sql
 from queries import views as v
-from shelfline.config import Columns, CrossValidation, Features, Model, Sweep
+from shelfline.config import LIGHT_FEATURES, Columns, CrossValidation, Model, Sweep
 from shelfline.functions.calendar import (
     add_is_weekend,
     add_month_of_year,
@@ -433,7 +435,7 @@ def feature_matrix(spark: SparkSession, d: str) -> DataFrame:
 @query(sql.FEATURE_SLICE)
 def feature_slice_with_context(spark: SparkSession, d: str) -> DataFrame:
     """FLOW-1 on a date slice whose windows may read earlier rows."""
-    light = Features(context_days=400)
+    light = dataclasses.replace(LIGHT_FEATURES, context_days=400)
     dates = tuple(date.fromisoformat(day) for day in SLICE)
     return rounded(slice_features(v.sales(spark, d), dates, light, "unit_sales", KEYS, "daily"))
 
@@ -444,7 +446,7 @@ def fold_train_features(spark: SparkSession, d: str) -> DataFrame:
     sales = v.sales(spark, d)
     folds = collect_folds(folds_of(sales))
     path = os.path.join(shared_folder(spark), f"fold-features-{uuid.uuid4().hex}")
-    return rounded(FoldFeatures(spark, path, sales, folds, Features(), Columns(), "daily").train(folds[1]))
+    return rounded(FoldFeatures(spark, path, sales, folds, LIGHT_FEATURES, Columns(), "daily").train(folds[1]))
 
 
 @query(sql.CSV_LOAD)
@@ -458,7 +460,7 @@ def csv_load(spark: SparkSession, d: str) -> DataFrame:
 # --- Models ---------------------------------------------------------------------------------------------------------
 
 SMALL_MODEL = Model(params={"n_estimators": 5, "learning_rate": 0.2, "max_depth": 4, "random_state": 7})
-LIGHT = Features()
+LIGHT = LIGHT_FEATURES
 
 
 def _fold_builder(spark: SparkSession, d: str):
@@ -476,25 +478,31 @@ def _fold_builder(spark: SparkSession, d: str):
 
 @query()
 def gbt_forecast(spark: SparkSession, d: str) -> DataFrame:
-    """ML-1, ML-2: forecasts of the latest fold's validation slice."""
+    """ML-1, ML-2: forecasts of the validation slices of all folds."""
     folds, build = _fold_builder(spark, d)
-    train, val = build(folds[0])
-    model = train_model(train, val, "unit_sales", SMALL_MODEL)
-    return predict(model, val).select("date", *KEYS, "unit_sales", "prediction")
+    parts = []
+    for fold in folds:
+        train, val = build(fold)
+        model = train_model(train, val, "unit_sales", SMALL_MODEL)
+        found = predict(model, val).select("date", *KEYS, "unit_sales", "prediction")
+        parts.append(written(found.withColumn("fold", F.lit(fold.fold)), "forecast"))
+    return functools.reduce(DataFrame.unionByName, parts)
 
 
 @query()
 def gbt_importance(spark: SparkSession, d: str) -> DataFrame:
-    """SNK-6: importance of every feature in the latest fold's model."""
+    """SNK-6: importance of every feature in each fold's model."""
     folds, build = _fold_builder(spark, d)
-    train, val = build(folds[0])
-    model = train_model(train, val, "unit_sales", SMALL_MODEL)
-    return importance_table(spark, [(folds[0].fold, name, weight) for name, weight in feature_importance(model)])
+    found = []
+    for fold in folds:
+        model = train_model(*build(fold), "unit_sales", SMALL_MODEL)
+        found += [(fold.fold, name, weight) for name, weight in feature_importance(model)]
+    return importance_table(spark, found)
 
 
 @query()
 def param_sweep(spark: SparkSession, d: str) -> DataFrame:
     """ML-3 to ML-6: the trial history of a small sweep."""
     folds, build = _fold_builder(spark, d)
-    sweep = Sweep(enabled=True, n_trials=2, windows_limit=1)
+    sweep = Sweep(enabled=True, n_trials=2)
     return run_sweep(spark, folds, build, SMALL_MODEL, sweep).trials

@@ -27,18 +27,22 @@ class CrossValidation:
 
 @dataclass(frozen=True)
 class Features:
-    """What ``make_features`` builds; the defaults are the light set of the backtest."""
+    """What ``make_features`` builds; the defaults are its full set."""
 
-    lags: tuple[int, ...] = (7, 14)
+    lags: tuple[int, ...] = (7, 14, 28)
     rollag: tuple[int, ...] = (1,)
     explag: tuple[int, ...] = (1,)
-    windows: tuple[int, ...] = (7,)
-    rolling_stats: tuple[str, ...] = ("mean",)
-    exp_stats: tuple[str, ...] = ()
+    windows: tuple[int, ...] = (7, 14, 28)
+    rolling_stats: tuple[str, ...] = ("mean", "std", "max", "min", "sum")
+    exp_stats: tuple[str, ...] = ("mean", "std", "max", "min", "sum")
     #: Days of history before a slice that its windows may read; 0 computes every slice from its own rows alone.
     context_days: int = 0
 
 
+#: A small set for first comparisons.
+LIGHT_FEATURES = Features(lags=(7, 14), windows=(7,), rolling_stats=("mean",), exp_stats=())
+
+
 @dataclass(frozen=True)
 class Model:
     """Boosted trees. The framework name is kept for configurations written for other learners."""
@@ -60,7 +64,8 @@ class Model:
 class Sweep:
     enabled: bool = False
     n_trials: int = 3
-    windows_limit: int | None = 2
+    #: Score only the first folds; None for all.
+    windows_limit: int | None = None
     pruner: str = "median"
     metric: str = "RMSE"
     seed: int = 42
@@ -73,8 +78,6 @@ class BacktestConfig:
     paths: Any = None
     #: Folder for feature tables, models and run records.
     output_dir: str | None = None
-    #: Keep only the first rows by date and key.
-    train_rows: int | None = None
     #: "daily" when a series has at most one row per day, "check" to count first.
     rows_per_group: str = "check"
     #: Store the prepared table in this many buckets per series key, so that no fold shuffles it again.

@@ -36,9 +36,9 @@ def create_extend_train(
         (stores, "store_nbr", ["city", "state"], stores_order),
     ):
         require_columns(table, [key, *columns], "create_extend_train")
-        small = fits_broadcast(table.select(key, *columns))
         dim = aligned(_dimension(table, key, columns, order), train, [key])
-        train = attach(train, dim, [key], small=small).select(*train.columns, *columns)
+        # Measured after the choice of one row per key: a long raw table may hold few keys.
+        train = attach(train, dim, [key], small=fits_broadcast(dim)).select(*train.columns, *columns)
     return train
 
 
@@ -92,7 +92,7 @@ def join_promos(
     keys = next((ks for ks in PROMO_KEYS if set(ks) <= set(promos.columns) and set(ks) <= set(train.columns)), None)
     if keys is None:
         raise ValueError("join_oil_promos: promos and train share no key; at least 'date' is needed")
-    columns = [c for c in promos.columns if c not in keys and c != SOURCE_ORDER and c not in (order_by or [])]
+    columns = [c for c in promos.columns if c not in keys and c != SOURCE_ORDER]
     if not columns:
         return train
 
@@ -103,10 +103,10 @@ def join_promos(
     base = train.drop("onpromotion") if overwrite_onpromotion and "onpromotion" in columns else train
 
     order = list(order_by or [c for c in (SOURCE_ORDER,) if c in promos.columns])
-    side = aligned(as_date(promos).select(*keys, *columns, *order), train, keys)
+    side = aligned(as_date(promos).select(*keys, *columns, *[c for c in order if c not in (*keys, *columns)]), train, keys)
     side = keep_one(side, keys, keep="last", order_by=order or None)
     side = side.select(*keys, *[F.col(c).alias(renamed[c]) for c in columns])
-    fits = (small or keys == ["date"]) and fits_broadcast(promos.select(*keys, *columns))
+    fits = (small or keys == ["date"]) and fits_broadcast(side)
     return attach(base, side, keys, small=fits).select(*base.columns, *renamed.values())
 
 

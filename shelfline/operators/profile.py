@@ -15,12 +15,12 @@ def feature_catalogue(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "position int, name string, type string")
 
 
-def check_features(df: DataFrame, target: str | None = None, topk: int = 15) -> DataFrame:
+def check_features(df: DataFrame, target: str | None = None, topk: int | None = None) -> DataFrame:
     """AGG-10: rows ``section, name, value`` that describe a feature table.
 
-    Sections: ``shape``, ``dtype`` (columns per type), ``null_ratio`` (the ``topk`` highest), ``constant`` (columns of
-    one state, NULL counting as a state), ``cardinality`` (the ``topk`` highest among text columns) and ``target``.
-    One aggregate reads the table once. A column is constant when its extremes meet, which needs no distinct count;
+    Sections: ``shape``, ``dtype`` (columns per type), ``null_ratio`` (all, or the ``topk`` highest), ``constant`` (columns of
+    one state, NULL counting as a state), ``cardinality`` (of text columns, likewise) and ``target``.
+    One aggregate gives all sections but the cardinalities, which are counted by a second one. A column is constant when its extremes meet, which needs no distinct count;
     exact cardinalities are counted for text columns only, after their values were combined on the map side.
     """
     fields = df.schema.fields
@@ -32,6 +32,7 @@ def check_features(df: DataFrame, target: str | None = None, topk: int = 15) ->
             measures += [F.min(c).alias(f"_min{i}"), F.max(c).alias(f"_max{i}")]
     if target is not None and target in df.columns:
         t = F.col(target).try_cast("double")
+        t = F.when(~F.isnan(t), t)
         measures += [
             F.count(t).cast("double").alias("_t_count"),
             F.count_if(t.isNull()).cast("double").alias("_t_nulls"),
@@ -63,7 +64,7 @@ def check_features(df: DataFrame, target: str | None = None, topk: int = 15) ->
 
     # One row of numbers becomes the few lines of the report; the top null ratios are picked among the columns.
     highest = F.transform(
-        F.slice(F.array_sort(F.array(*nulls)), 1, topk),
+        F.slice(F.array_sort(F.array(*nulls)), 1, len(fields) if topk is None else topk),
         lambda n: F.struct(F.lit("null_ratio").alias("section"), n["name"].alias("name"), (-n["down"]).alias("value")),
     )
     lines = F.concat(F.array_compact(F.array(*shape, *constants)), highest)
@@ -80,7 +81,7 @@ def check_features(df: DataFrame, target: str | None = None, topk: int = 15) ->
             .agg(F.count(F.lit(1)).cast("double").alias("value"))
         )
         cardinality = values.select(F.lit("cardinality").alias("section"), "name", "value")
-        parts.append(cardinality.orderBy(F.desc("value"), "name").limit(topk))
+        parts.append(cardinality if topk is None else cardinality.orderBy(F.desc("value"), "name").limit(topk))
 
     out = parts[0]
     for part in parts[1:]:

@@ -50,6 +50,12 @@ def _year_range(start_year: int | None, end_year: int | None) -> Column | None:
     return bounds[0] if len(bounds) == 1 else bounds[0] & bounds[1]
 
 
+def _value(target_col: str) -> Column:
+    """The target as a number; NaN is a missing value."""
+    value = F.col(target_col).cast("double")
+    return F.when(~F.isnan(value), value)
+
+
 def period_totals(
     df: DataFrame,
     kinds: Sequence[str],
@@ -63,8 +69,8 @@ def period_totals(
     rows = df if inside is None else df.where(inside)
     names = [_PERIODS[kind][0] for kind in kinds]
     return rows.groupBy(*partition_cols, "year", *names).agg(
-        F.sum(F.col(target_col).cast("double")).alias("_total"),
-        F.count(target_col).alias("_known"),
+        F.sum(_value(target_col)).alias("_total"),
+        F.count(_value(target_col)).alias("_known"),
         F.min("date").alias("_first_date"),
     )
 
@@ -259,7 +265,7 @@ def daily_totals(df: DataFrame, target_col: str = "unit_sales") -> DataFrame:
     """Totals per date: one pass over the fact table from which ``seasonal_totals`` of any date range follow."""
     df = as_date(df).where(F.col("date").isNotNull())
     return df.groupBy("date").agg(
-        F.sum(F.col(target_col).cast("double")).alias("_total"), F.count(target_col).alias("_known")
+        F.sum(_value(target_col)).alias("_total"), F.count(_value(target_col)).alias("_known")
     )
 
 

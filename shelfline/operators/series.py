@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfline.schemas import as_date, require_columns
+from shelfline.schemas import as_date, nan_to_null, require_columns
 from shelfline.session import MAX_GROUP_ROWS, int_setting, written
 
 #: Number of a row within its series, while features are computed.
@@ -179,6 +179,8 @@ def add_series_features(
         raise ValueError("rows_per_group must be 'check' or 'daily'")
     keys = list(group_cols or [])
     require_columns(df, [*keys, date_col, *tiebreak], "series features")
+    # One NaN would spoil every later row of a running statistic.
+    df = nan_to_null(df)
     features = list(features)
     names = [f.name for f in features]
     kept = [c for c in df.columns if c not in names]

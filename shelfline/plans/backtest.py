@@ -16,7 +16,6 @@ from shelfline.operators.folds import Fold, build_rolling_windows, collect_folds
 from shelfline.operators.metrics import METRICS, aggregate_fold_scores, evaluate_metrics, to_long
 from shelfline.operators.profile import check_features
 from shelfline.operators.promotions import process_promotions
-from shelfline.operators.series import first_rows
 from shelfline.operators.slicing import unique_dates
 from shelfline.plans.fold_features import FoldFeatures
 from shelfline.plans.model import check_framework, feature_importance, predict, train_model
@@ -34,8 +33,6 @@ def prepare(tables: dict[str, DataFrame], cfg: BacktestConfig) -> DataFrame:
     in under another name.
     """
     train = tables["train"]
-    if cfg.train_rows:
-        train = first_rows(train, cfg.train_rows, list(cfg.cols.group_cols))
     train = create_extend_train(train, tables["items"], tables["stores"])
     if tables.get("promos") is not None:
         train = join_promos(train, tables["promos"].drop(cfg.cols.target))
@@ -103,7 +100,8 @@ def run_backtest(
     check_framework(cfg.model)
     run_id = uuid.uuid4().hex[:12]
     out = cfg.output_dir or os.path.join(shared_folder(spark), f"backtest-{run_id}")
-    tables = tables or load_tables(spark, cfg.paths, keep_row_order=True)
+    # Only dimensions have repeated keys to choose from; the facts carry no helper column.
+    tables = tables or load_tables(spark, cfg.paths, keep_row_order=("items", "stores", "oil", "promos", "holidays_events"))
     records = RunRecords(spark, os.path.join(out, "records"), run_id)
     records.config(cfg.as_json())
 

@@ -61,7 +61,7 @@ def make_features(
     if visible_from is not None:
         start = F.lit(visible_from)
         wide, rows = wide.where(F.col("date") >= start), rows.where(F.col("date") >= start)
-    return dressed(wide, seasonal_totals(rows), df.columns, [f.name for f in features])
+    return dressed(wide, seasonal_totals(rows, target_col=target_col), df.columns, [f.name for f in features])
 
 
 def target_feature_list(target_col, lags, rollag, explag, windows, rolling_stats, exp_stats) -> list[Feature]:

@@ -92,7 +92,7 @@ class FoldFeatures:
             return self._once(f"train{fold.fold}", lambda: self._slice(fold.train_range))
         end = F.lit(fold.train_end)
         wide = self._once("windows", self._windows).where(F.col("date") <= end)
-        days = self._once("days", lambda: daily_totals(slice_by_date(self.prepared, self.span)))
+        days = self._once("days", lambda: daily_totals(slice_by_date(self.prepared, self.span), self.cols.target))
         until, flag = F.col("days_until_next_promo"), F.col("promo_in_next_7days")
         wide = wide.withColumns(
             {

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import warnings
+from collections.abc import Sequence
 from typing import Any
 
 from pyspark.ml import PipelineModel
@@ -34,6 +35,9 @@ PARAMETER_NAMES = {
     "validation_tol": "validationTol",
 }
 
+# What holds where the parameters name nothing.
+DEFAULT_TREES, DEFAULT_RATE, DEFAULT_PATIENCE = 2000, 0.05, 200
+
 _VAL, _FEATURES = "_is_val", "_features"
 
 
@@ -46,6 +50,8 @@ def spark_params(params: dict[str, Any]) -> dict[str, Any]:
     """Parameters by Spark name; those without a counterpart are warned about."""
     out: dict[str, Any] = {}
     for name, value in params.items():
+        if name == "early_stopping_rounds":
+            continue
         if name == "num_leaves":
             out.setdefault("maxDepth", max(1, math.ceil(math.log2(value))))
         elif name in PARAMETER_NAMES:
@@ -56,7 +62,9 @@ def spark_params(params: dict[str, Any]) -> dict[str, Any]:
         if name in out:
             out[name] = int(round(out[name]))
     if "featureSubsetStrategy" in out:
-        out["featureSubsetStrategy"] = str(out["featureSubsetStrategy"])
+        share = out["featureSubsetStrategy"]
+        # "1" would be one feature, "1.0" is all of them.
+        out["featureSubsetStrategy"] = share if isinstance(share, str) else str(float(share))
     return out
 
 
@@ -113,7 +121,12 @@ def _preparation(train: DataFrame, rows: DataFrame, target_col: str) -> tuple[li
 
 
 def train_model(train: DataFrame, val: DataFrame, target_col: str, model: Model) -> PipelineModel:
-    """ML-1: fit boosted regression trees on the training rows, stopping when the validation error stops falling."""
+    """ML-1: fit boosted regression trees, as many as had the lowest validation error.
+
+    Trees are added until the error has not fallen for ``early_stopping_rounds`` trees (200 unless given) or
+    ``n_estimators`` (2000 unless given) is reached. Spark cannot go on from a fitted model, so the number of trees is
+    doubled from fit to fit; the same seed gives the same first trees. A last fit keeps those up to the best one.
+    """
     check_framework(model)
     params = spark_params(model.params)
     train = train.where(F.col(target_col).isNotNull())
@@ -125,12 +138,39 @@ def train_model(train: DataFrame, val: DataFrame, target_col: str, model: Model)
         [len(labels) + 1 for stage in stages if hasattr(stage, "labelsArray") for labels in stage.labelsArray], default=0
     )
     params["maxBins"] = max(int(params.get("maxBins", 32)), categories)
-    params.setdefault("validationTol", 0.0)
+    most = params.pop("maxIter", DEFAULT_TREES)
+    params.setdefault("stepSize", DEFAULT_RATE)
+    patience = int(model.params.get("early_stopping_rounds", DEFAULT_PATIENCE))
     prepared = PipelineModel(stages).transform(rows).select(_FEATURES, F.col(target_col).cast("double").alias("_y"), _VAL)
-    learner = GBTRegressor(
-        featuresCol=_FEATURES, labelCol="_y", predictionCol="prediction", validationIndicatorCol=_VAL, **params
-    )
-    return PipelineModel([*stages, learner.fit(prepared)])
+    fit_rows, check_rows = prepared.where(~F.col(_VAL)), prepared.where(F.col(_VAL))
+
+    def fit(trees: int):
+        learner = GBTRegressor(featuresCol=_FEATURES, labelCol="_y", predictionCol="prediction", maxIter=trees, **params)
+        return learner.fit(fit_rows)
+
+    checkable = not check_rows.isEmpty()
+    trees = most if not checkable else min(most, max(32, patience))
+    while True:
+        fitted = fit(trees)
+        if not checkable:
+            break
+        best = best_iteration(fitted.evaluateEachIteration(check_rows, "squared"), patience)
+        if trees == most or best + patience <= trees:
+            fitted = fitted if best == trees else fit(best)
+            break
+        trees = min(most, 2 * trees)
+    return PipelineModel([*stages, fitted])
+
+
+def best_iteration(errors: Sequence[float], patience: int) -> int:
+    """Number of trees with the lowest error before the first run of ``patience`` trees that brings nothing better."""
+    best = 0
+    for k, error in enumerate(errors):
+        if error < errors[best]:
+            best = k
+        elif k - best >= patience:
+            break
+    return best + 1
 
 
 def predict(model: PipelineModel, features: DataFrame) -> DataFrame:

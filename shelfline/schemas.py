@@ -27,6 +27,16 @@ COLUMN_TYPES: dict[str, T.DataType] = {
 }
 
 
+#: Pinned columns of each input table; in other tables nothing is pinned.
+TABLE_COLUMNS: dict[str, tuple[str, ...]] = {
+    "train": ("id", "date", "store_nbr", "item_nbr", "unit_sales", "onpromotion"),
+    "items": ("item_nbr", "family", "class"),
+    "stores": ("store_nbr", "city", "state", "type"),
+    "oil": ("date", "dcoilwtico"),
+    "holidays_events": ("date", "type", "locale", "locale_name", "description", "transferred"),
+}
+
+
 def _struct(*names: str) -> T.StructType:
     return T.StructType([T.StructField(name, COLUMN_TYPES[name], True) for name in names])
 

@@ -7,12 +7,12 @@ import os
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfline.operators.relational import SOURCE_ORDER
-from shelfline.schemas import COLUMN_TYPES, nan_to_null
+from shelfline.schemas import COLUMN_TYPES, TABLE_COLUMNS, nan_to_null
 
 log = logging.getLogger(__name__)
 
@@ -39,24 +39,56 @@ def _named_paths(spark: SparkSession, csv_paths) -> dict[str, str]:
     raise ValueError("csv_paths must name a folder, a .csv file, a list of files or a dict of files")
 
 
-def read_table(spark: SparkSession, name: str, path: str, *, keep_row_order: bool = False) -> DataFrame:
-    """SRC-2: one CSV table. Known columns get their pinned type without reading the data.
+def read_table(
+    spark: SparkSession, name: str, path: str, *, keep_row_order: bool = False, bad_values: str = "raise"
+) -> DataFrame:
+    """SRC-2: one CSV table. Columns pinned for this table are converted, all others are inferred.
 
-    Columns the engine does not know are inferred, except in sales tables: there they stay text, as inference would
-    read the largest table twice.
+    Pinned columns are read as text and converted by expressions: truth values also as 0 and 1, whole numbers also with
+    a zero fraction. A value that does not convert fails the job that reads it, without a pass of its own; with
+    ``bad_values="null"`` it becomes NULL.
     """
+    if bad_values not in ("raise", "null"):
+        raise ValueError("bad_values must be 'raise' or 'null'")
     header = spark.read.option("header", True).csv(path)
-    unknown = [c for c in header.columns if c not in COLUMN_TYPES]
+    pinned = TABLE_COLUMNS.get(name, ())
+    others = [c for c in header.columns if c not in pinned]
     inferred = {}
-    if unknown and "train" not in name:
+    if others:
         sample = spark.read.option("header", True).option("inferSchema", True).csv(path)
         inferred = {f.name: f.dataType for f in sample.schema.fields}
-    types = {c: COLUMN_TYPES.get(c) or inferred.get(c, T.StringType()) for c in header.columns}
-    schema = T.StructType([T.StructField(c, types[c], True) for c in header.columns])
-    df = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(path)
+    kinds = [T.StructField(c, inferred[c] if c in others else T.StringType(), True) for c in header.columns]
+    df = spark.read.schema(T.StructType(kinds)).option("header", True).option("mode", "PERMISSIVE").csv(path)
     if keep_row_order:
         df = with_source_order(df)
-    return nan_to_null(df)
+    converted = {c: _converted(c, COLUMN_TYPES[c], bad_values) for c in header.columns if c in pinned}
+    return nan_to_null(df.withColumns(converted))
+
+
+# Texts for a missing value, and for the two truth values.
+MISSING_WORDS = ("", "nan", "na", "n/a", "null", "none", "<na>")
+TRUE_WORDS, FALSE_WORDS = ("true", "t", "1", "1.0", "yes"), ("false", "f", "0", "0.0", "no")
+
+
+def _converted(name: str, kind: T.DataType, bad_values: str) -> Column:
+    raw = F.col(name)
+    if isinstance(kind, T.StringType):
+        return raw
+    text = F.lower(F.trim(raw))
+    if isinstance(kind, T.BooleanType):
+        value = F.when(text.isin(*TRUE_WORDS), F.lit(True)).when(text.isin(*FALSE_WORDS), F.lit(False))
+    elif isinstance(kind, (T.IntegerType, T.LongType)):
+        # Digits go the direct way, since a floating number cannot hold every long one.
+        number = F.trim(raw).try_cast("double")
+        whole = F.when(number == F.floor(number), number.try_cast(kind))
+        value = F.coalesce(F.trim(raw).try_cast(kind), whole)
+    else:
+        value = F.trim(raw).try_cast(kind)
+    if bad_values == "null":
+        return value
+    message = F.concat(F.lit(f"column {name}: not a value of type {kind.simpleString()}: "), raw)
+    known = raw.isNotNull() & ~text.isin(*MISSING_WORDS)
+    return F.when(value.isNotNull(), value).when(known, F.raise_error(message).cast(kind))
 
 
 def with_source_order(df: DataFrame) -> DataFrame:
@@ -79,18 +111,20 @@ def load_tables(
     csv_paths: Mapping[str, str] | Sequence[str] | str,
     *,
     on_error: str = "raise",
-    keep_row_order: bool = False,
+    keep_row_order: bool | Sequence[str] = False,
+    bad_values: str = "raise",
 ) -> dict[str, DataFrame | None]:
     """SRC-1: tables by name from a dict, a list of files, a folder of ``*.csv`` or one ``.csv`` file.
 
-    ``on_error="skip"`` logs a table that cannot be opened and stores ``None`` for it (SRC-3).
+    ``keep_row_order`` is for all tables or for those it names. ``on_error="skip"`` logs a table that cannot be opened and stores ``None`` for it (SRC-3).
     """
     if on_error not in ("raise", "skip"):
         raise ValueError("on_error must be 'raise' or 'skip'")
     tables: dict[str, DataFrame | None] = {}
     for name, path in _named_paths(spark, csv_paths).items():
         try:
-            tables[name] = read_table(spark, name, path, keep_row_order=keep_row_order)
+            ordered = keep_row_order if isinstance(keep_row_order, bool) else name in keep_row_order
+            tables[name] = read_table(spark, name, path, keep_row_order=ordered, bad_values=bad_values)
         except AnalysisException as error:
             if on_error == "raise":
                 raise

@@ -12,13 +12,13 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfline.config import BacktestConfig, Columns, CrossValidation, Features, Model, Sweep, fingerprint
+from shelfline.config import LIGHT_FEATURES, BacktestConfig, Columns, CrossValidation, Features, Model, Sweep, fingerprint
 from shelfline.operators.enrich import create_extend_train
 from shelfline.operators.folds import Fold
 from shelfline.plans.backtest import prepare, run_backtest, store_prepared
 from shelfline.plans.features import make_features, slice_features
 from shelfline.plans.fold_features import FoldFeatures
-from shelfline.plans.model import feature_importance, merge_params, model_inputs, predict, spark_params, train_model
+from shelfline.plans.model import best_iteration, feature_importance, merge_params, model_inputs, predict, spark_params, train_model
 from shelfline.plans.sweep import SEARCH_SPACE, run_sweep, should_prune, suggest_params
 from shelfline.sources.sinks import FoldCache, RunRecords, load_model, save_features, save_model
 from shelfline.sources.tables import load_tables
@@ -129,10 +129,10 @@ def test_feature_columns_in_order(spark):
 def test_slice_sees_only_itself_unless_given_context(spark):
     df = sample(spark)
     dates = (day(40), day(53))
-    alone = slice_features(df, dates, Features(), "unit_sales", KEYS).where("store_nbr = 1")
+    alone = slice_features(df, dates, LIGHT_FEATURES, "unit_sales", KEYS).where("store_nbr = 1")
     assert column(alone, "unit_sales_lag_14") == [None] * 14
     assert column(alone, "days_since_start") == list(range(14))
-    seeing = slice_features(df, dates, Features(context_days=30), "unit_sales", KEYS).where("store_nbr = 1")
+    seeing = slice_features(df, dates, dataclasses.replace(LIGHT_FEATURES, context_days=30), "unit_sales", KEYS).where("store_nbr = 1")
     history = column(df.where("store_nbr = 1"), "unit_sales")
     assert column(seeing, "unit_sales_lag_14") == history[26:40]
     for name in ("days_since_start", "seasonal_idx_w", "seasonal_idx_m", "days_until_next_promo"):
@@ -236,7 +236,7 @@ def test_sweep_and_cache(spark, tmp_path):
 
     def build(f):
         built.append(f.fold)
-        return tuple(slice_features(df, d, Features(), "unit_sales", KEYS) for d in (f.train_range, f.val_range))
+        return tuple(slice_features(df, d, LIGHT_FEATURES, "unit_sales", KEYS) for d in (f.train_range, f.val_range))
 
     cache = FoldCache(spark, str(tmp_path / "folds"), Features())
     base = Model(params={"n_estimators": 2, "max_depth": 2, "random_state": 1})
@@ -267,6 +267,32 @@ def test_records(spark, tmp_path):
     assert first.read("catalogue").where("name = 'date'").first()["type"] == "date"
 
 
+def test_values_that_do_not_convert(spark, tmp_path):
+    path = write(tmp_path / "train.csv", "date,store_nbr,item_nbr,unit_sales,onpromotion,extra\n2017-01-01,1,10.0,1.5,1,2.5\n2017-01-02,1,11,NaN,0.0,3\n2017-01-03,2,,,True,4\n")
+    rows = load_tables(spark, path)["train"].orderBy("date").collect()
+    assert [r["item_nbr"] for r in rows] == [10, 11, None] and [r["onpromotion"] for r in rows] == [True, False, True]
+    assert [r["unit_sales"] for r in rows] == [1.5, None, None] and [r["extra"] for r in rows] == [2.5, 3.0, 4.0]
+    wrong = write(tmp_path / "items.csv", "item_nbr,family,class\n1,A,X12\n")
+    with pytest.raises(Exception, match="column class: not a value of type int: X12"):
+        load_tables(spark, wrong)["items"].collect()
+    assert load_tables(spark, wrong, bad_values="null")["items"].first()["class"] is None
+    other = write(tmp_path / "notes.csv", "class,id\nX12,A\n")
+    assert load_tables(spark, other)["notes"].first().asDict() == {"class": "X12", "id": "A"}
+
+
+def test_early_stopping_waits(spark):
+    assert best_iteration([5, 4, 3, 3.5, 3.4, 2, 9, 9, 9], 3) == 6
+    assert best_iteration([5, 4, 3, 3.5, 3.4, 3.3, 2], 3) == 3
+    rng = random.Random(3)
+    rows = [(day(k % 60), float(k % 7), (k % 7) * 3 + rng.gauss(0, 6)) for k in range(900)]
+    df = spark.createDataFrame(rows, "date date, x double, unit_sales double")
+    train, val = df.where("date < DATE'2017-02-10'"), df.where("date >= DATE'2017-02-10'")
+    params = {"n_estimators": 40, "learning_rate": 0.05, "max_depth": 2, "subsample": 0.8, "random_state": 1, "early_stopping_rounds": 8}
+    model = train_model(train, val, "unit_sales", Model(params=params))
+    assert 9 < len(model.stages[-1].trees) <= 40
+    assert spark_params({"colsample_bytree": 1}) == {"featureSubsetStrategy": "1.0"}
+
+
 def test_own_promotions_table_brings_no_sales(spark, folder):
     tables = load_tables(spark, str(folder))
     sales = tables["train"]
@@ -285,12 +311,13 @@ def test_backtest_from_files(spark, folder, tmp_path):
         output_dir=str(tmp_path / "out"),
         cv=CrossValidation(stride_days=14, min_train_days=40, val_days=14, n_windows=2, max_lag=14, max_window=7),
         model=Model(params={"n_estimators": 3, "max_depth": 3, "random_state": 1}),
+        features=LIGHT_FEATURES,
         sweep=Sweep(enabled=True, n_trials=1, windows_limit=1, apply_best=True),
-        train_rows=500,
     )
     result = run_backtest(spark, cfg)
     assert [f.fold for f in result.folds] == [0, 1]
-    assert result.folds[0].val_end == day(124)  # 500 rows are 125 days of 4 rows
+    sales = load_tables(spark, str(folder))["train"]
+    assert result.folds[0].val_end == sales.agg(F.max("date")).first()[0]
     scores = result.fold_scores.orderBy("fold").collect()
     assert len(scores) == 2 and all(0 < r["WMAPE"] < 1 for r in scores)
     assert {r["metric"] for r in result.cv_summary.collect()} == {"RMSE", "WMAPE"}
@@ -305,8 +332,10 @@ def test_backtest_from_files(spark, folder, tmp_path):
         assert records.read(name).count() > 0, name
     assert load_model(str(tmp_path / "out" / "models" / result.run_id / "fold0")).stages
     prepared = spark.read.parquet(str(tmp_path / "out" / "prepared" / result.run_id))
-    assert prepared.count() == 500
-    assert prepared.where("oil_price IS NULL").count() == 0
+    assert prepared.count() == sales.count()
+    assert "_source_order" not in prepared.columns
+    last_price = load_tables(spark, str(folder))["oil"].agg(F.max("date")).first()[0]
+    assert prepared.where((F.col("date") <= F.lit(last_price)) & F.col("oil_price").isNull()).count() == 0
     assert prepared.where(F.col("date") == day(10)).agg(F.min("is_holiday")).first()[0] == 1
     assert isinstance(prepared.schema["date"].dataType, T.DateType)
     assert date(2017, 1, 1) == result.folds[0].train_start
