@@ -45,18 +45,26 @@ KEEP_LAST = with_(PROMOS, LAST_PROMOS) + "SELECT * FROM last_promos"
 
 OIL_PROMO_JOIN = with_(SALES, OIL, PROMOS, LAST_PROMOS) + """
 SELECT s.date, s.store_nbr, s.item_nbr, s.unit_sales, o.dcoilwtico AS oil_price, p.onpromotion,
-       p.unit_sales AS promo_unit_sales, p.list_price
+       p.unit_sales AS promo_unit_sales, p.list_price, p.l_orderkey, p.l_linenumber
 FROM sales s LEFT JOIN oil o ON s.date = o.date
 LEFT JOIN last_promos p ON s.date = p.date AND s.store_nbr = p.store_nbr AND s.item_nbr = p.item_nbr"""
 
 OIL_PROMO_KEPT = with_(SALES, PROMOS) + """,
 store_promos AS (
-  SELECT date, store_nbr, onpromotion, list_price FROM promos
+  SELECT date, store_nbr, onpromotion, list_price, l_orderkey, l_linenumber FROM promos
   QUALIFY row_number() OVER (PARTITION BY date, store_nbr
     ORDER BY l_orderkey DESC, l_linenumber DESC, onpromotion DESC, list_price DESC) = 1)
-SELECT s.*, p.onpromotion AS promo_onpromotion, p.list_price
+SELECT s.*, p.onpromotion AS promo_onpromotion, p.list_price, p.l_orderkey, p.l_linenumber
 FROM sales s LEFT JOIN store_promos p ON s.date = p.date AND s.store_nbr = p.store_nbr"""
 
+OIL_PROMO_BY_DATE = with_(SALES, PROMOS) + """,
+day_promos AS (
+  SELECT date, onpromotion, list_price, l_orderkey, l_linenumber FROM promos
+  QUALIFY row_number() OVER (PARTITION BY date
+    ORDER BY l_orderkey DESC, l_linenumber DESC, onpromotion DESC, list_price DESC) = 1)
+SELECT s.date, s.store_nbr, s.item_nbr, s.unit_sales, p.onpromotion, p.list_price, p.l_orderkey, p.l_linenumber
+FROM sales s LEFT JOIN day_promos p ON s.date = p.date"""
+
 PARSED = r"""parsed AS (
   SELECT *, trim(coalesce(description, '')) AS txt FROM holidays),
 cleaned AS (
@@ -173,6 +181,12 @@ LAGS = over_sales(lags([1, 7, 14, 28]))
 LAGS_UNGROUPED = over_sales(lags([1, 7], "ORDER BY date, store_nbr, item_nbr"))
 ROLLING = over_sales(rolling([1], [7, 14]))
 EXPANDING = over_sales(expanding([1, 7]))
+# Where the tables of the engine hold NaN, SQL holds NULL.
+NAN_SALES = """all_sales AS (SELECT * FROM sales_before),
+sales AS (SELECT date, store_nbr, item_nbr, CASE WHEN (item_nbr + extract(day FROM date)) % 5 = 0 THEN NULL
+  ELSE CAST(unit_sales AS DOUBLE) END AS unit_sales, onpromotion FROM all_sales)"""
+ROLLING_NAN = ROLLING.replace(SALES, SALES.replace("sales AS (", "sales_before AS (", 1) + ",\n" + NAN_SALES)
+EXPANDING_NAN = EXPANDING.replace(SALES, SALES.replace("sales AS (", "sales_before AS (", 1) + ",\n" + NAN_SALES)
 EXPANDING_BY_STORE = over_sales(
     expanding([1], ["mean", "max", "min", "sum"], "PARTITION BY store_nbr ORDER BY date, item_nbr")
 )
@@ -471,6 +485,8 @@ FEATURE_MATRIX = with_(
     SALES, features("sales", [*lags([7, 14, 28]), *rolling([1], [7, 14, 28]), *expanding([1])])
 )
 
+FEATURE_MATRIX_QTY = FEATURE_MATRIX.replace("unit_sales", "qty")
+
 # Windows read up to 400 days before the slice; calendar and seasonal columns see the slice alone.
 FEATURE_SLICE = with_(
     ALL_SALES,

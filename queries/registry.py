@@ -140,6 +140,13 @@ def oil_promo_join_keep(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@query(sql.OIL_PROMO_BY_DATE)
+def oil_promo_join_by_date(spark: SparkSession, d: str) -> DataFrame:
+    """JOIN-3 on the date alone; all columns of the promotions come along."""
+    promos = v.promos(spark, d).drop("store_nbr", "item_nbr", "unit_sales")
+    return join_oil_promos(v.sales(spark, d), None, promos, promos_order=["l_orderkey", "l_linenumber"])
+
+
 @query(sql.HOLIDAY_PARSE)
 def holiday_parse(spark: SparkSession, d: str) -> DataFrame:
     """STR-1 to STR-3: role, anchor, offset and key of every holiday row."""
@@ -223,6 +230,24 @@ def expanding_features(spark: SparkSession, d: str) -> DataFrame:
     return rounded(make_expanding(v.sales(spark, d), "unit_sales", [1, 7], **DAILY))
 
 
+def _sales_with_nan(spark: SparkSession, d: str) -> DataFrame:
+    gap = (F.col("item_nbr") + F.dayofmonth("date")) % 5 == 0
+    value = F.when(gap, F.lit(float("nan"))).otherwise(F.col("unit_sales").cast("double"))
+    return v.sales(spark, d).withColumn("unit_sales", value)
+
+
+@query(sql.ROLLING_NAN)
+def rolling_features_nan(spark: SparkSession, d: str) -> DataFrame:
+    """WIN-2 where some sales are NaN: they count as missing."""
+    return rounded(make_rolling(_sales_with_nan(spark, d), "unit_sales", [1], [7, 14], **DAILY))
+
+
+@query(sql.EXPANDING_NAN)
+def expanding_features_nan(spark: SparkSession, d: str) -> DataFrame:
+    """WIN-3 where some sales are NaN: they are skipped."""
+    return rounded(make_expanding(_sales_with_nan(spark, d), "unit_sales", [1, 7], **DAILY))
+
+
 @query(sql.EXPANDING_BY_STORE)
 def expanding_by_store(spark: SparkSession, d: str) -> DataFrame:
     """WIN-3 by store alone: long series, whose length is counted first."""
@@ -432,6 +457,13 @@ def feature_matrix(spark: SparkSession, d: str) -> DataFrame:
     return rounded(make_features(v.sales(spark, d), group_cols=KEYS, rows_per_group="daily"))
 
 
+@query(sql.FEATURE_MATRIX_QTY)
+def feature_matrix_other_target(spark: SparkSession, d: str) -> DataFrame:
+    """FLOW-1 with a target of another name."""
+    sales = v.sales(spark, d).withColumnRenamed("unit_sales", "qty")
+    return rounded(make_features(sales, target_col="qty", group_cols=KEYS, rows_per_group="daily"))
+
+
 @query(sql.FEATURE_SLICE)
 def feature_slice_with_context(spark: SparkSession, d: str) -> DataFrame:
     """FLOW-1 on a date slice whose windows may read earlier rows."""
