@@ -9,9 +9,9 @@ short. Heavy sets are entered in the inverted lists of their first shingles; lig
 which says more than one shingle at the price of more entries. The boundary is where both cost the same, from the mean length
 of the shared lists. Sets near the boundary are entered in both ways.
 
-Entries whose key no other class has are dropped first. In every remaining list, all entries are linked to the least one and
-verified on the whole sets; this joins groups of near copies by a star, not by all pairs. Then only entries of different
-components are compared: those outside a list's largest component with all others of the list. Nothing is capped: a key of
+Entries whose key no other class has are dropped first. The least set of every remaining list is its head, and every set is
+verified against the few heads that it meets most often; this joins groups of near copies by stars, not by all pairs. Then
+entries of different components are compared: those outside a list's largest component with all others of the list. Nothing is capped: a key of
 any frequency is joined, and the joins are split where they are skewed.
 
 Edge cases: null and empty texts have no shingles and link with nothing; fewer than five words are one shingle; repeated ids
@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfline.llm.common import blocks, mixed, shingle_sets, table, utf8
@@ -40,6 +40,8 @@ ORDERED = 400_000
 BUCKET = 200_000
 #: Largest boundary between light and heavy sets.
 LIGHT_MOST = 64
+#: List heads that a set is compared with in the first round; all other pairs wait for the second.
+HEADS = 4
 _HOLD = 1 << 21
 
 
@@ -298,11 +300,14 @@ def set_links(docs: DataFrame, known: DataFrame) -> DataFrame:
     entries = known.where("n_shingles > 0").agg(F.coalesce(F.sum(count), F.lit(0)).cast("long").alias("n")).first()["n"]
     lists = written(shared_entries(docs, order, light, entries), "lists")
 
-    # First every entry against the least set of its list.
+    # First every set against the heads of its lists, of which it takes those that it meets most often.
     centre = lists.groupBy("key").agg(F.min(F.struct("set_id", "n", "place")).alias("c"), F.count(F.lit(1)).alias("k"))
     centre = centre.where("k > 1").select("key", F.col("c.*"))
     star = lists.alias("a").join(centre.alias("b"), "key").where((F.col("a.set_id") != F.col("b.set_id")) & _possible("a", "b"))
-    pairs = star.select(F.least("a.set_id", "b.set_id").alias("u"), F.greatest("a.set_id", "b.set_id").alias("v")).distinct()
+    met = star.groupBy(F.col("a.set_id").alias("own"), F.col("b.set_id").alias("head")).agg(F.count(F.lit(1)).alias("k"))
+    often = F.row_number().over(Window.partitionBy("own").orderBy(F.desc("k"), "head"))
+    heads = met.withColumn("_often", often).where(F.col("_often") <= HEADS)
+    pairs = heads.select(F.least("own", "head").alias("u"), F.greatest("own", "head").alias("v")).distinct()
     pairs = written(pairs, "stars")
     links = verified(docs, known, plausible(pairs, lists, light))
 
