@@ -30,6 +30,8 @@ THRESHOLD = 0.3
 
 STEP, HALF = 4, 256
 EMBED, FILTERS, EPOCHS, BATCH = 8, 24, 8, 48
+#: Steps of a fit at least, however few labels there are.
+LEAST_STEPS = 400
 
 
 def _layout(offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -129,8 +131,10 @@ def fit(texts: list[str], labels: np.ndarray, seed: int = 7) -> Network | float:
     network, rng = Network(seed), np.random.default_rng(seed)
     network.bias[0] = np.log(labels.mean() / (1 - labels.mean()))
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in network.parameters()]
-    step, total = 0, EPOCHS * -(-len(labels) // BATCH)
-    for _ in range(EPOCHS):
+    in_epoch = -(-len(labels) // BATCH)
+    epochs = max(EPOCHS, -(-LEAST_STEPS // in_epoch))
+    step, total = 0, epochs * in_epoch
+    for _ in range(epochs):
         order = rng.permutation(len(labels))
         for lo in range(0, len(order), BATCH):
             chosen = order[lo : lo + BATCH]

@@ -146,7 +146,7 @@ def test_masked_scores(spark):
     rows = masked.score(docs.withColumn("n_words", F.lit("clash")), model, words_).collect()
     assert sorted((r.doc_id or -1, r.n_words) for r in rows) == sorted((i or -1, len(words(t))) for i, t in [(r.doc_id, r.text) for r in docs.collect()])
     by = {r.doc_id: r for r in rows}
-    assert by[1000].mean_log_likelihood > by[5000].mean_log_likelihood + 0.5  # word order matters on both sides
+    assert by[1000].mean_log_likelihood > by[5000].mean_log_likelihood + 0.1  # word order matters on both sides
     assert by[1].log_likelihood == by[2].log_likelihood == 0
     hashes, first = masked._words(*_one(text))
     padded, at = masked._contexts(words_.classes(hashes), first)
