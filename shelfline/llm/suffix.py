@@ -44,11 +44,11 @@ SHORT = 128
 REACH = LENGTH - SHORT
 #: Blocks whose names travel with a suffix for the comparison of neighbours.
 AHEAD = LENGTH // (RADIUS + 1) + 2
-#: Bytes by which a common prefix may be longer than its whole blocks.
-SLACK = SHORT + RADIUS + GRAM
+#: A bound of common bytes that is beyond all that matters.
+FAR = LENGTH + SHORT
 LEVELS = 3
-_HOLD = 1 << 20
-_BUCKET = 300_000
+_HOLD = 1 << 19
+_BUCKET = 100_000
 
 
 def _i64(x: np.ndarray) -> pa.Array:
@@ -271,9 +271,11 @@ def intervals(cuts: DataFrame) -> DataFrame:
         total = 0
         for x, y in zip(a, b, strict=False):
             if x != y:
-                return total + min(x & 511, y & 511) + SLACK
+                # A block that ends where the other goes on differs from it in the bytes that made its cut.
+                return total + min(x & 511, y & 511) + RADIUS + GRAM
             total += x & 511
-        return total + SLACK
+        # Behind a string comes a cut whose next SHORT bytes occur once.
+        return total + SHORT
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq, last_rank, last_names, last_both = TaskContext.get().partitionId(), 0, None, None, 0
@@ -285,13 +287,13 @@ def intervals(cuts: DataFrame) -> DataFrame:
             for k in range(len(rank)):
                 both = 0
                 if last_rank is not None:
-                    both = LENGTH + SLACK if rank[k] == last_rank else shared(last_names, names[k])
+                    both = FAR if rank[k] == last_rank else shared(last_names, names[k])
                     if both < SHORT:
                         seq, both = seq + 1, 0
                     before = rows if k else held
                     before["upper"][-1] = max(before["upper"][-1], both)
                 last_rank, last_names = rank[k], names[k]
-                rows["upper"].append(LENGTH + SLACK if copies[k] > 1 else both)
+                rows["upper"].append(FAR if copies[k] > 1 else both)
                 rows["seq"].append(seq)
             if held is not None:
                 yield pa.RecordBatch.from_pydict(held, schema=kinds)
@@ -319,7 +321,7 @@ def tasks_of(found: DataFrame) -> DataFrame:
     group = group.join(F.broadcast(ends), "part").withColumn("edge", (F.col("seq") == F.col("low")) | (F.col("seq") == F.col("high")))
     joined = found.join(group.select("part", "seq", (F.col("several") | F.col("edge")).alias("several"), "edge"), ["part", "seq"]).join(same, "around")
     head = (F.col("head.rid") == F.col("rid")) & (F.col("head.at") == F.col("at"))
-    far = F.lit(LENGTH + SLACK)
+    far = F.lit(FAR)
     return joined.select(
         "rid", "at", "gap", (F.col("copies") > 1).alias("sure"), F.when(F.col("edge") | (F.col("copies") > 1), far).otherwise(F.col("upper")).alias("upper"),
         (F.col("several") & ((F.col("copies") == 1) | head)).alias("check"),
