@@ -47,6 +47,8 @@ AHEAD = LENGTH // (RADIUS + 1) + 2
 #: A bound of common bytes that is beyond all that matters.
 FAR = LENGTH + SHORT
 LEVELS = 3
+#: Neighbours of an interval share so many bytes of whole blocks; larger gaps between cuts than usual are handled apart.
+LINK, USUAL_GAP = 64, 110
 _HOLD = 1 << 19
 _BUCKET = 100_000
 
@@ -202,7 +204,7 @@ def running(groups: DataFrame, keys: list[str], counts: list[str]) -> DataFrame:
 
 
 def suffix_order(strings: DataFrame, levels: int = LEVELS) -> DataFrame:
-    """``s, i, rank`` for strings given as ``s, i, x`` (x not 0): one more than the number of smaller suffixes.
+    """``s, i, rank`` for strings given as ``s, i, x`` (x above 0): one more than the number of smaller suffixes.
 
     Suffixes that agree on ``3 ** levels`` symbols have the same rank.
     """
@@ -219,7 +221,7 @@ def suffix_order(strings: DataFrame, levels: int = LEVELS) -> DataFrame:
         lower = named.select((F.col("s") * 2 + place - 1).alias("s"), F.floor(F.col("i") / 3).alias("i"), F.col("rank").alias("x"))
         ranked = suffix_order(lower, levels - 1)
         side = F.pmod(F.col("s"), F.lit(2))
-        named = ranked.select(F.expr("s div 2").alias("s"), (F.col("i") * 3 + 1 + side).alias("i"), "rank")
+        named = ranked.select(F.shiftright("s", 1).alias("s"), (F.col("i") * 3 + 1 + side).alias("i"), "rank")
     joined = triples.join(named, ["s", "i"], "left").withColumn("r", F.coalesce("rank", F.lit(0))).drop("rank", "x2")
     joined = written(joined.select("s", "i", "x", "x1", "r", ahead("r", 1), ahead("r", 2)), "merged")
     zero = F.sum((place == 0).cast("long")).alias("zero")
@@ -259,42 +261,64 @@ def intervals(cuts: DataFrame) -> DataFrame:
     reps = stands.where("s = rep").select("s", "strings")
     once = written(strings.join(reps, "s").select("s", "i", "block", "size", "strings"), "distinct-strings")
 
-    ranks = suffix_order(once.select("s", "i", F.col("block").alias("x")))
+    # Symbols above 0, which stands for the end of a string and is the least.
+    ranks = suffix_order(once.select("s", "i", F.col("block").bitwiseAND(F.lit((1 << 63) - 1)).alias("x")))
     in_string = Window.partitionBy("s").orderBy("i").rowsBetween(0, AHEAD - 1)
     # Nine bits of size, as no bound beyond LENGTH is needed, and 22 of the block's name.
     packed = (F.pmod("block", F.lit(1 << 22)) * 512 + F.least(F.abs("size") - GRAM, F.lit(511))).cast("int")
     carried = once.join(ranks, ["s", "i"]).select("rank", "s", "i", "strings", F.collect_list(packed).over(in_string).alias("names"))
     ordered = carried.repartitionByRange("rank").sortWithinPartitions("rank", "s", "i")
-    schema = "s long, i long, upper long, part long, seq long"
+    schema = "s long, i long, upper long, part long, seq long, trusted long"
 
-    def shared(a: list, b: list) -> int:
-        total = 0
+    def whole(a: list, b: list) -> tuple[int, int]:
+        """Blocks that two suffixes share, and their bytes."""
+        total = k = 0
         for x, y in zip(a, b, strict=False):
             if x != y:
-                # A block that ends where the other goes on differs from it in the bytes that made its cut.
-                return total + min(x & 511, y & 511) + RADIUS + GRAM
+                break
+            total, k = total + (x & 511), k + 1
+        return k, total
+
+    def bound(own: list, k: int, total: int) -> int:
+        """Bytes that a suffix can share with any other if no other shares more than k blocks with it.
+
+        A block that ends where the other goes on differs from it in the bytes that made its cut. Where one of two strings
+        ends, its next cut is one whose next SHORT bytes occur once.
+        """
+        return total + max((own[k] & 511) + RADIUS + GRAM if k < len(own) else 0, SHORT)
+
+    def trusted(own: list) -> int:
+        """Whether all suffixes that share what a passage needs also share the LINK bytes of whole blocks of an interval."""
+        total = 0
+        for x in own:
+            if total + (x & 511) + SHORT > LENGTH - RADIUS - USUAL_GAP:
+                break
             total += x & 511
-        # Behind a string comes a cut whose next SHORT bytes occur once.
-        return total + SHORT
+        return int(total >= LINK)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, seq, last_rank, last_names, last_both = TaskContext.get().partitionId(), 0, None, None, 0
+        part, seq, last_rank, last_names = TaskContext.get().partitionId(), 0, None, None
         held: dict[str, list] | None = None
         for batch in batches:
             rank, names = batch.column("rank").to_pylist(), batch.column("names").to_pylist()
             copies = batch.column("strings").to_pylist()
-            rows = {c: batch.column(c).to_pylist() for c in ("s", "i")} | {"upper": [], "part": [part] * len(rank), "seq": []}
+            rows = {c: batch.column(c).to_pylist() for c in ("s", "i")} | {"upper": [], "part": [part] * len(rank), "seq": [], "trusted": []}
             for k in range(len(rank)):
-                both = 0
+                own = names[k]
+                upper = FAR if copies[k] > 1 else bound(own, 0, 0)
                 if last_rank is not None:
-                    both = FAR if rank[k] == last_rank else shared(last_names, names[k])
-                    if both < SHORT:
-                        seq, both = seq + 1, 0
                     before = rows if k else held
-                    before["upper"][-1] = max(before["upper"][-1], both)
-                last_rank, last_names = rank[k], names[k]
-                rows["upper"].append(FAR if copies[k] > 1 else both)
+                    if rank[k] == last_rank:
+                        before["upper"][-1] = upper = FAR
+                    else:
+                        n, total = whole(last_names, own)
+                        before["upper"][-1] = max(before["upper"][-1], bound(last_names, n, total))
+                        upper = max(upper, bound(own, n, total))
+                        seq += total < LINK
+                last_rank, last_names = rank[k], own
+                rows["upper"].append(upper)
                 rows["seq"].append(seq)
+                rows["trusted"].append(trusted(own))
             if held is not None:
                 yield pa.RecordBatch.from_pydict(held, schema=kinds)
             held = rows if rank else held
@@ -304,7 +328,7 @@ def intervals(cuts: DataFrame) -> DataFrame:
     kinds = pa.schema([(f.split()[0], pa.int64()) for f in schema.split(", ")])
     found = written(ordered.mapInArrow(run, schema), "order").withColumnRenamed("s", "rep")
     placed = strings.select("s", "i", "rid", "at", "gap", "around").join(stands.select("s", "rep"), "s").join(found, ["rep", "i"])
-    return written(placed.select("rid", "at", "gap", "around", "upper", "part", "seq"), "intervals")
+    return written(placed.select("rid", "at", "gap", "around", "upper", "part", "seq", "trusted"), "intervals")
 
 
 def tasks_of(found: DataFrame) -> DataFrame:
@@ -322,9 +346,11 @@ def tasks_of(found: DataFrame) -> DataFrame:
     joined = found.join(group.select("part", "seq", (F.col("several") | F.col("edge")).alias("several"), "edge"), ["part", "seq"]).join(same, "around")
     head = (F.col("head.rid") == F.col("rid")) & (F.col("head.at") == F.col("at"))
     far = F.lit(FAR)
+    # Where blocks or gaps are unusually long, what could match may lie in another interval.
+    loose = (F.col("trusted") == 0) | (F.col("gap") > USUAL_GAP)
     return joined.select(
         "rid", "at", "gap", (F.col("copies") > 1).alias("sure"), F.when(F.col("edge") | (F.col("copies") > 1), far).otherwise(F.col("upper")).alias("upper"),
-        (F.col("several") & ((F.col("copies") == 1) | head)).alias("check"),
+        ((F.col("several") | loose) & ((F.col("copies") == 1) | head)).alias("check"),
     )
 
 

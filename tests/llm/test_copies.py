@@ -78,7 +78,7 @@ def test_suffix_against_all_windows(spark):
 
 
 def test_suffix_order(spark):
-    strings = {1: [3, 1, 2, 3, 1, 2, 3], 2: [2, 3, 1], 3: [1], 4: [3, 1, 2, 3, 9]}
+    strings = {-1: [3, 1, 2, 3, 1, 2, 3], 2: [2, 3, 1], -3: [1], -4: [3, 1, 2, 3, 9], 5: [3, 1, 2, 3, 1, 2, 1, 1]}
     rows = [(s, i, x) for s, xs in strings.items() for i, x in enumerate(xs)]
     found = {(r.s, r.i): r["rank"] for r in suffix.suffix_order(spark.createDataFrame(rows, "s long, i long, x long")).collect()}
     suffixes = {(s, i): xs[i:] for s, xs in strings.items() for i in range(len(xs))}
