@@ -11,6 +11,7 @@ their own, ordered by text; an empty table writes no shard; extra columns are ig
 from __future__ import annotations
 
 import os
+import struct
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -31,7 +32,7 @@ SHARD_TOKENS = 1 << 20
 #: Bits between two stored ranks.
 STEP = 512
 #: Pieces in each of the two generations that a task remembers while encoding.
-MEMORY_PIECES = 350_000
+MEMORY_PIECES = 450_000
 
 SHARD = (
     "part int, seq int, n_tokens long, n_docs long, bits int, doc_ids binary, id_known binary, doc_ends binary,"
@@ -154,7 +155,8 @@ class _Library:
     def _word(self, word: str) -> bytes:
         """One pre-token through the library's own model."""
         letters = word.encode().decode("latin-1").translate(self.letters)
-        return np.array([t.id for t in self.tokenizer.model.tokenize(letters)], "<u4").tobytes()
+        ids = [t.id for t in self.tokenizer.model.tokenize(letters)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _learn(self, piece: str) -> bytes:
         found = self.older.get(piece)
