@@ -35,6 +35,7 @@ HEADLINE = [
     "fold_summary",
     "feature_profile",
     "feature_matrix",
+    "fold_train_features",
 ]
 
 
