@@ -1,12 +1,16 @@
 """Main text of web pages by site style trees: pages of one host are merged, repeated branches are pruned from each page.
 
-Every page is read twice. The first pass merges the DOMs of a host: each text block gives its path (tags with their first
-class) and a hash of its content, once per page. A path's importance is the mean over its contents of
-``1 - log(pages with the content) / log(pages with the path)``: near 0 where the same contents come on all pages, near 1
-where every page has its own. The style side counts how often a path occurs in a host's pages at all: a path that few pages
-have cannot be judged and counts as important. The second pass removes branches of low importance, and those whose element
-or class names a menu, header, footer, sidebar, notice, advert, form or comment list. If a page marks its article
-(``article``, ``main``), only blocks inside count, and running text inside is kept even when copies of it fill a host.
+Every page is read twice. The first pass merges the DOMs of a host. An element stands at a place: the place of its parent, the
+parent's style (its sequence of child elements and texts, tags with their first class, runs of equal ones as one) and its
+position in it. A text's importance is the mean over its contents of ``1 - log(pages with the content) / log(pages with the
+place)``: near 0 where the same contents come on all pages, near 1 where every page has its own. An element's importance is
+composed of the entropy of its styles over the pages and the importance of its children, as in site style trees. A place that
+few pages have cannot be judged and counts as important in its parent. The second pass removes each text whose closest judged
+branch is of low importance, and each content that half of the pages with its path of tags repeat.
+
+Copies of a page count as one page of the host. Where a host has fewer than ``JUDGED_PAGES`` different pages, its tree is not
+used; if such a page marks its article (``article``, ``main``), only blocks inside count. Branches whose element,
+role or class names a menu, footer, form or advert go everywhere.
 
 Edge cases: null or empty html gives an empty text; a null or broken url is a host of its own; repeated pages stay;
 unclosed and stray tags are tolerated; an unclosed script runs to the end of the page; an empty table gives no rows; extra
@@ -17,7 +21,8 @@ from __future__ import annotations
 
 import html as entities
 import re
-from collections.abc import Iterator
+import struct
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import xxhash
@@ -31,6 +36,10 @@ from shelfline.session import written
 #: Branches below this importance are removed, if at least this many pages of the host have them.
 LOW_IMPORTANCE = 0.3
 JUDGED_PAGES = 5
+#: Weight of an element's children against its own styles, for each style (gamma of the site style tree).
+CHILDREN = 0.9
+#: Elements below this depth belong to the place above them.
+DEEPEST = 48
 
 _TAG = re.compile(
     r"""<(?:!--.*?(?:-->|\Z)|[!?][^>]*>|(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*"|'[^']*')*+)>|(/?)([a-zA-Z][^\s/>]*)([^>]*)>)""", re.S
@@ -51,7 +60,6 @@ CLOSED_BY_ITSELF = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "opt
 # Elements, roles and class words that never hold the article.
 NOISE_TAGS = set("nav footer aside form button select dialog menu input head search label fieldset".split())
 MAIN_TAGS = {"article", "main"}
-TEXT_TAGS = set("p h1 h2 h3 h4 h5 h6 li dd dt pre blockquote td th figcaption".split())
 NOISE_ROLES = set("navigation banner contentinfo complementary search form dialog alert menu menubar alertdialog".split())
 NOISE_WORDS = set(
     "ad ads advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs comment comments commentlist cookie cookies"
@@ -59,50 +67,98 @@ NOISE_WORDS = set(
     " promo promotion related reply replies respond share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split()
 )
 _WORDS = re.compile(r"[a-z]+")
+#: A block outside of noise, in a branch that its class or id calls noise, and in one that its element or role does.
+CLEAN, HINTED, CERTAIN = 0, 1, 2
 
 
-class _Block:
-    __slots__ = ("main", "noise", "path", "tag", "text")
+def _key(*parts: int) -> int:
+    return xxhash.xxh64_intdigest(struct.pack(f"<{len(parts)}Q", *parts)) >> 1 | 1
+
+
+def _content(text: str) -> int:
+    return xxhash.xxh64_intdigest(text) >> 1 | 1
+
+
+class _Place:
+    """A block element, or a text where ``block`` is set."""
+
+    __slots__ = ("above", "block", "children", "depth", "key", "label", "path", "style", "width")
 
-    def __init__(self, text: str, path: str, tag: str, main: bool, noise: bool):
-        self.text, self.path, self.tag, self.main, self.noise = text, path, tag, main, noise
+    def __init__(self, above: _Place | None, label: int, block: _Block | None = None):
+        self.above, self.label, self.block, self.children = above, label, block, []
+        self.depth = above.depth + 1 if above else 0
+        self.path = _key(above.path, label) if above else 1
+        self.key, self.style, self.width = 1, 0, 0
+
+
+class _Block:
+    __slots__ = ("main", "noise", "place", "tag", "text")
+
+    def __init__(self, text: str, above: _Place, tag: str, main: bool, noise: int):
+        self.text, self.tag, self.main, self.noise = text, tag, main, noise
+        self.place = _Place(above, _TEXT, self)
+
+
+_TEXT = _content("#")
+
+
+def style_tree(blocks: list[_Block]) -> list[_Place]:
+    """All places of a page that hold text, from the top down, with their keys and styles."""
+    levels: dict[int, list[_Place]] = {}
+    seen = set()
+    for block in blocks:
+        line, place = [], block.place
+        while place is not None and id(place) not in seen:
+            seen.add(id(place))
+            line.append(place)
+            place = place.above
+        for own in reversed(line):
+            if own.above is not None:
+                own.above.children.append(own)
+            levels.setdefault(own.depth, []).append(own)
+    found = []
+    for depth in sorted(levels):
+        for place in levels[depth]:
+            found.append(place)
+            if place.block is not None:
+                continue
+            labels, at = [], []
+            for child in place.children:
+                if not labels or labels[-1] != child.label:
+                    labels.append(child.label)
+                at.append(len(labels))
+            place.style, place.width = _key(*labels), len(labels)
+            for child, k in zip(place.children, at, strict=True):
+                child.key = _key(place.key, place.style, k)
+    return found
 
 
 def blocks_of(page: str) -> list[_Block]:
-    """Text blocks of a page in order, with their path and whether they stand in the article or in a noise branch."""
+    """Text blocks of a page in order, with their place and whether they stand in the article or in a noise branch."""
     found: list[_Block] = []
-    # Open elements: tag, path, block tag, in main, in noise.
-    stack: list[tuple[str, str, str, bool, bool]] = [("", "", "", False, False)]
+    # Open elements: tag, place, block tag, in main, noise of the block, and noise of inline elements inside the block.
+    stack: list[tuple[str, _Place, str, bool, int, int]] = [("", _Place(None, 0), "", False, CLEAN, CLEAN)]
     parts: list[str] = []
-    home = stack[0]
 
     def flush() -> None:
         if parts:
             raw = "".join(parts)
             text = " ".join((entities.unescape(raw) if "&" in raw else raw).split())
             if text:
-                found.append(_Block(text, home[1], home[2], home[3], home[4]))
+                found.append(_Block(text, *stack[-1][1:5]))
             parts.clear()
 
     def close(to: int) -> None:
-        nonlocal home
         if any(x[0] in BLOCK for x in stack[to:]):
             flush()
-            del stack[to:]
-            home = stack[-1]
-        else:
-            del stack[to:]
+        del stack[to:]
 
     at, size = 0, len(page)
     while at < size:
         tag = _TAG.search(page, at)
         piece = page[at : tag.start() if tag else size]
-        if piece:
-            top = stack[-1]
-            if not parts and not piece.isspace():
-                home = top
-            if top[4] == home[4]:
-                parts.append(piece)
+        if piece and not stack[-1][5]:
+            parts.append(piece)
         if not tag:
             break
         at = tag.end()
@@ -148,26 +204,28 @@ def blocks_of(page: str) -> list[_Block]:
             parts.append(" ")
         if name in VOID:
             continue
-        _, path, block, main, noise = stack[-1]
-        label = name
+        _, place, block, main, noise, inline = stack[-1]
+        label, own = name, CLEAN
         if rest and not rest.isspace():
             marks = {m[1].lower(): (m[2] or m[3] or m[4] or "").lower() for m in _ATTRIBUTE.finditer(rest)}
             if marks:
                 role = marks.get("role", "")
                 words = set(_WORDS.findall(marks.get("class", "") + " " + marks.get("id", "")))
                 label = f"{name}.{marks['class'].split()[0]}" if marks.get("class", "").strip() else name
-                noise = noise or role in NOISE_ROLES or bool(words & NOISE_WORDS) and name not in ("html", "body", "article", "main")
+                if role in NOISE_ROLES:
+                    own = CERTAIN
+                elif words & NOISE_WORDS and name not in ("html", "body", "article", "main"):
+                    own = HINTED
                 main = main or role == "main"
-        noise = noise or name in NOISE_TAGS or name == "header" and not main
+        if name in NOISE_TAGS or name == "header" and not main:
+            own = CERTAIN
         main = main or name in MAIN_TAGS
         if name in BLOCK:
-            # A very deep place is named by a hash of the path above it.
-            path = f"{path if len(path) < 400 else xxhash.xxh64_hexdigest(path)}>{label}"
-        stack.append((name, path, name if name in BLOCK else block, main, noise))
-        if name in BLOCK or noise != home[4]:
-            if noise != home[4] and name not in BLOCK:
-                continue
-            home = stack[-1]
+            if place.depth < DEEPEST:
+                place = _Place(place, _content(label))
+            stack.append((name, place, name, main, max(noise, inline, own), CLEAN))
+        else:
+            stack.append((name, place, block, main, noise, max(inline, own)))
     flush()
     return found
 
@@ -176,52 +234,122 @@ def _host(url: str) -> F.Column:
     return F.coalesce(F.lower(F.regexp_extract(F.col(url), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
 
 
-def path_contents(pages: DataFrame, html: str = "html") -> DataFrame:
-    """First pass: ``_host, path, content`` once for each page that has it; content 0 stands for the path itself."""
+_PLACES = "_host string, page long, kind byte, place long, value long, above long, style long, width int, depth int"
+#: Kinds of rows: an element with its style, a text with its content, a path of tags with a content.
+ELEMENT, TEXT, PATH = 0, 1, 2
+
+
+def place_values(pages: DataFrame, html: str = "html") -> DataFrame:
+    """First pass: the styles and contents of every place of a page, once for the page; value 0 stands for the place itself.
+
+    ``page`` is a hash of all texts outside of noise, the same for all copies of a page, whatever adverts they came with.
+    Only those rows carry what the place determines: the place and style above it, the style's width, and the depth.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hosts, paths, contents = [], [], []
+            columns: list[list] = [[] for _ in range(9)]
             for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                seen = set()
-                for block in blocks_of(page or ""):
-                    seen.add((block.path, 0))
-                    seen.add((block.path, xxhash.xxh64_intdigest(block.text) >> 1 | 1))
-                for path, content in seen:
-                    hosts.append(host)
-                    paths.append(path)
-                    contents.append(content)
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(contents, pa.int64())], names=["_host", "path", "content"])
-
-    return pages.select("_host", html).mapInArrow(run, "_host string, path string, content long")
-
-
-def low_paths(pages: DataFrame, html: str = "html") -> DataFrame:
-    """The merged tree of each host, as far as it is needed: ``_host, low`` with the paths of low importance."""
-    counts = path_contents(pages, html).groupBy("_host", "path", "content").agg(F.count(F.lit(1)).alias("k"))
-    # Mean of 1 - log k / log m over contents needs only the sum of log k, their number, and m.
-    paths = counts.groupBy("_host", "path").agg(
-        F.max(F.when(F.col("content") == 0, F.col("k"))).alias("pages"),
-        F.sum(F.when(F.col("content") != 0, F.log("k"))).alias("logs"),
-        F.sum(F.when(F.col("content") != 0, F.lit(1))).alias("contents"),
+                rows, blocks = set(), blocks_of(page or "")
+                same = _key(*[_content(b.text) for b in blocks if not b.noise] or [_content(b.text) for b in blocks])
+                for x in style_tree(blocks):
+                    up = x.above
+                    kind, value = (ELEMENT, x.style) if x.block is None else (TEXT, _content(x.block.text))
+                    rows.add((kind, x.key, 0, up.key if up else 0, up.style if up else 0, up.width if up else 1, x.depth))
+                    rows.add((kind, x.key, value, None, None, None, None))
+                    if kind == TEXT:
+                        rows.add((PATH, x.path, 0, None, None, None, None))
+                        rows.add((PATH, x.path, value, None, None, None, None))
+                for row in rows:
+                    for column, v in zip(columns, (host, same, *row), strict=True):
+                        column.append(v)
+            kinds = [pa.string(), pa.int64(), pa.int8(), *[pa.int64()] * 4, pa.int32(), pa.int32()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=[x.split()[0] for x in _PLACES.split(", ")])
+
+    return pages.select("_host", html).mapInArrow(run, _PLACES)
+
+
+def site_trees(pages: DataFrame, html: str = "html") -> DataFrame:
+    """The merged tree of each host that can be judged, as far as it is needed: ``_host, low, stops, contents``.
+
+    ``low`` has the places of low importance, ``stops`` the important ones right below them, ``contents`` the contents that
+    half of the pages with a path repeat (a hash of both).
+    """
+    counts = place_values(pages, html).distinct().groupBy("_host", "kind", "place", "value")
+    counts = written(counts.agg(F.count(F.lit(1)).alias("k"), *[F.max(c).alias(c) for c in ("above", "style", "width", "depth")]), "place-values")
+    log = F.when(F.col("value") != 0, F.log("k"))
+    times = F.when(F.col("value") != 0, F.col("k"))
+    places = counts.groupBy("_host", "kind", "place").agg(
+        F.max(F.when(F.col("value") == 0, F.col("k"))).alias("pages"),
+        F.count(times).alias("values"),
+        F.sum(log).alias("logs"),
+        F.sum(times).alias("total"),
+        F.sum(times * log).alias("weighted"),
+        *[F.max(c).alias(c) for c in ("above", "style", "width", "depth")],
     )
-    importance = 1 - F.col("logs") / F.col("contents") / F.log(F.col("pages"))
-    low = paths.where((F.col("pages") >= JUDGED_PAGES) & (importance < LOW_IMPORTANCE))
-    return low.groupBy("_host").agg(F.collect_set("path").alias("low"))
-
-
-def main_text(page: str, low: set[str]) -> str:
+    places = written(places.where(F.col("pages") >= JUDGED_PAGES), "judged-places")
+    base = F.log("pages")
+    of_text = 1 - F.col("logs") / F.col("values") / base
+    of_styles = (F.log("total") - F.col("weighted") / F.col("total")) / base
+    nodes = places.where(F.col("kind") != PATH).withColumn("own", F.when(F.col("kind") == TEXT, of_text).otherwise(of_styles))
+    # Share of a place in the importance of the place above: how often its style is used there, among all children in it.
+    used = counts.where((F.col("kind") == ELEMENT) & (F.col("value") != 0)).select("_host", F.col("place").alias("above"), F.col("value").alias("style"), F.col("k").alias("used"))
+    totals = places.where(F.col("kind") == ELEMENT).select("_host", F.col("place").alias("above"), F.col("total").alias("all_used"))
+    nodes = nodes.join(used, ["_host", "above", "style"], "left").join(totals, ["_host", "above"], "left")
+    nodes = nodes.withColumn("weight", F.coalesce(F.col("used") / F.col("all_used") / F.col("width"), F.lit(1.0)))
+    nodes = written(nodes.select("_host", "kind", "place", "above", "depth", "own", "values", "weight"), "nodes")
+    composed = nodes.limit(0).select("_host", "place", "above", F.col("own").alias("importance"), "weight")
+    levels, below = composed, composed
+    for depth in range(nodes.agg(F.max("depth")).first()[0] or 0, -1, -1):
+        lost = below.groupBy("_host", F.col("above").alias("place")).agg(F.sum(F.col("weight") * (1 - F.col("importance"))).alias("lost"))
+        children = F.pow(F.lit(CHILDREN), F.col("values"))
+        inner = (1 - children) * F.col("own") + children * (1 - F.coalesce("lost", F.lit(0.0)))
+        level = nodes.where(F.col("depth") == depth).join(lost, ["_host", "place"], "left")
+        level = level.select("_host", "place", "above", F.when(F.col("kind") == TEXT, F.col("own")).otherwise(inner).alias("importance"), "weight")
+        below = written(level, "importance")
+        levels = levels.unionByName(below)
+    low = levels.select("_host", "place", "above", (F.col("importance") < LOW_IMPORTANCE).alias("low"))
+    parents = low.where("low").select("_host", F.col("place").alias("above"))
+    stops = low.where("not low").join(parents, ["_host", "above"], "left_semi")
+    paths = places.where(F.col("kind") == PATH).select("_host", "place", "pages")
+    often = counts.where((F.col("kind") == PATH) & (F.col("value") != 0) & (F.col("k") > 1)).join(paths, ["_host", "place"])
+    often = often.where((2 * F.col("k") >= F.col("pages")) & (1 - F.log("k") / F.log("pages") < LOW_IMPORTANCE))
+    # The top place stands for the host: all pages with text have it.
+    rows = low.select("_host", F.when(F.col("low"), F.col("place")).alias("low"), F.lit(None).cast("long").alias("stops"), F.lit(None).cast("long").alias("contents"))
+    rows = rows.unionByName(stops.select("_host", F.col("place").alias("stops")), allowMissingColumns=True)
+    rows = rows.unionByName(often.select("_host", F.col("place").bitwiseXOR(F.col("value")).alias("contents")), allowMissingColumns=True)
+    return rows.groupBy("_host").agg(*[F.collect_set(c).alias(c) for c in ("low", "stops", "contents")])
+
+
+class SiteTree:
+    """What the merged tree of a host says about a block."""
+
+    def __init__(self, low: Iterable[int], stops: Iterable[int], contents: Iterable[int]):
+        self.low, self.stops, self.contents = set(low), set(stops), set(contents)
+
+    def is_low(self, block: _Block) -> bool:
+        if self.contents and block.place.path ^ _content(block.text) in self.contents:
+            return True
+        place = block.place
+        while place is not None:
+            if place.key in self.low:
+                return True
+            if place.key in self.stops:
+                return False
+            place = place.above
+        return False
+
+
+def main_text(page: str, tree: SiteTree | None = None) -> str:
     """Text of a page without noise and low branches, blocks joined by an empty line."""
     blocks = blocks_of(page)
-    marked = any(b.main and not b.noise for b in blocks)
-    kept = []
-    for b in blocks:
-        if b.noise or marked and not b.main:
-            continue
-        if b.path in low and not (b.main and b.tag in TEXT_TAGS):
-            continue
-        kept.append(b.text)
-    return "\n\n".join(kept)
+    left = [b for b in blocks if b.noise != CERTAIN]
+    if tree:
+        style_tree(blocks)
+        left = [b for b in left if not tree.is_low(b)]
+    elif any(b.main for b in left):
+        left = [b for b in left if b.main]
+    return "\n\n".join(b.text for b in left if not b.noise)
 
 
 def extract_pages(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
@@ -229,13 +357,16 @@ def extract_pages(pages: DataFrame, url: str = "url", html: str = "html") -> Dat
     keep = [c for c in pages.columns if c not in (html, "text", "n_chars")]
     schema = pages.select(*keep).schema.add("text", "string").add("n_chars", "long")
     hosted = pages.select(*keep, F.col(html).alias("_html"), _host(url).alias("_host"))
-    low = written(low_paths(hosted, "_html"), "low-paths")
-    joined = hosted.join(F.broadcast(low) if fits_low(low) else low, "_host", "left").select(*keep, "_html", "low")
+    trees = written(site_trees(hosted, "_html"), "site-trees")
+    parts = ("low", "stops", "contents")
+    at = [f"_tree_{p}" for p in parts]
+    trees = trees.select("_host", *[F.col(p).alias(c) for p, c in zip(parts, at, strict=True)])
+    joined = hosted.join(F.broadcast(trees) if fits_trees(trees, at) else trees, "_host", "left").select(*keep, "_html", *at)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lows = batch.column(len(keep) + 1).to_pylist()
-            texts = [main_text(p or "", set(x or ())) for p, x in zip(batch.column(len(keep)).to_pylist(), lows, strict=True)]
+            found = [batch.column(len(keep) + k).to_pylist() for k in range(4)]
+            texts = [main_text(page or "", None if low is None else SiteTree(low, *more)) for page, low, *more in zip(*found, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[: len(keep)], pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                 names=[*keep, "text", "n_chars"],
@@ -244,9 +375,9 @@ def extract_pages(pages: DataFrame, url: str = "url", html: str = "html") -> Dat
     return joined.mapInArrow(run, schema)
 
 
-def fits_low(low: DataFrame) -> bool:
-    """Measured with the paths as one text, since arrays have no width of their own."""
-    return fits_broadcast(low.select("_host", F.concat_ws(" ", "low").alias("low")))
+def fits_trees(trees: DataFrame, parts: list[str]) -> bool:
+    """Measured with each tree as one text, since arrays have no width of their own."""
+    return fits_broadcast(trees.select("_host", F.concat_ws(" ", *[F.col(c).cast("array<string>") for c in parts]).alias("tree")))
 
 
 def op1_html(spark: SparkSession, sf_dir: str) -> DataFrame:

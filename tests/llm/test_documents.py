@@ -164,3 +164,21 @@ def test_masked_scores(spark):
 def _one(text: str):
     data = np.frombuffer(text.encode(), np.uint8)
     return data, np.array([0, len(data)])
+
+
+def test_site_tree_decides(spark):
+    """A notice with the tag path of article paragraphs goes, also inside an article; odd forms of a low branch go with it."""
+    notice = "Follow this site for more."
+    page = "<body><div class=box>{}</div><div class=end><p>Bye</p><p>now</p></div></body>"
+    rows = []
+    for k in range(40):
+        own = "".join(f"<p>{prose(100 * k + j, 20)}</p>" for j in range(1 + k % 4))
+        rows.append((k, "https://a.example/x", page.format(own + f"<p>{notice}</p>")))
+        rows.append((100 + k, "https://b.example/x", f"<article><h1>{prose(k, 3)}</h1>{own}<p>{notice}</p></article>"))
+    rows.append((99, "https://a.example/x", page.replace("<p>now</p>", "<h2>now</h2>").format(f"<p>{prose(7777, 20)}</p>")))
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r.page_id: r.text for r in html.extract_pages(pages).collect()}
+    for k in range(40):
+        own = [prose(100 * k + j, 20) for j in range(1 + k % 4)]
+        assert found[k] == "\n\n".join(own) and found[100 + k] == "\n\n".join([prose(k, 3), *own])
+    assert found[99] == prose(7777, 20)
