@@ -9,8 +9,9 @@ few pages have cannot be judged and counts as important in its parent. The secon
 branch is of low importance, and each content that half of the pages with its path of tags repeat.
 
 Copies of a page count as one page of the host. Where a host has fewer than ``JUDGED_PAGES`` different pages, its tree is not
-used; if such a page marks its article (``article``, ``main``), only blocks inside count. Branches whose element,
-role or class names a menu, footer, form or advert go everywhere.
+used; if such a page marks its article (``article``, ``main``), only blocks inside count. Elements and roles that name a menu,
+footer, form or advert go everywhere. Class and id words go too, unless nearly all text of a page is inside and the tree does not
+find it low.
 
 Edge cases: null or empty html gives an empty text; a null or broken url is a host of its own; repeated pages stay;
 unclosed and stray tags are tolerated; an unclosed script runs to the end of the page; an empty table gives no rows; extra
@@ -40,6 +41,8 @@ JUDGED_PAGES = 5
 CHILDREN = 0.9
 #: Elements below this depth belong to the place above them.
 DEEPEST = 48
+#: A branch with a noise class stays if all other text of the page is less than this share of it.
+REST = 0.1
 
 _TAG = re.compile(
     r"""<(?:!--.*?(?:-->|\Z)|[!?][^>]*>|(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*"|'[^']*')*+)>|(/?)([a-zA-Z][^\s/>]*)([^>]*)>)""", re.S
@@ -48,7 +51,7 @@ _ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s
 
 # How HTML elements behave.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style title textarea noscript template iframe noembed noframes xmp svg math canvas object".split())
+RAW = set("script style title textarea noscript template iframe noembed noframes xmp svg canvas annotation annotation-xml".split())
 BLOCK = set(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form"
     " h1 h2 h3 h4 h5 h6 head header hgroup hr html li legend main menu nav ol optgroup option p pre search section select summary"
@@ -66,7 +69,6 @@ NOISE_WORDS = set(
     " consent disqus footer gdpr header masthead menu menubar modal nav navbar navigation newsletter notice notices pager pagination popup"
     " promo promotion related reply replies respond share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split()
 )
-_WORDS = re.compile(r"[a-z]+")
 #: A block outside of noise, in a branch that its class or id calls noise, and in one that its element or role does.
 CLEAN, HINTED, CERTAIN = 0, 1, 2
 
@@ -210,7 +212,7 @@ def blocks_of(page: str) -> list[_Block]:
             marks = {m[1].lower(): (m[2] or m[3] or m[4] or "").lower() for m in _ATTRIBUTE.finditer(rest)}
             if marks:
                 role = marks.get("role", "")
-                words = set(_WORDS.findall(marks.get("class", "") + " " + marks.get("id", "")))
+                words = {*marks.get("class", "").split(), *marks.get("id", "").split()}
                 label = f"{name}.{marks['class'].split()[0]}" if marks.get("class", "").strip() else name
                 if role in NOISE_ROLES:
                     own = CERTAIN
@@ -349,7 +351,9 @@ def main_text(page: str, tree: SiteTree | None = None) -> str:
         left = [b for b in left if not tree.is_low(b)]
     elif any(b.main for b in left):
         left = [b for b in left if b.main]
-    return "\n\n".join(b.text for b in left if not b.noise)
+    clean = sum(len(b.text) for b in left if not b.noise)
+    hinted = sum(len(b.text) for b in left if b.noise)
+    return "\n\n".join(b.text for b in left if not b.noise or clean < REST * hinted)
 
 
 def extract_pages(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:

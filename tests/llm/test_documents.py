@@ -182,3 +182,13 @@ def test_site_tree_decides(spark):
         own = [prose(100 * k + j, 20) for j in range(1 + k % 4)]
         assert found[k] == "\n\n".join(own) and found[100 + k] == "\n\n".join([prose(k, 3), *own])
     assert found[99] == prose(7777, 20)
+
+
+def test_noise_marks_keep_article_text():
+    """Inline noise costs only itself, compound classes are no hint, and a hint that holds all the text is none."""
+    assert html.main_text('<p><span class="ad">Ad</span> real sentence</p>') == "real sentence"
+    assert html.main_text("<p><button>Go</button> one <label>two</label> three</p>") == "one three"
+    assert html.main_text('<div class="content no-sidebar"><article><div class="entry-header"><h1>Head</h1></div><p>Body</p></article></div>') == "Head\n\nBody"
+    assert html.main_text(f'<h1>Head</h1><div class="widget"><p>{prose(1, 90)}</p></div>') == f"Head\n\n{prose(1, 90)}"
+    assert html.main_text(f'<p>{prose(1, 90)}</p><div class="widget">buy</div>') == prose(1, 90)
+    assert html.main_text("<p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> and <object data=f>shown</object>.</p>") == "Let x=1 and shown."
