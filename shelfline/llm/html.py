@@ -13,7 +13,7 @@ used; if such a page marks its article (``article``, ``main``), only blocks insi
 footer, form or advert go everywhere. Class and id words go too, unless nearly all text of a page is inside and the tree does not
 find it low.
 
-Edge cases: null or empty html gives an empty text; a null or broken url is a host of its own; repeated pages stay;
+Edge cases: null or empty html gives an empty text; a null or broken url has no host and no tree; repeated pages stay;
 unclosed and stray tags are tolerated; an unclosed script runs to the end of the page; an empty table gives no rows; extra
 columns are carried along, clashing names are replaced.
 """
@@ -277,7 +277,7 @@ def site_trees(pages: DataFrame, html: str = "html") -> DataFrame:
     ``low`` has the places of low importance, ``stops`` the important ones right below them, ``contents`` the contents that
     half of the pages with a path repeat (a hash of both).
     """
-    counts = place_values(pages, html).distinct().groupBy("_host", "kind", "place", "value")
+    counts = place_values(pages.where(F.col("_host") != ""), html).distinct().groupBy("_host", "kind", "place", "value")
     counts = written(counts.agg(F.count(F.lit(1)).alias("k"), *[F.max(c).alias(c) for c in ("above", "style", "width", "depth")]), "place-values")
     log = F.when(F.col("value") != 0, F.log("k"))
     times = F.when(F.col("value") != 0, F.col("k"))

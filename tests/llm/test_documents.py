@@ -192,3 +192,15 @@ def test_noise_marks_keep_article_text():
     assert html.main_text(f'<h1>Head</h1><div class="widget"><p>{prose(1, 90)}</p></div>') == f"Head\n\n{prose(1, 90)}"
     assert html.main_text(f'<p>{prose(1, 90)}</p><div class="widget">buy</div>') == prose(1, 90)
     assert html.main_text("<p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> and <object data=f>shown</object>.</p>") == "Let x=1 and shown."
+
+
+def test_copies_count_once(spark):
+    """A host of few articles in many copies, with changing adverts, keeps them; so do pages of no host."""
+    page = '<body><div class=ad>{}</div><div class=body><p>{}</p></div></body>'
+    rows = [(k, "https://c.example/x", page.format(prose(k, 4), prose(1000 + k % 2, 30))) for k in range(40)]
+    rows += [(100 + k, None if k % 2 else "broken url", page.format("", "same") + f"<p>{prose(k, 3)}</p>") for k in range(12)]
+    rows += [(200 + k, "https://d.example/x", page.format("", prose(k // 10, 30)) + "<p>end</p>") for k in range(100)]
+    found = {r.page_id: r.text for r in html.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(found[k] == prose(1000 + k % 2, 30) for k in range(40))
+    assert all(found[100 + k] == f"same\n\n{prose(k, 3)}" for k in range(12))
+    assert all(found[200 + k] == prose(k // 10, 30) for k in range(100))
