@@ -1,6 +1,8 @@
 """Masked pseudo-likelihood: a bidirectional window network predicts every word from the words on both sides.
 
-The words of all documents are counted; the most frequent ones are classes of their own, all others share hash classes. The
+The words of all documents are counted; the most frequent ones are classes of their own, all others share hash classes, where
+a word's probability inside its class follows its count (``SMOOTH`` is added to all counts, and one share is for unseen words).
+The count table grows with the corpus and is joined to the documents' words by shuffle. The
 network adds one embedding per place (two words before, two after) and class, takes the tanh, and predicts the masked word
 in two steps: its cluster, then the class inside the cluster. Every task trains a copy on masked words of all its documents
 (a fixed share of places, chosen by hash), and the copies are averaged in rounds of ``FAN_IN``, so that no task or driver
@@ -31,6 +33,8 @@ PLACES = (-2, -1, 1, 2)
 DIM = 24
 #: One of so many words is masked in training, in every document.
 MASK_EVERY = 6
+#: Added to every word's count inside its hash class, and the count of all unseen words.
+SMOOTH = 0.5
 BATCH = 4096
 RATE = 0.15
 FAN_IN = 64
@@ -67,26 +71,55 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def _shared(words: np.ndarray) -> np.ndarray:
+    """The hash class of each word, from 0."""
+    return (mixed(words) % np.uint64(SHARED)).astype(np.int64)
+
+
 class Vocabulary:
-    """Class of a word hash: 0 is the edge of a text, then words by frequency, then hash classes."""
+    """Class of a word hash: 0 is the edge of a text, then words by frequency, then hash classes.
+
+    ``counts`` is the whole table of ``word, n``; ``log_totals`` has the logarithm of the smoothed count of each hash class.
+    """
 
-    def __init__(self, words: list[int]):
+    def __init__(self, words: list[int], counts: DataFrame | None = None, log_totals: np.ndarray | None = None):
+        self.counts = counts
+        self.log_totals = np.full(SHARED, np.log(SMOOTH)) if log_totals is None else log_totals
         hashes = np.array(words, np.int64).view(np.uint64)
         self.by = np.argsort(hashes)
         self.hashes = hashes[self.by]
 
     def classes(self, words: np.ndarray) -> np.ndarray:
-        out = (WORDS + 1 + mixed(words) % np.uint64(SHARED)).astype(np.int64)
+        out = WORDS + 1 + _shared(words)
         if len(self.hashes) and len(words):
             place = np.minimum(np.searchsorted(self.hashes, words), len(self.hashes) - 1)
             hit = self.hashes[place] == words
             out[hit] = self.by[place[hit]] + 1
         return out
 
+    def __getstate__(self) -> dict:
+        return {**self.__dict__, "counts": None}
+
 
 def vocabulary(counts: DataFrame) -> Vocabulary:
-    top = counts.orderBy(F.desc("n"), "word").limit(WORDS).collect()  # at most WORDS rows
-    return Vocabulary([r["word"] for r in top])
+    counts = written(counts, "word-counts")
+    top = [r["word"] for r in counts.orderBy(F.desc("n"), "word").limit(WORDS).collect()]  # at most WORDS rows
+    words = Vocabulary(top, counts)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = words.classes(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)) - WORDS - 1
+            own = found >= 0
+            n = np.bincount(found[own], batch.column(1).to_numpy(zero_copy_only=False)[own], SHARED)
+            distinct = np.bincount(found[own], minlength=SHARED)
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(SHARED)), pa.array(n), pa.array(distinct, pa.int64())], names=["class", "n", "words"])
+
+    totals = np.full(SHARED, SMOOTH)
+    # At most SHARED rows.
+    for r in counts.mapInArrow(run, "class long, n double, words long").groupBy("class").agg(F.sum("n"), F.sum("words")).collect():
+        totals[r[0]] += r[1] + SMOOTH * r[2]
+    words.log_totals = np.log(totals)
+    return words
 
 
 def _contexts(classes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -241,26 +274,58 @@ def score(docs: DataFrame, network: Network, words: Vocabulary) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast((network.flat(), words))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """One row for each document, and one for each of its words in a hash class."""
         flat, own_words = shared.value
         model = Network().load(flat)
+        row = TaskContext.get().partitionId() << 33
+        names = ["row", "doc_id", "n_words", "found", "word", "times"]
         for batch in batches:
             data, offsets = utf8(batch.column(1))
             for lo, hi, d, o in blocks(data, offsets):
                 hashes, first = _words(d, o)
-                padded, at = _contexts(own_words.classes(hashes), first)
+                classes = own_words.classes(hashes)
+                padded, at = _contexts(classes, first)
                 found = np.zeros(len(at) + 1, np.float64)
                 for k in range(0, len(at), 4 * BATCH):
                     found[k + 1 : min(k + 4 * BATCH, len(at)) + 1] = model.log_probabilities(padded, at[k : k + 4 * BATCH])
+                rare = np.flatnonzero(classes > WORDS)
+                found[rare + 1] -= own_words.log_totals[classes[rare] - WORDS - 1]
                 total = np.cumsum(found)
                 n = np.diff(first)
                 sums = total[first[1:]] - total[first[:-1]]
+                rows = row + np.arange(hi - lo)
+                none = pa.nulls(hi - lo, pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(rows), batch.column(0).slice(lo, hi - lo), pa.array(n, pa.int64()), pa.array(sums), none, none], names=names)
+                doc = np.repeat(np.arange(len(n)), n)[rare]
+                word = hashes[rare]
+                order = np.lexsort((word, doc))
+                doc, word = doc[order], word[order]
+                new = np.ones(len(word), bool)
+                new[1:] = (word[1:] != word[:-1]) | (doc[1:] != doc[:-1])
+                cut = np.flatnonzero(new)
+                times = np.diff(np.concatenate([cut, [len(word)]]))
+                none = pa.nulls(len(cut), pa.int64())
+                of_ids = pa.nulls(len(cut), batch.column(0).type)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo), pa.array(n, pa.int64()), pa.array(sums), pa.array(sums / np.maximum(n, 1))],
-                    names=["doc_id", "n_words", "log_likelihood", "mean_log_likelihood"],
+                    [pa.array(rows[doc[cut]]), of_ids, none, none.cast(pa.float64()), pa.array(word[cut].view(np.int64)), pa.array(times, pa.int64())],
+                    names=names,
                 )
-
-    schema = f"doc_id {kind}, n_words long, log_likelihood double, mean_log_likelihood double"
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+                row += hi - lo
+
+    schema = f"row long, doc_id {kind}, n_words long, found double, word long, times long"
+    parts = written(docs.select("doc_id", "text").mapInArrow(run, schema), "scored-words")
+    rare = parts.where(F.col("word").isNotNull()).select("row", "word", "times")
+    if words.counts is not None:
+        rare = rare.join(words.counts, "word", "left")
+    else:
+        rare = rare.withColumn("n", F.lit(None).cast("long"))
+    # In whole steps of 2^-32, so that the sum does not depend on the order of its parts.
+    log = F.round(F.log(F.coalesce(F.col("n"), F.lit(0)) + F.lit(SMOOTH)) * 2.0**32).cast("long")
+    # A word never seen has the share of all unseen words.
+    inside = rare.groupBy("row").agg((F.sum(F.col("times") * log) / 2.0**32).alias("inside"))
+    whole = parts.where(F.col("word").isNull()).select("row", "doc_id", "n_words", "found").join(inside, "row", "left")
+    whole = whole.withColumn("log_likelihood", F.col("found") + F.coalesce("inside", F.lit(0.0)))
+    return whole.select("doc_id", "n_words", "log_likelihood", (F.col("log_likelihood") / F.greatest("n_words", F.lit(1))).alias("mean_log_likelihood"))
 
 
 def op5_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -204,3 +204,24 @@ def test_copies_count_once(spark):
     assert all(found[k] == prose(1000 + k % 2, 30) for k in range(40))
     assert all(found[100 + k] == f"same\n\n{prose(k, 3)}" for k in range(12))
     assert all(found[200 + k] == prose(k // 10, 30) for k in range(100))
+
+
+def test_masked_word_inside_class(spark):
+    """Words that share a hash class differ by their counts; all words of a class and the unseen sum to one."""
+    common = [f"w{k}" for k in range(masked.WORDS)]
+    rows = [(0, " ".join(common * 6))] + [(k, "often") for k in range(1, 5)] + [(5, "once")]
+    docs = awkward(spark, rows)
+    words_ = masked.vocabulary(masked.word_counts(docs))
+    total = np.zeros(masked.SHARED)
+    for word, n in (("often", 4), ("once", 1)):
+        total[masked._shared(masked._words(*_one(word))[0])[0]] += n + masked.SMOOTH
+    assert np.allclose(np.exp(words_.log_totals), total + masked.SMOOTH)
+    flat = masked.Network()
+    for p in flat.parameters():
+        p[...] = 0  # every class is as likely as any other
+    asked = awkward(spark, [(1, "often"), (2, "once"), (3, "never"), (4, "w1")])
+    got = {r.doc_id: r.log_likelihood for r in masked.score(asked, flat, words_).collect()}
+    for i, word, n in ((1, "often", 4), (2, "once", 1), (3, "never", 0)):
+        own = words_.log_totals[masked._shared(masked._words(*_one(word))[0])[0]]
+        assert abs(got[i] - (np.log(n + masked.SMOOTH) - own - np.log(masked.CLASSES))) < 1e-4
+    assert abs(got[4] + np.log(masked.CLASSES)) < 1e-4
