@@ -4,9 +4,9 @@ The words of all documents are counted; the most frequent ones are classes of th
 a word's probability inside its class follows its count (``SMOOTH`` is added to all counts, and one share is for unseen words).
 The count table grows with the corpus and is joined to the documents' words by shuffle. The
 network adds one embedding per place (two words before, two after) and class, takes the tanh, and predicts the masked word
-in two steps: its cluster, then the class inside the cluster. Every task trains a copy on masked words of all its documents
-(a fixed share of places, chosen by hash), and the copies are averaged in rounds of ``FAN_IN``, so that no task or driver
-gathers them all. A document's score is the sum of the conditional log-probabilities of all its words.
+in two steps: its cluster, then the class inside the cluster. In each of ``MASK_EVERY`` passes, every task trains a copy on the
+words of its documents that the pass masks (each word is masked in exactly one pass). The copies are averaged by ``FAN_IN`` at a
+time, so that no task or driver gathers them all, and the next pass starts from the average. A document's score is the sum of the conditional log-probabilities of all its words.
 
 Edge cases: null and empty texts have no words and score 0; a text of one word is predicted from edges alone; repeated rows
 are scored alike; with an empty table nothing is trained and nothing returned; extra columns are ignored.
@@ -31,7 +31,7 @@ CLASSES = CLUSTERS * INSIDE
 WORDS = CLASSES - SHARED - 1
 PLACES = (-2, -1, 1, 2)
 DIM = 24
-#: One of so many words is masked in training, in every document.
+#: Words are masked in so many passes, every word of every document in one of them.
 MASK_EVERY = 6
 #: Added to every word's count inside its hash class, and the count of all unseen words.
 SMOOTH = 0.5
@@ -155,6 +155,19 @@ class Network:
             at += p.size
         return self
 
+    def state(self) -> bytes:
+        """Parameters, and the sums of squares that set their rates."""
+        return np.concatenate([self.flat(), *[q.ravel() for q in self.squares]]).tobytes()
+
+    def resume(self, state: bytes) -> Network:
+        both = np.frombuffer(state, np.float32)
+        self.load(both)
+        at = len(both) // 2
+        for q in self.squares:
+            q[...] = both[at : at + q.size].reshape(q.shape)
+            at += q.size
+        return self
+
     def _hidden(self, padded: np.ndarray, at: np.ndarray) -> np.ndarray:
         total = self.embed[0][padded[at + PLACES[0]]]
         for k in range(1, len(PLACES)):
@@ -222,15 +235,35 @@ class Network:
             self.embed[k][rows] -= RATE * g / np.sqrt(s[rows])
 
 
-def _masked_batches(batches: Iterator[pa.RecordBatch], words: Vocabulary) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _classes(docs: DataFrame, words: Vocabulary) -> DataFrame:
+    """The classes of all words of each document, two bytes each, so that passes do not look for words again."""
+    shared = docs.sparkSession.sparkContext.broadcast(words)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = utf8(batch.column(0))
+            for _, _, d, o in blocks(data, offsets):
+                hashes, first = _words(d, o)
+                raw = shared.value.classes(hashes).astype("<i2").tobytes()
+                yield pa.RecordBatch.from_arrays([pa.array([raw[2 * x : 2 * y] for x, y in zip(first[:-1], first[1:], strict=True)], pa.binary())], names=["classes"])
+
+    return docs.select("text").mapInArrow(run, "classes binary")
+
+
+def masked_places(classes: np.ndarray, first: np.ndarray, step: int) -> np.ndarray:
+    """The words that pass ``step`` masks: by the word and its place in its text, each word in exactly one pass."""
+    place = np.arange(len(classes)) - np.repeat(first[:-1], np.diff(first))
+    key = mixed(classes.astype(np.uint64) + place.astype(np.uint64) * np.uint64(CLASSES))
+    return np.flatnonzero(key % np.uint64(MASK_EVERY) == np.uint64(step))
+
+
+def _masked_batches(batches: Iterator[pa.RecordBatch], step: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     for batch in batches:
-        data, offsets = utf8(batch.column(0))
+        data, offsets = utf8(batch.column(0).cast(pa.large_binary()))
         for _, _, d, o in blocks(data, offsets):
-            hashes, first = _words(d, o)
-            padded, at = _contexts(words.classes(hashes), first)
-            # The same places in every run: by the word and its place in its text.
-            place = np.arange(len(hashes)) - np.repeat(first[:-1], np.diff(first))
-            chosen = np.flatnonzero(mixed(hashes + place.astype(np.uint64)) % np.uint64(MASK_EVERY) == 0)
+            classes, first = np.frombuffer(d.tobytes(), "<i2").astype(np.int64), o // 2
+            padded, at = _contexts(classes, first)
+            chosen = masked_places(classes, first, step)
             # Spread, so that a batch holds words of many texts.
             chosen = chosen[np.argsort(mixed(chosen.astype(np.uint64)))]
             for lo in range(0, len(chosen), BATCH):
@@ -238,17 +271,29 @@ def _masked_batches(batches: Iterator[pa.RecordBatch], words: Vocabulary) -> Ite
 
 
 def train(docs: DataFrame, words: Vocabulary, seed: int = 11) -> Network:
-    """Copies trained on all documents by the tasks that read them, averaged by the number of masked words."""
+    """``MASK_EVERY`` passes over all documents: tasks train copies, which are averaged by their masked words after each pass."""
+    classes = written(_classes(docs, words), "classes")
+    network = Network(seed)
+    for step in range(MASK_EVERY):
+        state = _pass(classes, network.state(), step)
+        if state is not None:
+            network.resume(state)
+    return network
+
+
+def _pass(classes: DataFrame, start: bytes, step: int) -> bytes | None:
+    """The averaged network after one pass from ``start``."""
+    shared = classes.sparkSession.sparkContext.broadcast(start)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        network, seen = Network(seed), 0
-        for padded, at in _masked_batches(batches, words):
+        network, seen = Network().resume(shared.value), 0
+        for padded, at in _masked_batches(batches, step):
             network.train(padded, at)
             seen += len(at)
         if seen:
             part = TaskContext.get().partitionId()
             yield pa.RecordBatch.from_arrays(
-                [pa.array([part], pa.int64()), pa.array([float(seen)]), pa.array([network.flat().tobytes()], pa.binary())],
+                [pa.array([part], pa.int64()), pa.array([float(seen)]), pa.array([network.state()], pa.binary())],
                 names=["part", "weight", "flat"],
             )
 
@@ -261,11 +306,12 @@ def train(docs: DataFrame, words: Vocabulary, seed: int = 11) -> Network:
         return pa.table({"part": [group["part"][0].as_py() // FAN_IN], "weight": [float(weight.sum())], "flat": pa.array([total.tobytes()], pa.binary())})
 
     schema = "part long, weight double, flat binary"
-    copies = written(docs.select("text").mapInArrow(run, schema), "copies")
+    copies = written(classes.mapInArrow(run, schema), "copies")
     while copies.count() > 1:
         copies = written(copies.groupBy(F.expr(f"part div {FAN_IN}")).applyInArrow(averaged, schema), "copies")
     last = copies.first()
-    return Network(seed) if last is None else Network(seed).load(np.frombuffer(last["flat"], np.float32))
+    shared.unpersist()
+    return None if last is None else bytes(last["flat"])
 
 
 def score(docs: DataFrame, network: Network, words: Vocabulary) -> DataFrame:

@@ -225,3 +225,9 @@ def test_masked_word_inside_class(spark):
         own = words_.log_totals[masked._shared(masked._words(*_one(word))[0])[0]]
         assert abs(got[i] - (np.log(n + masked.SMOOTH) - own - np.log(masked.CLASSES))) < 1e-4
     assert abs(got[4] + np.log(masked.CLASSES)) < 1e-4
+
+
+def test_masked_passes_reach_every_word():
+    classes, first = np.arange(1000) % 7, np.array([0, 3, 3, 4, 1000])
+    found = np.concatenate([masked.masked_places(classes, first, k) for k in range(masked.MASK_EVERY)])
+    assert sorted(found) == list(range(1000))
