@@ -44,8 +44,11 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain no benchmark item."""
-    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+    """Documents that contain no benchmark item, each row judged by its own text."""
+    rows = written(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    found = decontaminate.contaminated(rows.select(F.col("_row").alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
+    bad = written(found.select(F.col("doc_id").alias("_row")).distinct(), "contaminated-rows")
+    return rows.join(F.broadcast(bad) if fits_broadcast(bad) else bad, "_row", "left_anti").select(*docs.columns)
 
 
 def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -139,3 +139,11 @@ def test_pipeline_keeps_columns(spark):
         sizes.append(docs.count())
     assert sizes == sorted(sizes, reverse=True) and sizes[-1] > 0.5 * sizes[0]
     assert set(docs.columns) == {"doc_id", "n_tokens", "ids_sha256", "decoded_sha256"}
+
+
+def test_decontamination_judges_each_row(spark):
+    item = spark.read.parquet(f"{SF_DIR}/benchmark.parquet").where("length(text) > 100").first().text
+    docs = awkward(spark, [(None, item), (7, item), (7, "a clean text of its own"), (None, "another clean text"), (8, None)])
+    kept = corpus_pipeline.benchmark_decontamination(spark, docs, SF_DIR)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id or 0, r.text or "") for r in kept.collect()) == [(0, "another clean text"), (7, "a clean text of its own"), (8, "")]
