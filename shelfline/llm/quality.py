@@ -4,8 +4,8 @@ Bytes are embedded, filters of eight bytes slide over them in steps of four, and
 overlapping chunks of 512 bytes (one begins every 256) from the first byte to the last. The mean over the chunks and the
 maximum over the chunks of every filter are combined into one probability.
 
-The network is fitted on the driver on at most ``TRAIN_DOCS`` labelled documents, chosen by a hash of their id, with at most
-``TRAIN_CHARS`` from both ends of each; both bounds are parameters of the fit alone. Scores use whole texts.
+The network is fitted on the driver on the whole texts of at most ``TRAIN_DOCS`` labelled documents, chosen by a hash of their id.
+A step of the fit works on blocks of about ``FIT_BYTES`` and adds up their gradients. Scores use whole texts too.
 
 Edge cases: null and empty texts are scored like an empty text (one chunk of padding); without labels of both classes every
 score is the share of good labels (1 if there are none); conflicting labels of one id count as the lower; repeated rows are
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from shelfline.llm.common import blocks, table, utf8
 
 TRAIN_DOCS = 3000
-TRAIN_CHARS = 20_000
+FIT_BYTES = 1 << 18
 #: A score from here on is a prediction of 1.
 THRESHOLD = 0.3
 
@@ -124,6 +124,15 @@ class Network:
         return [of_embed, of_left, of_right, found.T @ error, np.array([error.sum()], np.float32)]
 
 
+    def gradient_in_blocks(self, data: np.ndarray, offsets: np.ndarray, label: np.ndarray) -> list[np.ndarray]:
+        """The same gradient, from blocks of bounded bytes (a longer text is a block of its own)."""
+        total = [np.zeros_like(p) for p in self.parameters()]
+        for lo, hi, d, o in blocks(data, offsets, FIT_BYTES):
+            for t, g in zip(total, self.gradient(d, o, label[lo:hi]), strict=True):
+                t += g * np.float32((hi - lo) / len(label))
+        return total
+
+
 def fit(texts: list[str], labels: np.ndarray, seed: int = 7) -> Network | float:
     """A fitted network, or the share of good labels where there is nothing to tell apart."""
     if not len(labels) or labels.min() == labels.max():
@@ -139,7 +148,7 @@ def fit(texts: list[str], labels: np.ndarray, seed: int = 7) -> Network | float:
         for lo in range(0, len(order), BATCH):
             chosen = order[lo : lo + BATCH]
             data, offsets = utf8(pa.array([texts[i] for i in chosen], pa.string()))
-            gradient = network.gradient(data, offsets, labels[chosen])
+            gradient = network.gradient_in_blocks(data, offsets, labels[chosen])
             rate = 0.02 * (1 - step / total) + 1e-4
             step += 1
             for p, g, (m, v) in zip(network.parameters(), gradient, moments, strict=True):
@@ -150,15 +159,12 @@ def fit(texts: list[str], labels: np.ndarray, seed: int = 7) -> Network | float:
 
 
 def training_sample(docs: DataFrame, labels: DataFrame) -> tuple[list[str], np.ndarray]:
-    """Bounded sample of labelled documents outside the held-out fold, the same in every run."""
+    """Whole texts of a bounded sample of labelled documents outside the held-out fold, the same in every run."""
     own = labels.where(F.col("quality").isin(0, 1) & (F.crc32(F.col("doc_id").cast("string")) % 5 != 0))
     own = own.groupBy("doc_id").agg(F.min("quality").alias("_quality"))
     chosen = own.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_DOCS)
-    text = F.coalesce(F.col("text"), F.lit(""))
-    half = TRAIN_CHARS // 2
-    short = F.when(F.length(text) <= TRAIN_CHARS, text).otherwise(F.concat(F.substring(text, 1, half), F.substring(text, -half, half)))
     # The sample has TRAIN_DOCS rows at most, so it may be broadcast; repeated ids give one text.
-    rows = docs.select("doc_id", short.alias("_text")).join(F.broadcast(chosen), "doc_id")
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("_text")).join(F.broadcast(chosen), "doc_id")
     rows = rows.groupBy("doc_id", "_quality").agg(F.min("_text").alias("_text")).collect()
     rows = sorted(rows, key=lambda r: r["doc_id"])
     return [r["_text"] for r in rows], np.array([r["_quality"] for r in rows], np.float32)

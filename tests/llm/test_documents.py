@@ -231,3 +231,21 @@ def test_masked_passes_reach_every_word():
     classes, first = np.arange(1000) % 7, np.array([0, 3, 3, 4, 1000])
     found = np.concatenate([masked.masked_places(classes, first, k) for k in range(masked.MASK_EVERY)])
     assert sorted(found) == list(range(1000))
+
+
+def test_quality_fits_on_whole_texts(spark):
+    import pyarrow as pa
+
+    from shelfline.llm.common import utf8
+
+    long = prose(1, 9000)
+    docs = awkward(spark, [(k, long + str(k)) for k in range(8)])
+    labels = spark.createDataFrame([(k, k % 2, 0) for k in range(8)], "doc_id long, quality int, toxic int")
+    texts, label = quality.training_sample(docs, labels)
+    assert texts and all(t.startswith(long) for t in texts)
+    network = quality.Network()
+    network.out[:] = 0.1
+    data, offsets = utf8(pa.array([long * 4, "x", long, "y " * 9]))
+    label = np.array([1, 0, 0, 1], np.float32)
+    for a, b in zip(network.gradient(data, offsets, label), network.gradient_in_blocks(data, offsets, label), strict=True):
+        assert np.allclose(a, b, rtol=1e-3, atol=1e-5)
