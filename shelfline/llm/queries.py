@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfline.llm import chat, decontaminate, html, jaccard, rules
+from shelfline.llm import chat, decontaminate, html, jaccard, rules, secret_scan
 from shelfline.llm.bpe import op7_bpe
 from shelfline.llm.chat import op6_chat
 from shelfline.llm.decontaminate import op8_decontaminate
@@ -15,6 +15,7 @@ from shelfline.llm.jaccard import op2_jaccard
 from shelfline.llm.masked import op5_pseudo_likelihood
 from shelfline.llm.quality import op9_quality
 from shelfline.llm.rules import op10_host_rules
+from shelfline.llm.secret_scan import op11_secrets
 from shelfline.llm.suffix import op4_suffix
 from shelfline.llm.wavelet import op3_wavelet
 
@@ -29,6 +30,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_quality": op9_quality,
     "op10_host_rules": op10_host_rules,
+    "op11_secrets": op11_secrets,
 }
 
 ORACLES: dict[str, str] = {
@@ -37,4 +39,5 @@ ORACLES: dict[str, str] = {
     "op6_chat": chat.ORACLE,
     "op8_decontaminate": decontaminate.ORACLE,
     "op10_host_rules": rules.ORACLE,
+    "op11_secrets": secret_scan.ORACLE,
 }
