@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import sys
 import time
+from datetime import datetime
 
 import duckdb
 import pandas as pd
@@ -36,12 +37,17 @@ def _kind(dtype: str) -> str:
     return dtype
 
 
+def _text(value: object) -> str:
+    """A value as text; of times, whole seconds."""
+    return str(value)[:19].removesuffix(" 00:00:00") if isinstance(value, datetime) else str(value)
+
+
 def canonical(df: pd.DataFrame) -> pd.DataFrame:
     out = pd.DataFrame(index=df.index)
     for c in sorted(df.columns):
         s = df[c].astype(object)
         s = s.where(s.notna(), None)
-        out[c] = s.map(lambda x: "~" if x is None else (f"{x:.6f}" if isinstance(x, float) else str(x)[:19].removesuffix(" 00:00:00")))
+        out[c] = s.map(lambda x: "~" if x is None else (f"{x:.6f}" if isinstance(x, float) else _text(x)))
     return out.sort_values(list(out.columns)).reset_index(drop=True)
 
 
