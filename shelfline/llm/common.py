@@ -75,12 +75,12 @@ def _powers(base: int, n: int, kept: dict[int, np.ndarray] = {}) -> np.ndarray:
     return kept[base][:n]
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end of each word, and the first word of each text (one entry more than texts)."""
+def word_spans(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of each word, and the first word of each text (one entry more than texts). ``between``: the bytes that end words."""
     if not len(data):
         empty = np.zeros(0, np.int64)
         return empty, empty, np.zeros(len(offsets), np.int64)
-    inside = ~_SPACE[data]
+    inside = ~between[data]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
     cuts = offsets[1:-1]

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfline.llm import chat, decontaminate, html, jaccard, rules, secret_scan
+from shelfline.llm import chat, decontaminate, html, jaccard, ranked, rules, secret_scan
 from shelfline.llm.bpe import op7_bpe
 from shelfline.llm.chat import op6_chat
 from shelfline.llm.decontaminate import op8_decontaminate
@@ -14,6 +14,7 @@ from shelfline.llm.html import op1_html
 from shelfline.llm.jaccard import op2_jaccard
 from shelfline.llm.masked import op5_pseudo_likelihood
 from shelfline.llm.quality import op9_quality
+from shelfline.llm.ranked import op13_ranked
 from shelfline.llm.rules import op10_host_rules
 from shelfline.llm.secret_scan import op11_secrets
 from shelfline.llm.suffix import op4_suffix
@@ -31,6 +32,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality": op9_quality,
     "op10_host_rules": op10_host_rules,
     "op11_secrets": op11_secrets,
+    "op13_ranked": op13_ranked,
 }
 
 ORACLES: dict[str, str] = {
@@ -40,4 +42,5 @@ ORACLES: dict[str, str] = {
     "op8_decontaminate": decontaminate.ORACLE,
     "op10_host_rules": rules.ORACLE,
     "op11_secrets": secret_scan.ORACLE,
+    "op13_ranked": ranked.ORACLE,
 }
