@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfline.llm import chat, decontaminate, html, jaccard, ranked, rules, secret_scan
+from shelfline.llm import chat, decontaminate, html, jaccard, prefix_trie, ranked, rules, secret_scan
 from shelfline.llm.bpe import op7_bpe
 from shelfline.llm.chat import op6_chat
 from shelfline.llm.decontaminate import op8_decontaminate
 from shelfline.llm.html import op1_html
 from shelfline.llm.jaccard import op2_jaccard
 from shelfline.llm.masked import op5_pseudo_likelihood
+from shelfline.llm.prefix_trie import op12_prefix_trie
 from shelfline.llm.quality import op9_quality
 from shelfline.llm.ranked import op13_ranked
 from shelfline.llm.rules import op10_host_rules
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality": op9_quality,
     "op10_host_rules": op10_host_rules,
     "op11_secrets": op11_secrets,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_ranked": op13_ranked,
 }
 
@@ -42,5 +44,6 @@ ORACLES: dict[str, str] = {
     "op8_decontaminate": decontaminate.ORACLE,
     "op10_host_rules": rules.ORACLE,
     "op11_secrets": secret_scan.ORACLE,
+    "op12_prefix_trie": prefix_trie.ORACLE,
     "op13_ranked": ranked.ORACLE,
 }
