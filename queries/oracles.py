@@ -495,12 +495,90 @@ FEATURE_SLICE = with_(
     features("visible", LIGHT),
 )
 
-FOLD_TRAIN = with_(
-    ALL_SALES,
-    FOLDS.replace("FROM sales", "FROM all_sales"),
-    "sales AS (SELECT * FROM all_sales WHERE date <= (SELECT train_end FROM folds WHERE fold = 1))",
-    features("sales", LIGHT),
-)
+DEFAULT_FEATURES = [*lags([7, 14, 28]), *rolling([1], [7, 14, 28]), *expanding([1])]
+
+
+def _fold_features() -> str:
+    """Features of both sides of every fold, each from the rows of its own slice."""
+    parts = []
+    for fold in range(N_FOLDS):
+        for part in ("train", "val"):
+            inside = f"(SELECT {part}_start FROM folds WHERE fold = {fold}) AND (SELECT {part}_end FROM folds WHERE fold = {fold})"
+            one = with_(
+                ALL_SALES,
+                FOLDS.replace("FROM sales", "FROM all_sales"),
+                f"sales AS (SELECT * FROM all_sales WHERE date BETWEEN {inside})",
+                features("sales", DEFAULT_FEATURES),
+            )
+            parts.append(f"SELECT CAST({fold} AS INTEGER) AS fold, '{part}' AS part, * FROM ({one})")
+    return "\nUNION ALL BY NAME ".join(parts)
+
+
+FOLD_FEATURES = _fold_features()
+STORED_FEATURES = f"SELECT * EXCLUDE (fold, part) FROM ({_fold_features()}) WHERE fold = 0 AND part = 'val'"
+
+
+def naive_scores(name: str = "scores", smoothing: str = "0.0") -> str:
+    """Scores per fold of the mean of the week in training, drawn towards the overall mean by ``smoothing`` rows."""
+    return f"""week_{name} AS (
+  SELECT fold, extract(week FROM date) AS week, sum(unit_sales) AS total, count(unit_sales) AS known
+  FROM sales JOIN folds ON date BETWEEN train_start AND train_end GROUP BY 1, 2),
+overall_{name} AS (SELECT fold, sum(total) / sum(known) AS mean FROM week_{name} GROUP BY 1),
+forecast_{name} AS (
+  SELECT f.fold, s.unit_sales AS y, coalesce((w.total + {smoothing} * o.mean) / (w.known + {smoothing}), o.mean) AS yhat
+  FROM sales s JOIN folds f ON s.date BETWEEN f.val_start AND f.val_end JOIN overall_{name} o ON o.fold = f.fold
+       LEFT JOIN week_{name} w ON w.fold = f.fold AND w.week = extract(week FROM s.date)),
+{name} AS (
+  SELECT fold, sqrt(avg((y - yhat) * (y - yhat))) AS rmse, sum(abs(y - yhat)) / (sum(abs(y)) + 1e-8) AS wmape
+  FROM forecast_{name} GROUP BY fold)"""
+
+
+BACKTEST_SCORES = with_(SALES, FOLDS, naive_scores()) + '''
+SELECT fold, ROUND(rmse, 6) AS "RMSE", ROUND(wmape, 6) AS "WMAPE" FROM scores'''
+BACKTEST_SUMMARY = with_(SALES, FOLDS, naive_scores()) + """
+SELECT 'RMSE' AS metric, ROUND(avg(rmse), 6) AS mean, ROUND(stddev_pop(rmse), 6) AS std FROM scores
+UNION ALL SELECT 'WMAPE', ROUND(avg(wmape), 6), ROUND(stddev_pop(wmape), 6) FROM scores"""
+RUN_RECORDS = with_(SALES, FOLDS, naive_scores()) + """
+SELECT 'fold_scores' AS record, CAST(fold AS INTEGER) AS fold, 'RMSE' AS name, ROUND(rmse, 6) AS value FROM scores
+UNION ALL SELECT 'fold_scores', fold, 'WMAPE', ROUND(wmape, 6) FROM scores
+UNION ALL SELECT 'cv_summary', NULL, 'RMSE', ROUND(avg(rmse), 6) FROM scores
+UNION ALL SELECT 'cv_summary', NULL, 'WMAPE', ROUND(avg(wmape), 6) FROM scores
+UNION ALL SELECT 'importance', fold, 'week_of_year', 1.0 FROM scores"""
+
+
+def sweep_states(smoothings: list[float], startup: int) -> str:
+    """Every trial judged in order by the median of the complete ones before it."""
+    parts = [naive_scores(f"scores{i}", f"CAST({x!r} AS DOUBLE)") for i, x in enumerate(smoothings)]
+    lists = ", ".join(f"(SELECT list(rmse ORDER BY fold) FROM scores{i}) AS s{i}" for i in range(len(smoothings)))
+    parts.append(f"judged0 AS (SELECT {lists}, CAST([] AS DOUBLE[][]) AS done)")
+    for i in range(len(smoothings)):
+        worse = f"""len(list_filter(range(1, len(s{i}) + 1), lambda k: list_min(s{i}[1:k])
+  > list_aggregate(list_transform(done, lambda d: d[k]), 'median'))) > 0"""
+        parts.append(f"asked{i} AS (SELECT *, len(done) >= {startup} AND {worse} AS p{i} FROM judged{i})")
+        parts.append(f"judged{i + 1} AS (SELECT * EXCLUDE (done), CASE WHEN p{i} THEN done ELSE list_append(done, s{i}) END AS done FROM asked{i})")
+    rows = [
+        f"SELECT CAST({i} AS INTEGER) AS number, CASE WHEN p{i} THEN 'PRUNED' ELSE 'COMPLETE' END AS state,"
+        f" CASE WHEN NOT p{i} THEN ROUND(list_avg(s{i}), 6) END AS value FROM judged{len(smoothings)}"
+        for i in range(len(smoothings))
+    ]
+    return with_(SALES, FOLDS, *parts) + "\n" + "\nUNION ALL ".join(rows)
+
+
+def encoded(column: str) -> str:
+    """Label codes: the most frequent label first, then by name; a missing one after all others."""
+    return f"""codes_{column} AS (
+  SELECT {column}, CAST(row_number() OVER (ORDER BY count(*) DESC, {column}) - 1 AS DOUBLE) AS code, 1 AS one
+  FROM enriched JOIN folds ON fold = 0 AND date BETWEEN train_start AND train_end WHERE {column} IS NOT NULL GROUP BY 1)"""
+
+
+MODEL_INPUTS = with_(SALES, ITEMS, STORES, ENRICHED, FOLDS, *[encoded(c) for c in ("family", "city", "state")]) + """
+SELECT e.date, e.store_nbr, e.item_nbr, CAST(e.onpromotion IS NULL AS DOUBLE) AS promotion_missing,
+  coalesce(CAST(e.onpromotion AS DOUBLE), 0) AS promotion,
+  coalesce(f.code, (SELECT CAST(count(*) AS DOUBLE) FROM codes_family)) AS family_code,
+  coalesce(c.code, (SELECT CAST(count(*) AS DOUBLE) FROM codes_city)) AS city_code,
+  coalesce(t.code, (SELECT CAST(count(*) AS DOUBLE) FROM codes_state)) AS state_code
+FROM enriched e JOIN folds ON folds.fold = 0 AND (e.date BETWEEN train_start AND train_end OR e.date BETWEEN val_start AND val_end)
+LEFT JOIN codes_family f ON f.family = e.family LEFT JOIN codes_city c ON c.city = e.city LEFT JOIN codes_state t ON t.state = e.state"""
 
 CSV_LOAD = with_(SALES) + """
 SELECT date, CAST(store_nbr AS INTEGER) AS store_nbr, item_nbr, unit_sales, onpromotion FROM sales"""

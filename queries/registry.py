@@ -5,16 +5,19 @@ from __future__ import annotations
 import dataclasses
 import functools
 import os
+import random
 import uuid
 from collections.abc import Callable
 from datetime import date
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from queries import oracles as sql
 from queries import views as v
-from shelfline.config import LIGHT_FEATURES, Columns, CrossValidation, Model, Sweep
+from shelfline.config import LIGHT_FEATURES, BacktestConfig, Columns, CrossValidation, Features, Model, Sweep
 from shelfline.functions.calendar import (
     add_is_weekend,
     add_month_of_year,
@@ -30,7 +33,7 @@ from shelfline.operators.fill import (
     fill_time_series_full_range,
     oil_review,
 )
-from shelfline.operators.folds import build_rolling_windows, collect_folds, embargo_days, feasibility, rows_of_folds
+from shelfline.operators.folds import Fold, build_rolling_windows, collect_folds, embargo_days, feasibility, rows_of_folds
 from shelfline.operators.metrics import aggregate_fold_scores, evaluate_metrics, to_long
 from shelfline.operators.profile import check_features
 from shelfline.operators.promotions import (
@@ -50,12 +53,14 @@ from shelfline.operators.seasonality import (
 )
 from shelfline.operators.series import first_rows, make_expanding, make_lag, make_rolling
 from shelfline.operators.slicing import date_bounds, drop_target_cols, slice_by_date, unique_dates
+from shelfline.plans.backtest import BacktestResult, run_backtest
 from shelfline.plans.features import make_features, slice_features
 from shelfline.plans.fold_features import FoldFeatures
-from shelfline.plans.model import feature_importance, predict, train_model
-from shelfline.plans.sweep import run_sweep
+from shelfline.plans.learners import SeasonalNaive
+from shelfline.plans.model import feature_importance, predict, train_model, tree_inputs
+from shelfline.plans.sweep import STARTUP_TRIALS, run_sweep, suggest_params, trial_states
 from shelfline.session import shared_folder, written
-from shelfline.sources.sinks import importance_table
+from shelfline.sources.sinks import RunRecords, importance_table, save_features
 from shelfline.sources.tables import load_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -472,13 +477,31 @@ def feature_slice_with_context(spark: SparkSession, d: str) -> DataFrame:
     return rounded(slice_features(v.sales(spark, d), dates, light, "unit_sales", KEYS, "daily"))
 
 
-@query(sql.FOLD_TRAIN)
-def fold_train_features(spark: SparkSession, d: str) -> DataFrame:
-    """CV-3, SNK-2: training features of the second fold, cut from the windowed table that all folds share."""
+def _fold_features(spark: SparkSession, d: str) -> tuple[list[Fold], FoldFeatures]:
     sales = v.sales(spark, d)
     folds = collect_folds(folds_of(sales))
     path = os.path.join(shared_folder(spark), f"fold-features-{uuid.uuid4().hex}")
-    return rounded(FoldFeatures(spark, path, sales, folds, LIGHT_FEATURES, Columns(), "daily").train(folds[1]))
+    return folds, FoldFeatures(spark, path, sales, folds, Features(), Columns(), "daily")
+
+
+@query(sql.FOLD_FEATURES)
+def fold_train_features(spark: SparkSession, d: str) -> DataFrame:
+    """CV-3, SNK-2: features of both sides of all folds, the training sides cut from the windowed table that all folds share."""
+    folds, features = _fold_features(spark, d)
+    sides = [
+        side.select(F.lit(fold.fold).alias("fold"), F.lit(part).alias("part"), "*")
+        for fold in folds
+        for part, side in zip(("train", "val"), features.build(fold), strict=True)
+    ]
+    return rounded(functools.reduce(DataFrame.unionByName, sides))
+
+
+@query(sql.STORED_FEATURES)
+def stored_features(spark: SparkSession, d: str) -> DataFrame:
+    """SNK-1: the validation features of the first fold, stored and read back."""
+    folds, features = _fold_features(spark, d)
+    path = os.path.join(shared_folder(spark), f"stored-{uuid.uuid4().hex}")
+    return rounded(save_features(features.val(folds[0]), path))
 
 
 @query(sql.CSV_LOAD)
@@ -491,21 +514,29 @@ def csv_load(spark: SparkSession, d: str) -> DataFrame:
 
 # --- Models ---------------------------------------------------------------------------------------------------------
 
+#: A few trees on all features and all rows: what is checked is the way, not the forecast.
 SMALL_MODEL = Model(params={"n_estimators": 5, "learning_rate": 0.2, "max_depth": 4, "random_state": 7})
-LIGHT = LIGHT_FEATURES
 
 
 def _fold_builder(spark: SparkSession, d: str):
     prepared = written(enriched(spark, d), "model-input")
     folds = collect_folds(folds_of(prepared))
+    path = os.path.join(shared_folder(spark), f"model-folds-{uuid.uuid4().hex}")
+    return folds, FoldFeatures(spark, path, prepared, folds, Features(), Columns(), "daily").build
 
-    def build(fold):
-        return tuple(
-            slice_features(prepared, dates, LIGHT, "unit_sales", KEYS, "daily")
-            for dates in (fold.train_range, fold.val_range)
-        )
 
-    return folds, build
+@query(sql.MODEL_INPUTS)
+def model_inputs(spark: SparkSession, d: str) -> DataFrame:
+    """PRJ-9: the first fold's rows as the trees see them, text as codes of its labels."""
+    rows = written(enriched(spark, d), "model-input")
+    fold = collect_folds(folds_of(rows))[0]
+    inputs = tree_inputs(slice_by_date(rows, fold.train_range), slice_by_date(rows, fold.val_range), "unit_sales")
+    both = slice_by_date(rows, fold.train_range).unionByName(slice_by_date(rows, fold.val_range))
+    prepared = PipelineModel(inputs.stages).transform(both)
+    codes = {"promotion_missing": "_missing_onpromotion", "promotion": "_x_onpromotion", **{f"{c}_code": f"_x_{c}" for c in ("family", "city", "state")}}
+    place = {name: inputs.inputs.index(column) for name, column in codes.items()}
+    values = vector_to_array("_features")
+    return prepared.select("date", *KEYS, *[values[i].alias(name) for name, i in place.items()])
 
 
 @query()
@@ -534,7 +565,61 @@ def gbt_importance(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def param_sweep(spark: SparkSession, d: str) -> DataFrame:
-    """ML-3 to ML-6: the trial history of a small sweep."""
+    """ML-3 to ML-6: the trial history of a sweep with enough trials for pruning."""
     folds, build = _fold_builder(spark, d)
-    sweep = Sweep(enabled=True, n_trials=2)
-    return run_sweep(spark, folds, build, SMALL_MODEL, sweep).trials
+    model = Model(params={**SMALL_MODEL.params, "n_estimators": 3})
+    return run_sweep(spark, folds, build, model, Sweep(enabled=True, n_trials=8)).trials
+
+
+SWEEP = Sweep(enabled=True, n_trials=8, seed=5)
+
+
+def _smoothings() -> list[float]:
+    draw = random.Random(SWEEP.seed)
+    return [suggest_params(draw, "seasonal")["smoothing"] for _ in range(SWEEP.n_trials)]
+
+
+@query(sql.sweep_states(_smoothings(), STARTUP_TRIALS))
+def sweep_trial_states(spark: SparkSession, d: str) -> DataFrame:
+    """ML-3, ML-6: a sweep of the seasonal learner, every trial's state derived from the stored scores."""
+    sales = v.sales(spark, d)
+    folds = collect_folds(folds_of(sales))
+    build = lambda fold: (slice_by_date(sales, fold.train_range), slice_by_date(sales, fold.val_range))
+    result = run_sweep(spark, folds, build, SeasonalNaive(), SWEEP)
+    # The states that the run decided on while it went must be those that its scores give.
+    told = F.broadcast(result.trials.select("number", "state"))
+    return rounded(trial_states(result.scores).join(told, ["number", "state"]))
+
+
+# --- Whole runs -----------------------------------------------------------------------------------------------------
+
+
+def _backtest(spark: SparkSession, d: str) -> tuple[BacktestResult, RunRecords]:
+    """All folds of the whole flow, with a learner whose forecasts SQL can give."""
+    out = os.path.join(shared_folder(spark), f"run-{uuid.uuid4().hex}")
+    tables = {"train": v.sales(spark, d), "items": v.items(spark, d), "stores": v.stores(spark, d), "oil": v.oil(spark, d), "holidays_events": v.holidays(spark, d)}
+    cfg = BacktestConfig(output_dir=out, rows_per_group="daily")
+    result = run_backtest(spark, cfg, tables, SeasonalNaive())
+    return result, RunRecords(spark, os.path.join(out, "records"), result.run_id)
+
+
+@query(sql.BACKTEST_SCORES)
+def backtest_fold_scores(spark: SparkSession, d: str) -> DataFrame:
+    """CV-3, FLOW-3, UDF-1: scores of every fold."""
+    return rounded(_backtest(spark, d)[0].fold_scores)
+
+
+@query(sql.BACKTEST_SUMMARY)
+def backtest_summary(spark: SparkSession, d: str) -> DataFrame:
+    """FLOW-3, AGG-8: their mean and spread."""
+    return rounded(_backtest(spark, d)[0].cv_summary)
+
+
+@query(sql.RUN_RECORDS)
+def run_records(spark: SparkSession, d: str) -> DataFrame:
+    """SNK-4, SNK-6: what a run published, read back."""
+    records = _backtest(spark, d)[1]
+    scores = to_long(records.read("fold_scores")).select(F.lit("fold_scores").alias("record"), "fold", F.col("metric").alias("name"), F.col("score").alias("value"))
+    summary = records.read("cv_summary").select(F.lit("cv_summary"), F.lit(None).cast("int"), "metric", "mean")
+    importance = records.read("importance").select(F.lit("importance"), "fold", "feature", "importance")
+    return rounded(scores.union(summary).union(importance))

@@ -70,6 +70,8 @@ class Sweep:
     metric: str = "RMSE"
     seed: int = 42
     apply_best: bool = False
+    #: Fits that run side by side.
+    parallel: int = 4
 
 
 @dataclass(frozen=True)

@@ -7,6 +7,7 @@ import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shelfline.config import BacktestConfig
 from shelfline.operators import holidays as hol
@@ -18,10 +19,10 @@ from shelfline.operators.profile import check_features
 from shelfline.operators.promotions import process_promotions
 from shelfline.operators.slicing import unique_dates
 from shelfline.plans.fold_features import FoldFeatures
-from shelfline.plans.model import check_framework, feature_importance, predict, train_model
+from shelfline.plans.learners import BoostedTrees, Learner
 from shelfline.plans.sweep import SweepResult, run_sweep
 from shelfline.session import shared_folder
-from shelfline.sources.sinks import RunRecords, importance_table, save_features, save_model
+from shelfline.sources.sinks import RunRecords, importance_table, is_complete, save_features
 from shelfline.sources.tables import load_tables
 
 
@@ -90,22 +91,32 @@ class BacktestResult:
 
 
 def run_backtest(
-    spark: SparkSession, cfg: BacktestConfig, tables: dict[str, DataFrame] | None = None
+    spark: SparkSession,
+    cfg: BacktestConfig,
+    tables: dict[str, DataFrame] | None = None,
+    learner: Learner | None = None,
+    run_id: str | None = None,
 ) -> BacktestResult:
-    """FLOW-3. ``tables`` may bring the inputs; otherwise they are loaded from ``cfg.paths``.
+    """FLOW-3. ``tables`` may bring the inputs; otherwise they are loaded from ``cfg.paths``. ``learner`` is by default the
+    boosted trees of ``cfg.model``.
 
     The prepared table and the windowed features are written once and read back: the date slices of all folds prune
-    the first, all folds and sweep trials share the second, and lost executors cost no more than the step at hand.
+    the first, all folds and sweep trials share the second, and lost executors cost no more than the step at hand. With the
+    ``run_id`` of a run that broke off (and its ``output_dir``), stored tables are read again and scored folds are not repeated.
     """
-    check_framework(cfg.model)
-    run_id = uuid.uuid4().hex[:12]
+    learner = learner or BoostedTrees(cfg.model)
+    run_id = run_id or uuid.uuid4().hex[:12]
     out = cfg.output_dir or os.path.join(shared_folder(spark), f"backtest-{run_id}")
     # Only dimensions have repeated keys to choose from; the facts carry no helper column.
     tables = tables or load_tables(spark, cfg.paths, keep_row_order=("items", "stores", "oil", "promos", "holidays_events"))
     records = RunRecords(spark, os.path.join(out, "records"), run_id)
     records.config(cfg.as_json())
 
-    prepared = store_prepared(prepare(tables, cfg), os.path.join(out, "prepared", run_id), cfg, run_id)
+    where = os.path.join(out, "prepared", run_id)
+    if not cfg.series_buckets and is_complete(spark, where):
+        prepared = spark.read.parquet(where)
+    else:
+        prepared = store_prepared(prepare(tables, cfg), where, cfg, run_id)
 
     cv = cfg.cv
     possible = feasibility(
@@ -116,32 +127,47 @@ def run_backtest(
         spark, os.path.join(out, "folds", run_id), prepared, folds, cfg.features, cfg.cols, cfg.rows_per_group
     )
 
-    scores, importances, profile = [], [], None
+    profile = None
     for fold in folds:
+        scored = records.has("fold_scores", fold.fold)
+        if scored and fold.fold:
+            continue
         train, val = features.build(fold)
         if fold.fold == 0:
             profile = check_features(train, cfg.cols.target)
+            if scored:
+                continue
             records.catalogue(train)
             if cfg.save_fold0:
                 save_features(train, os.path.join(out, "features", run_id, "train"))
                 save_features(val, os.path.join(out, "features", run_id, "val"))
-        model = train_model(train, val, cfg.cols.target, cfg.model)
-        save_model(model, os.path.join(out, "models", run_id, f"fold{fold.fold}"))
-        row = evaluate_metrics(predict(model, val), cfg.cols.target, "prediction").first()
-        scores.append((fold.fold, *[row[m] if row else None for m in METRICS]))
-        importances += [(fold.fold, name, weight) for name, weight in feature_importance(model)]
+        score_fold(spark, fold, train, val, learner, cfg.cols.target, records, os.path.join(out, "models", run_id, f"fold{fold.fold}"))
 
-    fold_scores = spark.createDataFrame(scores, "fold int, " + ", ".join(f"{m} double" for m in METRICS))
+    fold_scores = records.parts("fold_scores", "fold int, " + ", ".join(f"{m} double" for m in METRICS))
     summary = aggregate_fold_scores(to_long(fold_scores))
-    importance = importance_table(spark, importances)
-    records.fold_scores(fold_scores)
     records.cv_summary(summary)
-    records.importance(importance)
+    importance = records.parts("importance", "fold int, feature string, importance double").orderBy("fold", F.desc("importance"), "feature")
 
     result, next_config = None, cfg
     if cfg.sweep.enabled and folds:
-        result = run_sweep(spark, folds, features.build, cfg.model, cfg.sweep, target_col=cfg.cols.target)
+        sweep_scores = os.path.join(out, "sweep", run_id)
+        result = run_sweep(spark, folds, features.build, learner, cfg.sweep, target_col=cfg.cols.target, store=sweep_scores)
         records.sweep(result.trials, result.cv_by_fold, result.best_model_params)
         if cfg.sweep.apply_best:
             next_config = cfg.with_model_params(result.best_model_params)
     return BacktestResult(run_id, folds, possible, fold_scores, summary, importance, profile, result, next_config)
+
+
+def score_fold(
+    spark: SparkSession, fold: Fold, train: DataFrame, val: DataFrame, learner: Learner, target_col: str, records: RunRecords, model_path: str
+) -> None:
+    """CV-3, one turn of the loop: fit on the training side, score the validation side, store model, importances and scores.
+
+    The scores come last: a fold that has them is done.
+    """
+    fitted = learner.fit(learner.prepare(train, val, target_col))
+    fitted.save(model_path)
+    row = evaluate_metrics(fitted.predict(val), target_col, "prediction").first()
+    records.importance(importance_table(spark, [(fold.fold, name, weight) for name, weight in fitted.importance()]), fold.fold)
+    scores = [(fold.fold, *[row[m] if row else None for m in METRICS])]
+    records.fold_scores(spark.createDataFrame(scores, "fold int, " + ", ".join(f"{m} double" for m in METRICS)), fold.fold)

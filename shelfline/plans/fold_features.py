@@ -22,6 +22,7 @@ from shelfline.operators.seasonality import daily_totals, totals_from_days
 from shelfline.operators.series import BoundedFeature
 from shelfline.operators.slicing import slice_by_date
 from shelfline.plans.features import dressed, slice_features, target_feature_list, windowed
+from shelfline.sources.sinks import is_complete
 
 _PROMO_ROWS = 7
 _COMING, _LAST_ROW = "_next_rows_promo", "_last_next_row"
@@ -62,7 +63,8 @@ class FoldFeatures:
     def _once(self, name: str, build) -> DataFrame:
         if name not in self._stored:
             where = os.path.join(self.path, name)
-            build().write.mode("overwrite").parquet(where)
+            if not is_complete(self.spark, where):
+                build().write.mode("overwrite").parquet(where)
             self._stored[name] = self.spark.read.parquet(where)
         return self._stored[name]
 

@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 import warnings
 from collections.abc import Sequence
+from dataclasses import dataclass
 from typing import Any
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.feature import SQLTransformer, StringIndexerModel, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfline.config import Model
+from shelfline.plans.boosting import CHECK, FEATURES, LABEL, grow
 from shelfline.schemas import numeric
+from shelfline.session import written
 
 FRAMEWORKS = ("gbt", "lightgbm", "xgboost")
 
@@ -38,7 +41,11 @@ PARAMETER_NAMES = {
 # What holds where the parameters name nothing.
 DEFAULT_TREES, DEFAULT_RATE, DEFAULT_PATIENCE = 2000, 0.05, 200
 
-_VAL, _FEATURES = "_is_val", "_features"
+#: Labels of a text column that are categories of their own, and categories that all other labels share.
+MOST_LABELS, LABEL_BINS = 128, 32
+
+#: Marks the shared categories; labels that are spelled out begin with an equals sign next to it.
+_BIN = "#"
 
 
 def merge_params(base: dict[str, Any], tuned: dict[str, Any]) -> dict[str, Any]:
@@ -94,12 +101,53 @@ def _with_gaps(rows: DataFrame, columns: list[str]) -> set[str]:
     return {c for c, found in zip(columns, missing, strict=True) if found}
 
 
-def _preparation(train: DataFrame, rows: DataFrame, target_col: str) -> tuple[list, list[str]]:
-    """Fitted preparation stages and the names of the assembled inputs.
+def label_index(rows: DataFrame, columns: Sequence[str], most: int) -> dict[str, list[str]]:
+    """PRJ-9: the ``most`` most frequent labels of each text column, frequent ones first, then by name.
+
+    The counts combine on the map side and the first few are picked by each task before they meet, so that the driver holds a
+    bounded list however many labels there are.
+    """
+    out: dict[str, list[str]] = {}
+    for c in columns:
+        counts = rows.where(F.col(c).isNotNull()).groupBy(F.col(c).cast("string").alias("label")).agg(F.count(F.lit(1)).alias("n"))
+        out[c] = [r["label"] for r in counts.orderBy(F.desc("n"), "label").limit(most).collect()]
+    return out
+
+
+def _text_stage(labels: dict[str, list[str]], most: int, bins: int) -> tuple[list, list[str]]:
+    """Stages that turn text into categories: frequent labels by rank, all others dealt to ``bins`` categories by hash.
+
+    Only a column with more labels than ``most`` has such bins. Missing labels, and unseen ones of a column without bins, share
+    one more category.
+    """
+    pieces, kept = [], []
+    for c, known in labels.items():
+        value = f"cast(`{c}` AS string)"
+        if len(known) < most:
+            pieces.append(f"{value} AS `_label_{c}`")
+            kept.append(known)
+            continue
+        spelled = ", ".join(_literal(x) for x in known)
+        rare = f"concat('{_BIN}', cast(pmod(xxhash64({value}), {bins}) AS string))"
+        pieces.append(f"CASE WHEN `{c}` IS NULL THEN NULL WHEN {value} IN ({spelled}) THEN concat('=', {value}) ELSE {rare} END AS `_label_{c}`")
+        kept.append([f"={x}" for x in known] + [f"{_BIN}{k}" for k in range(bins)])
+    spelled_out = SQLTransformer(statement=f"SELECT *, {', '.join(pieces)} FROM __THIS__")
+    indexers = [
+        StringIndexerModel.from_labels(names, f"_label_{c}", f"_x_{c}", handleInvalid="keep") for c, names in zip(labels, kept, strict=True)
+    ]
+    return [spelled_out, *indexers], [f"_x_{c}" for c in labels]
+
+
+def _literal(text: str) -> str:
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
+def _preparation(train: DataFrame, rows: DataFrame, target_col: str, most: int, bins: int) -> tuple[list, list[str], int]:
+    """Preparation stages, the names of the assembled inputs, and the largest number of categories.
 
     Spark's trees take no missing values: a number becomes its value or 0, next to a flag that says it was missing, if
-    it ever is in the training and validation rows. Text becomes an index fitted on the training rows; unseen and
-    missing text share one extra index.
+    it ever is in the training and validation rows.
     """
     numbers, texts = model_inputs(train, target_col)
     gaps = _with_gaps(rows, numbers)
@@ -111,66 +159,56 @@ def _preparation(train: DataFrame, rows: DataFrame, target_col: str) -> tuple[li
             pieces.append(f"cast(`{c}` IS NULL AS double) AS `_missing_{c}`")
             inputs.append(f"_missing_{c}")
     stages: list = [SQLTransformer(statement=f"SELECT *, {', '.join(pieces)} FROM __THIS__")] if pieces else []
+    categories = 0
     if texts:
-        indexed = [f"_x_{c}" for c in texts]
-        indexer = StringIndexer(inputCols=texts, outputCols=indexed, handleInvalid="keep")
-        stages.append(indexer.fit(train))
+        text_stages, indexed = _text_stage(label_index(train, texts, most), most, bins)
+        stages += text_stages
         inputs += indexed
-    stages.append(VectorAssembler(inputCols=inputs, outputCol=_FEATURES))
-    return stages, inputs
+        categories = max(len(stage.labels) + 1 for stage in text_stages[1:])
+    stages.append(VectorAssembler(inputCols=inputs, outputCol=FEATURES))
+    return stages, inputs, categories
 
 
-def train_model(train: DataFrame, val: DataFrame, target_col: str, model: Model) -> PipelineModel:
-    """ML-1: fit boosted regression trees, as many as had the lowest validation error.
+@dataclass(frozen=True)
+class TreeInputs:
+    """What all fits on one fold read: the preparation, and both sides' rows after it, stored once."""
+
+    stages: list
+    inputs: list[str]
+    categories: int
+    rows: DataFrame
+
+
+def tree_inputs(train: DataFrame, val: DataFrame, target_col: str, most_labels: int = MOST_LABELS, bins: int = LABEL_BINS) -> TreeInputs:
+    """PRJ-9: prepare a fold once for any number of fits. Rows without a target are left out."""
+    known = F.col(target_col).isNotNull()
+    both = train.where(known).withColumn(CHECK, F.lit(False)).unionByName(val.where(known).withColumn(CHECK, F.lit(True)))
+    both = written(both, "fold-rows")
+    stages, inputs, categories = _preparation(both.where(~F.col(CHECK)).drop(CHECK), both, target_col, most_labels, bins)
+    prepared = PipelineModel(stages).transform(both).select(FEATURES, F.col(target_col).cast("double").alias(LABEL), CHECK)
+    return TreeInputs(stages, inputs, categories, written(prepared, "fold-inputs"))
+
+
+def fit_trees(inputs: TreeInputs, model: Model) -> PipelineModel:
+    """ML-1: boosted regression trees on prepared rows, as many as had the lowest validation error.
 
     Trees are added until the error has not fallen for ``early_stopping_rounds`` trees (200 unless given) or
-    ``n_estimators`` (2000 unless given) is reached. Spark cannot go on from a fitted model, so the number of trees is
-    doubled from fit to fit; the same seed gives the same first trees. A last fit keeps those up to the best one.
+    ``n_estimators`` (2000 unless given) is reached. No tree is fitted twice.
     """
     check_framework(model)
     params = spark_params(model.params)
-    train = train.where(F.col(target_col).isNotNull())
-    rows = train.withColumn(_VAL, F.lit(False)).unionByName(
-        val.where(F.col(target_col).isNotNull()).withColumn(_VAL, F.lit(True))
-    )
-    stages, _ = _preparation(train, rows, target_col)
-    categories = max(
-        [len(labels) + 1 for stage in stages if hasattr(stage, "labelsArray") for labels in stage.labelsArray], default=0
-    )
-    params["maxBins"] = max(int(params.get("maxBins", 32)), categories)
+    params["maxBins"] = max(int(params.get("maxBins", 32)), inputs.categories)
     most = params.pop("maxIter", DEFAULT_TREES)
-    params.setdefault("stepSize", DEFAULT_RATE)
+    rate = float(params.pop("stepSize", DEFAULT_RATE))
     patience = int(model.params.get("early_stopping_rounds", DEFAULT_PATIENCE))
-    prepared = PipelineModel(stages).transform(rows).select(_FEATURES, F.col(target_col).cast("double").alias("_y"), _VAL)
-    fit_rows, check_rows = prepared.where(~F.col(_VAL)), prepared.where(F.col(_VAL))
-
-    def fit(trees: int):
-        learner = GBTRegressor(featuresCol=_FEATURES, labelCol="_y", predictionCol="prediction", maxIter=trees, **params)
-        return learner.fit(fit_rows)
-
-    checkable = not check_rows.isEmpty()
-    trees = most if not checkable else min(most, max(32, patience))
-    while True:
-        fitted = fit(trees)
-        if not checkable:
-            break
-        best = best_iteration(fitted.evaluateEachIteration(check_rows, "squared"), patience)
-        if trees == most or best + patience <= trees:
-            fitted = fitted if best == trees else fit(best)
-            break
-        trees = min(most, 2 * trees)
-    return PipelineModel([*stages, fitted])
-
-
-def best_iteration(errors: Sequence[float], patience: int) -> int:
-    """Number of trees with the lowest error before the first run of ``patience`` trees that brings nothing better."""
-    best = 0
-    for k, error in enumerate(errors):
-        if error < errors[best]:
-            best = k
-        elif k - best >= patience:
-            break
-    return best + 1
+    fitted, _ = grow(inputs.rows, params, most, rate, patience)
+    return PipelineModel([*inputs.stages, fitted])
+
+
+def train_model(train: DataFrame, val: DataFrame, target_col: str, model: Model) -> PipelineModel:
+    """ML-1 in one step: prepare the rows and fit."""
+    check_framework(model)
+    return fit_trees(tree_inputs(train, val, target_col), model)
 
 
 def predict(model: PipelineModel, features: DataFrame) -> DataFrame:
@@ -183,7 +221,8 @@ def feature_importance(model: PipelineModel) -> list[tuple[str, float]]:
     assembler = next(stage for stage in model.stages if isinstance(stage, VectorAssembler))
     weights = model.stages[-1].featureImportances.toArray()
     total: dict[str, float] = {}
-    for name, weight in zip(assembler.getInputCols(), weights, strict=True):
+    # The vector ends with the last column that any tree splits on.
+    for name, weight in itertools.zip_longest(assembler.getInputCols(), weights, fillvalue=0.0):
         column = name.removeprefix("_missing_").removeprefix("_x_")
         total[column] = total.get(column, 0.0) + float(weight)
     return sorted(total.items(), key=lambda item: (-item[1], item[0]))

@@ -64,3 +64,16 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = os.path.join(shared_folder(spark), f"{label}-{uuid.uuid4().hex}")
     df.write.mode("error").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(df: DataFrame) -> None:
+    """Remove a table that ``written`` made, once its last reader is done. Tables elsewhere are left alone."""
+    spark = df.sparkSession
+    folders = {os.path.dirname(file) for file in df.inputFiles()}
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    shared = hadoop.Path(shared_folder(spark))
+    files = shared.getFileSystem(spark._jsc.hadoopConfiguration())
+    for folder in folders:
+        path = hadoop.Path(folder)
+        if files.makeQualified(path).getParent().equals(files.makeQualified(shared)):
+            files.delete(path, True)

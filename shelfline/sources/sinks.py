@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from typing import Any
 
@@ -62,40 +63,77 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether a table was written there to its end."""
+    return _exists(spark, os.path.join(path, "_SUCCESS"))
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
 class RunRecords:
-    """SNK-4: what a run was and what came out of it, appended to tables keyed by ``run_id``."""
+    """SNK-4: what a run was and what came out of it, in tables keyed by ``run_id``.
+
+    A table of a run, or one fold's part of it, is written to a folder that readers pass over and published by one rename. What
+    is published again takes the place of what was there: a step that is tried again doubles nothing, and a step that broke off
+    shows nothing.
+    """
 
     def __init__(self, spark: SparkSession, root: str, run_id: str):
         self.spark = spark
         self.root = root
         self.run_id = run_id
 
-    def _append(self, name: str, df: DataFrame) -> None:
-        df.withColumn("run_id", F.lit(self.run_id)).write.mode("append").parquet(os.path.join(self.root, name))
+    def _where(self, name: str, part: int | None) -> str:
+        return os.path.join(self.root, name, f"run_id={self.run_id}", "part=all" if part is None else f"part={part}")
+
+    def publish(self, name: str, df: DataFrame, part: int | None = None) -> None:
+        staged = os.path.join(self.root, "_staged", uuid.uuid4().hex)
+        df.write.parquet(staged)
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        source, target = hadoop.Path(staged), hadoop.Path(self._where(name, part))
+        files = target.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        files.mkdirs(target.getParent())
+        files.delete(target, True)
+        if not files.rename(source, target):
+            raise OSError(f"{target} could not be published")
+
+    def has(self, name: str, part: int | None = None) -> bool:
+        return _exists(self.spark, self._where(name, part))
 
     def config(self, config_json: str) -> None:
-        self._append("config", self.spark.createDataFrame([(config_json,)], "config string"))
+        self.publish("config", self.spark.createDataFrame([(config_json,)], "config string"))
 
-    def fold_scores(self, scores: DataFrame) -> None:
-        self._append("fold_scores", scores)
+    def fold_scores(self, scores: DataFrame, fold: int | None = None) -> None:
+        self.publish("fold_scores", scores, fold)
 
     def cv_summary(self, summary: DataFrame) -> None:
-        self._append("cv_summary", summary)
+        self.publish("cv_summary", summary)
 
     def catalogue(self, features: DataFrame) -> None:
-        self._append("catalogue", feature_catalogue(features))
+        self.publish("catalogue", feature_catalogue(features))
 
-    def importance(self, importance: DataFrame) -> None:
-        self._append("importance", importance)
+    def importance(self, importance: DataFrame, fold: int | None = None) -> None:
+        self.publish("importance", importance, fold)
 
     def sweep(self, trials: DataFrame, by_fold: DataFrame, best: Mapping[str, Any]) -> None:
         """Trial history, scores of the best trial by fold, and the best parameters. Only called when a sweep ran."""
-        self._append("trials", trials)
-        self._append("best_by_fold", by_fold)
-        self._append("best_params", self.spark.createDataFrame([(json.dumps(dict(best)),)], "params string"))
+        self.publish("trials", trials)
+        self.publish("best_by_fold", by_fold)
+        self.publish("best_params", self.spark.createDataFrame([(json.dumps(dict(best)),)], "params string"))
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(os.path.join(self.root, name)).where(F.col("run_id") == self.run_id)
+        """The published rows of this run."""
+        whole = self.spark.read.parquet(os.path.join(self.root, name, f"run_id={self.run_id}", "part=*"))
+        return whole.withColumn("run_id", F.lit(self.run_id))
+
+    def parts(self, name: str, schema: str) -> DataFrame:
+        """The same without ``run_id``; no rows if nothing is published."""
+        if not _exists(self.spark, os.path.join(self.root, name, f"run_id={self.run_id}")):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(os.path.join(self.root, name, f"run_id={self.run_id}", "part=*"))
 
 
 def importance_table(spark: SparkSession, rows: Sequence[tuple[int, str, float]]) -> DataFrame:

@@ -18,7 +18,8 @@ from shelfline.operators.folds import Fold
 from shelfline.plans.backtest import prepare, run_backtest, store_prepared
 from shelfline.plans.features import make_features, slice_features
 from shelfline.plans.fold_features import FoldFeatures
-from shelfline.plans.model import best_iteration, feature_importance, merge_params, model_inputs, predict, spark_params, train_model
+from shelfline.plans.boosting import best_iteration
+from shelfline.plans.model import feature_importance, merge_params, model_inputs, predict, spark_params, train_model
 from shelfline.plans.sweep import SEARCH_SPACE, run_sweep, should_prune, suggest_params
 from shelfline.sources.sinks import FoldCache, RunRecords, load_model, save_features, save_model
 from shelfline.sources.tables import load_tables

@@ -85,7 +85,7 @@ def test_promo_keys_and_collisions(spark):
         "date date, store_nbr int, item_nbr int, onpromotion boolean, unit_sales double, kind string, n int",
     )
     out = join_oil_promos(sales, None, full, promos_order=["n"])
-    assert out.columns == ["date", "store_nbr", "item_nbr", "unit_sales", "onpromotion", "promo_unit_sales", "kind"]
+    assert out.columns == ["date", "store_nbr", "item_nbr", "unit_sales", "onpromotion", "promo_unit_sales", "kind", "n"]
     assert column(out, "onpromotion") == [True, None]
     assert column(out, "promo_unit_sales") == [8.0, None]
     kept = join_oil_promos(sales, None, full, overwrite_onpromotion=False, promos_order=["n"])
