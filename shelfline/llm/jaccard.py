@@ -9,8 +9,8 @@ short. Heavy sets are entered in the inverted lists of their first shingles; lig
 which says more than one shingle at the price of more entries. The boundary is where both cost the same, from the mean length
 of the shared lists. Sets near the boundary are entered in both ways.
 
-Entries whose key no other class has are dropped first. The least set of every remaining list is its head, and every set is
-verified against the few heads that it meets most often; this joins groups of near copies by stars, not by all pairs. Then
+Entries whose key no other class has are dropped first. In every remaining list the set with the fewest rare shingles is the
+head, and every set is verified against the few heads that it meets most often; this joins groups of near copies by stars, not by all pairs. Then
 entries of different components are compared: those outside a list's largest component with all others of the list. Nothing is capped: a key of
 any frequency is joined, and the joins are split where they are skewed.
 
@@ -37,12 +37,12 @@ PERCENT = 75
 #: Most frequent shingles that the order knows by frequency; others are ordered by hash. It bounds the broadcast.
 ORDERED = 400_000
 #: Entries that a bucket of the first exchange holds on average.
-BUCKET = 200_000
+BUCKET = 100_000
 #: Largest boundary between light and heavy sets.
 LIGHT_MOST = 64
 #: List heads that a set is compared with in the first round; all other pairs wait for the second.
 HEADS = 4
-_HOLD = 1 << 21
+_HOLD = 1 << 20
 
 
 def _i64(values: np.ndarray) -> pa.Array:
@@ -234,11 +234,14 @@ def shared_entries(docs: DataFrame, order: Order, light: int, entries: int) -> D
 
 
 def _possible(a: str, b: str):
-    """Whether two entries of a list may link: by sizes, and by what can follow the shared shingle."""
+    """Whether two entries of a list may be the first shingle that two linked sets share: by sizes, and by what follows it.
+
+    All that the sets share stands at or behind the first shared shingle in both of them, so the shorter rest bounds it. Every
+    linked pair passes at its first shared shingle; at later ones it need not.
+    """
     na, nb, pa_, pb = (F.col(f"{x}.{c}") for c in ("n", "place") for x in (a, b))
-    most = F.least(pa_, pb) + 1 + F.least(na - 1 - pa_, nb - 1 - pb)
-    overlap = (100 + PERCENT) * most >= PERCENT * (na + nb)
-    return (100 * na >= PERCENT * nb) & (100 * nb >= PERCENT * na) & ((pa_ < 0) | (pb < 0) | overlap)
+    rest = (100 + PERCENT) * F.least(na - pa_, nb - pb) >= PERCENT * (na + nb)
+    return (100 * na >= PERCENT * nb) & (100 * nb >= PERCENT * na) & ((pa_ < 0) | (pb < 0) | rest)
 
 
 def plausible(pairs: DataFrame, lists: DataFrame, light: int) -> DataFrame:
@@ -300,8 +303,9 @@ def set_links(docs: DataFrame, known: DataFrame) -> DataFrame:
     entries = known.where("n_shingles > 0").agg(F.coalesce(F.sum(count), F.lit(0)).cast("long").alias("n")).first()["n"]
     lists = written(shared_entries(docs, order, light, entries), "lists")
 
-    # First every set against the heads of its lists, of which it takes those that it meets most often.
-    centre = lists.groupBy("key").agg(F.min(F.struct("set_id", "n", "place")).alias("c"), F.count(F.lit(1)).alias("k"))
+    # First every set against the heads of its lists, of which it takes those that it meets most often. A list's head is the set
+    # that has the fewest rare shingles before the key: the copy with the fewest changes of its own.
+    centre = lists.groupBy("key").agg(F.min(F.struct("place", "set_id", "n")).alias("c"), F.count(F.lit(1)).alias("k"))
     centre = centre.where("k > 1").select("key", F.col("c.*"))
     star = lists.alias("a").join(centre.alias("b"), "key").where((F.col("a.set_id") != F.col("b.set_id")) & _possible("a", "b"))
     met = star.groupBy(F.col("a.set_id").alias("own"), F.col("b.set_id").alias("head")).agg(F.count(F.lit(1)).alias("k"))
