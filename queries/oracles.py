@@ -580,5 +580,29 @@ SELECT e.date, e.store_nbr, e.item_nbr, CAST(e.onpromotion IS NULL AS DOUBLE) AS
 FROM enriched e JOIN folds ON folds.fold = 0 AND (e.date BETWEEN train_start AND train_end OR e.date BETWEEN val_start AND val_end)
 LEFT JOIN codes_family f ON f.family = e.family LEFT JOIN codes_city c ON c.city = e.city LEFT JOIN codes_state t ON t.state = e.state"""
 
+CHANGED_DAY = "1997-06-15"
+FOLD_CACHE_REUSE = with_(SALES, FOLDS) + f"""
+SELECT DISTINCT date, date = DATE '{CHANGED_DAY}' AS rebuilt FROM sales
+WHERE date <= (SELECT max(train_end) FROM folds)"""
+
+NEW_DAYS = 14
+NEW_DAY_FEATURES = f"SELECT * FROM ({FEATURE_MATRIX}) WHERE date > (SELECT CAST(max(l_shipdate) AS DATE) - {NEW_DAYS} FROM lineitem)"
+
+CSV_TOLERANT = with_(SALES) + """
+SELECT date, CAST(store_nbr AS INTEGER) AS store_nbr, item_nbr, unit_sales, onpromotion FROM sales WHERE item_nbr % 2 = 0"""
+
+PROFILE_RANGE = PROFILE.replace("FROM enriched", "FROM ranged").replace(
+    "SELECT 'shape' AS section", f", ranged AS (SELECT * FROM enriched WHERE date BETWEEN {LO} AND {HI})\nSELECT 'shape' AS section", 1
+).replace("USING (store_nbr))\n,", "USING (store_nbr)),\n")
+
+WINDOWS_CUT = over_sales([*lags([1, 28]), *rolling([1], [7, 28]), *expanding([1, 7])])
+
+ALIGNED_JOIN = with_(SALES, STORES) + "SELECT sales.*, city, state FROM sales LEFT JOIN stores USING (store_nbr)"
+RESOLVED_GROUPS = with_(SALES) + "SELECT store_nbr, sum(unit_sales) AS unit_sales, count(*) AS n FROM sales GROUP BY 1"
+STORED_MODEL = with_(SALES, FOLDS, naive_scores()) + """
+SELECT s.date, s.store_nbr, s.item_nbr, ROUND(coalesce(w.total / w.known, o.mean), 6) AS prediction
+FROM sales s JOIN folds f ON s.date BETWEEN f.val_start AND f.val_end AND f.fold = 0 JOIN overall_scores o ON o.fold = 0
+     LEFT JOIN week_scores w ON w.fold = 0 AND w.week = extract(week FROM s.date)"""
+
 CSV_LOAD = with_(SALES) + """
 SELECT date, CAST(store_nbr AS INTEGER) AS store_nbr, item_nbr, unit_sales, onpromotion FROM sales"""

@@ -7,8 +7,9 @@ import functools
 import os
 import random
 import uuid
+import warnings
 from collections.abc import Callable
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
@@ -35,7 +36,7 @@ from shelfline.operators.fill import (
 )
 from shelfline.operators.folds import Fold, build_rolling_windows, collect_folds, embargo_days, feasibility, rows_of_folds
 from shelfline.operators.metrics import aggregate_fold_scores, evaluate_metrics, to_long
-from shelfline.operators.profile import check_features
+from shelfline.operators.profile import check_features, profile_from_states, profile_states
 from shelfline.operators.promotions import (
     add_days_since_last_promo,
     add_days_until_next_promo,
@@ -43,7 +44,7 @@ from shelfline.operators.promotions import (
     add_promo_streak,
     process_promotions,
 )
-from shelfline.operators.relational import keep_one
+from shelfline.operators.relational import aligned, attach_measured, keep_one, require_unique, resolve_group_cols
 from shelfline.operators.seasonality import (
     add_regular_coeff_m,
     add_regular_coeff_w,
@@ -51,17 +52,28 @@ from shelfline.operators.seasonality import (
     add_seasonal_idx_w,
     create_seasonality_features,
 )
-from shelfline.operators.series import first_rows, make_expanding, make_lag, make_rolling
+from shelfline.operators.series import (
+    STATS,
+    add_series_features,
+    expanding_feature,
+    first_rows,
+    lag_feature,
+    make_expanding,
+    make_lag,
+    make_rolling,
+    rolling_feature,
+)
 from shelfline.operators.slicing import date_bounds, drop_target_cols, slice_by_date, unique_dates
 from shelfline.plans.backtest import BacktestResult, run_backtest
+from shelfline.plans.feature_state import StatefulFeatures
 from shelfline.plans.features import make_features, slice_features
 from shelfline.plans.fold_features import FoldFeatures
-from shelfline.plans.learners import SeasonalNaive
+from shelfline.plans.learners import FittedSeason, SeasonalNaive
 from shelfline.plans.model import feature_importance, predict, train_model, tree_inputs
 from shelfline.plans.sweep import STARTUP_TRIALS, run_sweep, suggest_params, trial_states
-from shelfline.session import shared_folder, written
+from shelfline.session import MAX_GROUP_ROWS, shared_folder, written
 from shelfline.sources.sinks import RunRecords, importance_table, save_features
-from shelfline.sources.tables import load_tables
+from shelfline.sources.tables import load_tables, read_tolerant
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -397,6 +409,25 @@ def calendar_gap_sample(spark: SparkSession, d: str) -> DataFrame:
     return check_missing_dates_full_range(v.oil(spark, d), v.sales(spark, d)).sample
 
 
+@query(sql.ALIGNED_JOIN)
+def aligned_join(spark: SparkSession, d: str) -> DataFrame:
+    """PRJ-10, JOIN-7: stores whose key is written as text, brought to the type of the sales' key and checked to be unique."""
+    rows = v.sales(spark, d)
+    stores = aligned(v.stores(spark, d).withColumn("store_nbr", F.col("store_nbr").cast("string")), rows, ["store_nbr"])
+    require_unique(stores, ["store_nbr"], "stores")
+    return attach_measured(rows, stores, ["store_nbr"])
+
+
+@query(sql.RESOLVED_GROUPS)
+def resolved_groups(spark: SparkSession, d: str) -> DataFrame:
+    """PRJ-4: totals by those of the wanted group columns that the table has."""
+    rows = v.sales(spark, d)
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        groups = resolve_group_cols(rows, ["store_nbr", "warehouse"])
+    return rows.groupBy(*groups).agg(F.sum("unit_sales").alias("unit_sales"), F.count(F.lit(1)).alias("n"))
+
+
 # --- Folds, scores and profiles -------------------------------------------------------------------------------------
 
 
@@ -512,6 +543,84 @@ def csv_load(spark: SparkSession, d: str) -> DataFrame:
     return load_tables(spark, {"train": path})["train"]
 
 
+@query(sql.CSV_TOLERANT)
+def csv_load_tolerant(spark: SparkSession, d: str) -> DataFrame:
+    """SRC-3: a folder of CSV files of which some are cut off, and one holds a broken line, read past both."""
+    folder = os.path.join(shared_folder(spark), f"csv-{uuid.uuid4().hex}")
+    sales = v.sales(spark, d)
+    even = F.col("item_nbr") % 2 == 0
+    sales.where(even).write.option("header", True).csv(os.path.join(folder, "good"))
+    sales.where(~even).coalesce(2).write.option("header", True).option("compression", "gzip").csv(os.path.join(folder, "cut"))
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(folder)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in files.globStatus(hadoop.Path(os.path.join(folder, "cut", "*.gz"))):
+        # A copy that ends in the middle of the file takes its place.
+        source = files.open(status.getPath())
+        half = spark.sparkContext._gateway.new_array(spark._jvm.byte, status.getLen() // 2)
+        source.readFully(0, half)
+        source.close()
+        short = files.create(hadoop.Path(status.getPath().toString().replace("part-", "short-")))
+        short.write(half)
+        short.close()
+        files.delete(status.getPath(), True)
+    line = files.create(hadoop.Path(os.path.join(folder, "good", "more.csv")))
+    line.writeBytes(",".join(sales.columns) + "\n1999-01-01,1\n")
+    line.close()
+    return read_tolerant(spark, "train", os.path.join(folder, "*")).table
+
+
+@query(sql.PROFILE_RANGE)
+def feature_profile_approx(spark: SparkSession, d: str) -> DataFrame:
+    """AGG-10: the profile of a range of days from the stored states of its days."""
+    rows = enriched(spark, d)
+    states = written(profile_states(rows, "unit_sales"), "profile-states")
+    inside = states.where(F.col("_day").between(*[F.lit(date.fromisoformat(x)) for x in SLICE]))
+    return rounded(profile_from_states(inside, rows.schema.fields))
+
+
+@query(sql.FOLD_CACHE_REUSE)
+def fold_cache_reuse(spark: SparkSession, d: str) -> DataFrame:
+    """SNK-2: the days that stored fold features sum again after the sales of one day changed."""
+    sales = v.sales(spark, d)
+    folds = collect_folds(folds_of(sales))
+    path = os.path.join(shared_folder(spark), f"fold-cache-{uuid.uuid4().hex}")
+    FoldFeatures(spark, path, sales, folds, LIGHT_FEATURES, Columns(), "daily").train(folds[0])
+    changed = sales.withColumn("unit_sales", F.when(F.col("date") == F.lit(date.fromisoformat(sql.CHANGED_DAY)), F.col("unit_sales") + 1).otherwise(F.col("unit_sales")))
+    again = FoldFeatures(spark, path, changed, folds, LIGHT_FEATURES, Columns(), "daily")
+    again.train(folds[0])
+    return again.days().select("date", F.col("date").isin(again.rebuilt["days"]).alias("rebuilt"))
+
+
+@query(sql.NEW_DAY_FEATURES)
+def new_day_features(spark: SparkSession, d: str) -> DataFrame:
+    """WIN-1 to WIN-8, FLOW-1: features of the last two weeks from the state that the days before them left."""
+    sales = v.sales(spark, d)
+    last = sales.agg(F.max("date")).first()[0]
+    start = F.lit(last - timedelta(days=sql.NEW_DAYS))
+    path = os.path.join(shared_folder(spark), f"feature-state-{uuid.uuid4().hex}")
+    state = StatefulFeatures(spark, path, Features(), Columns())
+    state.start(sales.where(F.col("date") <= start))
+    return rounded(state.add(sales.where(F.col("date") > start)))
+
+
+@query(sql.WINDOWS_CUT)
+def cut_series_features(spark: SparkSession, d: str) -> DataFrame:
+    """WIN-1, WIN-2, WIN-3 on series that are longer than a task may hold: cut into chunks that carry their state on."""
+    name, _ = MAX_GROUP_ROWS
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "16")
+    try:
+        features = [
+            *[lag_feature("unit_sales", k) for k in (1, 28)],
+            *[rolling_feature("unit_sales", 1, w, s) for s in STATS for w in (7, 28)],
+            *[expanding_feature("unit_sales", k, s) for s in STATS for k in (1, 7)],
+        ]
+        return rounded(written(add_series_features(v.sales(spark, d), features, KEYS), "cut-series"))
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 # --- Models ---------------------------------------------------------------------------------------------------------
 
 #: A few trees on all features and all rows: what is checked is the way, not the forecast.
@@ -539,6 +648,18 @@ def model_inputs(spark: SparkSession, d: str) -> DataFrame:
     return prepared.select("date", *KEYS, *[values[i].alias(name) for name, i in place.items()])
 
 
+@query(sql.STORED_MODEL)
+def stored_model(spark: SparkSession, d: str) -> DataFrame:
+    """SNK-3, ML-2: forecasts of the first fold's validation days by a model that was stored and loaded."""
+    rows = v.sales(spark, d)
+    fold = collect_folds(folds_of(rows))[0]
+    val = slice_by_date(rows, fold.val_range)
+    learner = SeasonalNaive()
+    path = os.path.join(shared_folder(spark), f"model-{uuid.uuid4().hex}")
+    learner.fit(learner.prepare(slice_by_date(rows, fold.train_range), val, "unit_sales")).save(path)
+    return rounded(FittedSeason.load(spark, path).predict(val).select("date", *KEYS, "prediction"))
+
+
 @query()
 def gbt_forecast(spark: SparkSession, d: str) -> DataFrame:
     """ML-1, ML-2: forecasts of the validation slices of all folds."""

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.operators.relational import SOURCE_ORDER, aligned, attach, fits_broadcast, keep_one
+from shelfline.operators.relational import SOURCE_ORDER, aligned, attach, attach_measured, fits_broadcast, keep_one
 from shelfline.schemas import as_date, numeric, require_columns
 
 # Promotion keys, from the most to the least specific.
@@ -84,8 +84,8 @@ def join_promos(
     """JOIN-3 and JOIN-4: promotion columns on the most specific key both tables have; the last row of a key wins.
 
     A clashing ``onpromotion`` replaces that of the sales table unless told otherwise; other clashes are prefixed.
-    Promotion tables can be as long as the sales table, so both sides are shuffled on the key. ``small`` (or a table
-    keyed by date alone) asks for a broadcast, which the measured size must then allow.
+    Promotion tables on the full key can be as long as the sales table, so both sides are shuffled on it, unless ``small`` asks
+    for a measurement. Tables on fewer keys are stored, measured and broadcast if they are small.
     """
     if promos is None or promos.isEmpty():
         return train
@@ -106,8 +106,9 @@ def join_promos(
     side = aligned(as_date(promos).select(*keys, *columns, *[c for c in order if c not in (*keys, *columns)]), train, keys)
     side = keep_one(side, keys, keep="last", order_by=order or None)
     side = side.select(*keys, *[F.col(c).alias(renamed[c]) for c in columns])
-    fits = (small or keys == ["date"]) and fits_broadcast(side)
-    return attach(base, side, keys, small=fits).select(*base.columns, *renamed.values())
+    if keys != PROMO_KEYS[0] or small:
+        return attach_measured(base, side, keys).select(*base.columns, *renamed.values())
+    return attach(base, side, keys, small=False).select(*base.columns, *renamed.values())
 
 
 def join_oil_promos(

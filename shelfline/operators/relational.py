@@ -9,11 +9,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfline.session import BROADCAST_MAX_BYTES, int_setting
+from shelfline.session import BROADCAST_MAX_BYTES, int_setting, written
 
 #: Column that carries the row order of a source file (see ``sources.tables.with_source_order``).
 SOURCE_ORDER = "_source_order"
 
+#: Places to which fact rows without a key are dealt in a shuffled join.
+SPREAD = 1024
+_SPREAD = "_spread"
+
 
 def resolve_group_cols(df: DataFrame, group_cols: Sequence[str] | None) -> list[str]:
     """PRJ-4: the group columns that exist in ``df``; the others are warned about."""
@@ -63,6 +67,10 @@ def measured_bytes(df: DataFrame) -> int:
         if isinstance(field.dataType, (T.StringType, T.BinaryType)):
             fixed += 8
             variable.append(F.coalesce(F.sum(F.octet_length(F.col(field.name)).cast("long")), F.lit(0)))
+        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            # As long as it is spelled out, which is no less than the bytes of most values; 16 more for each row.
+            fixed += 16
+            variable.append(F.coalesce(F.sum(F.octet_length(F.to_json(F.struct(F.col(field.name)))).cast("long")), F.lit(0)))
         else:
             fixed += 16
     total = F.count(F.lit(1)) * F.lit(fixed)
@@ -79,11 +87,27 @@ def fits_broadcast(dim: DataFrame) -> bool:
 def attach(fact: DataFrame, dim: DataFrame, on: Sequence[str], *, small: bool) -> DataFrame:
     """JOIN-7: many-to-one left join on ``on``; ``dim`` must hold one row per key.
 
-    ``small`` states that the size of ``dim`` was measured or is bounded by the calendar. Otherwise the join is left
-    to Spark, which shuffles both sides and splits hot partitions of the fact side at run time.
+    ``small`` states that the size of ``dim`` was measured or is bounded by the calendar. Otherwise both sides are shuffled: Spark
+    splits hot keys of the fact side at run time, and rows without a key, which match nothing, are spread by their content.
     """
     on = list(on)
-    return fact.join(F.broadcast(dim) if small else dim, on, "left")
+    if small:
+        return fact.join(F.broadcast(dim), on, "left")
+    missing = F.lit(False)
+    for key in on:
+        missing = missing | F.col(key).isNull()
+    content = [c for c in fact.columns if _orderable(fact, c)]
+    spread = F.when(missing, F.pmod(F.xxhash64(*content), F.lit(SPREAD)).cast("int")).otherwise(F.lit(0))
+    # Always 0, but no constant: a constant would be taken out of the join's keys.
+    home = F.pmod(F.xxhash64(*on), F.lit(1)).cast("int")
+    joined = fact.withColumn(_SPREAD, spread).join(dim.withColumn(_SPREAD, home), [*on, _SPREAD], "left")
+    return joined.drop(_SPREAD)
+
+
+def attach_measured(fact: DataFrame, dim: DataFrame, on: Sequence[str]) -> DataFrame:
+    """``attach`` of a dimension whose size nothing bounds: it is written once, measured, and then broadcast or shuffled."""
+    stored = written(dim, "dimension")
+    return attach(fact, stored, on, small=fits_broadcast(stored))
 
 
 def require_unique(df: DataFrame, keys: Sequence[str], what: str) -> None:

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfline.operators.relational import attach
+from shelfline.operators.relational import attach, attach_measured
 from shelfline.schemas import as_date, require_columns
 
 # Share of the latest past year, and of all older years together.
@@ -24,6 +24,9 @@ SEASONAL_FEATURES = [
 #: Helper columns of a table of totals.
 _TOTALS = ["_total", "_known", "_first_date"]
 
+#: Marks period columns that were derived from the date, whose number the calendar bounds.
+_DERIVED = "shelfline.derived"
+
 _PERIODS = {"w": ("week_of_year", F.weekofyear), "m": ("month_of_year", F.month)}
 
 
@@ -31,12 +34,9 @@ def _with_period_columns(df: DataFrame, *kinds: str) -> DataFrame:
     """Add ``year`` and the period columns unless the table has them already."""
     require_columns(df, ["date"], "seasonality")
     df = as_date(df)
-    added = {} if "year" in df.columns else {"year": F.year("date")}
-    for kind in kinds:
-        name, value = _PERIODS[kind]
-        if name not in df.columns:
-            added[name] = value("date")
-    return df.withColumns(added) if added else df
+    values = {"year": F.year, **dict(_PERIODS[kind] for kind in kinds)}
+    added = {name: value("date").alias(name, metadata={_DERIVED: True}) for name, value in values.items() if name not in df.columns}
+    return df.select("*", *added.values()) if added else df
 
 
 def _year_range(start_year: int | None, end_year: int | None) -> Column | None:
@@ -129,11 +129,6 @@ def with_coefficient(
     return table.drop("_counted", "_n")
 
 
-def _small(partition_cols: Sequence[str]) -> bool:
-    """Year and period bound the joined table; further partition columns do not."""
-    return not partition_cols
-
-
 def _add_index(df, kind, start_year, end_year, target_col, partition_cols) -> DataFrame:
     df = _with_period_columns(df, kind)
     totals = period_totals(df, [kind], target_col, start_year, end_year, partition_cols)
@@ -144,7 +139,11 @@ def _back(df: DataFrame, table: DataFrame, kinds: Sequence[str], partition_cols:
     """JOIN-10: join a small table of periods back to the rows, keeping the column order."""
     on = [*partition_cols, "year", *[_PERIODS[kind][0] for kind in kinds]]
     added = [c for c in table.columns if c not in on and c not in _TOTALS]
-    joined = attach(df, table.select(*on, *added), on, small=_small(partition_cols))
+    # Year and period that follow from the dates bound the joined table. Further partition columns, or periods that the caller
+    # brought along, do not: then it is measured.
+    derived = not partition_cols and all(df.schema[c].metadata.get(_DERIVED) for c in on)
+    side = table.select(*on, *added)
+    joined = attach(df, side, on, small=True) if derived else attach_measured(df, side, on)
     return joined.select(*df.columns, *added)
 
 

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfline.operators.relational import fits_broadcast
 from shelfline.schemas import as_date, nan_to_null, require_columns
 from shelfline.session import MAX_GROUP_ROWS, int_setting, written
 
@@ -200,12 +201,11 @@ def add_series_features(
     if not keys:
         long_rows, short_rows = (df, None) if df.count() > limit else (None, df)
     else:
-        counts = df.where(_all_known(keys)).groupBy(*keys).count().where(F.col("count") > limit)
-        n_long = counts.count()
-        if n_long:
-            # There are at most rows/limit long series, so this table is small against the rows it selects.
-            long_keys = counts.select(*keys)
-            if n_long <= 100_000:
+        counts = df.where(all_known(keys)).groupBy(*keys).count().where(F.col("count") > limit)
+        # There are at most rows/limit long series, so this table is small against the rows it selects.
+        long_keys = written(counts.select(*keys), "long-series")
+        if not long_keys.isEmpty():
+            if fits_broadcast(long_keys):
                 long_keys = F.broadcast(long_keys)
             long_rows = df.join(long_keys, keys, "left_semi")
             short_rows = df.join(long_keys, keys, "left_anti")
@@ -220,14 +220,14 @@ def add_series_features(
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
-def _all_known(keys: Sequence[str]) -> Column:
+def all_known(keys: Sequence[str]) -> Column:
     known = F.lit(True)
     for key in keys:
         known = known & F.col(key).isNotNull()
     return known
 
 
-def _inputs(features: Sequence[BoundedFeature | RunningFeature]) -> dict[str, BoundedFeature]:
+def bounded_inputs(features: Sequence[BoundedFeature | RunningFeature]) -> dict[str, BoundedFeature]:
     """Bounded columns to compute first, by name: the bounded features and what the running ones read."""
     found: dict[str, BoundedFeature] = {}
     for feature in features:
@@ -238,7 +238,7 @@ def _inputs(features: Sequence[BoundedFeature | RunningFeature]) -> dict[str, Bo
     return found
 
 
-def _guarded(features: Sequence[BoundedFeature | RunningFeature]) -> dict[str, Column]:
+def guarded_columns(features: Sequence[BoundedFeature | RunningFeature]) -> dict[str, Column]:
     """Final form of the guarded features, once their helper columns exist."""
     return {
         f.name: F.when(F.col(f.guard.name), F.col(f.name))
@@ -250,20 +250,21 @@ def _guarded(features: Sequence[BoundedFeature | RunningFeature]) -> dict[str, C
 def _whole_series(df: DataFrame, features: Sequence, keys: list[str], order: list[str]) -> DataFrame:
     """One window partition per series. All windows share the partitioning, so they share one shuffle."""
     running = [f for f in features if isinstance(f, RunningFeature)]
-    known = _all_known(keys)
-    lane = F.when(~known, F.pmod(F.xxhash64(*order), F.lit(_NULL_KEY_LANES)).cast("int"))
+    known = all_known(keys)
+    content = [c.name for c in df.schema.fields if not isinstance(c.dataType, (T.MapType, T.VariantType))]
+    lane = F.when(~known, F.pmod(F.xxhash64(*content), F.lit(_NULL_KEY_LANES)).cast("int"))
     df = df.withColumn(_LANE, lane) if keys else df
     partition = [*keys, _LANE] if keys else [F.lit(0)]
     asc = Window.partitionBy(*partition).orderBy(*order)
     desc = Window.partitionBy(*partition).orderBy(*[F.col(c).desc() for c in order])
 
-    columns = {name: f.build(asc) for name, f in _inputs(features).items()}
+    columns = {name: f.build(asc) for name, f in bounded_inputs(features).items()}
     if running:
         columns[POSITION] = F.row_number().over(asc).cast("long")
     df = df.withColumns(columns)
     run = asc.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rev = desc.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    later = {f.name: f.build(run, rev, lambda _: None) for f in running} | _guarded(features)
+    later = {f.name: f.build(run, rev, lambda _: None) for f in running} | guarded_columns(features)
     df = df.withColumns(later) if later else df
     if keys:
         df = df.withColumns({f.name: F.when(known, F.col(f.name)) for f in features})
@@ -297,7 +298,7 @@ def with_positions(df: DataFrame, keys: list[str], order: list[str], rows_per_pa
 def _cut_series(df: DataFrame, features: Sequence, keys: list[str], order: list[str], limit: int) -> DataFrame:
     """Windows over chunks of consecutive rows, with borrowed neighbours and carried state."""
     running = [f for f in features if isinstance(f, RunningFeature)]
-    inputs = _inputs(features)
+    inputs = bounded_inputs(features)
     back = max([f.back for f in inputs.values()], default=0)
     ahead = max([f.ahead for f in inputs.values()], default=0)
     size = max(limit, back, ahead, 1)
@@ -314,7 +315,7 @@ def _cut_series(df: DataFrame, features: Sequence, keys: list[str], order: list[
     asc = Window.partitionBy(*keys, _CHUNK).orderBy(POSITION)
     desc = Window.partitionBy(*keys, _CHUNK).orderBy(F.col(POSITION).desc())
     bounded = chunked.withColumns({name: f.build(asc) for name, f in inputs.items()}).where(F.col(_HOME))
-    guarded = _guarded(features)
+    guarded = guarded_columns(features)
     bounded = bounded.withColumns(guarded) if guarded else bounded
     if not running:
         return bounded
@@ -387,6 +388,6 @@ def make_expanding(
 
 
 def first_rows(df: DataFrame, n: int, keys: Sequence[str], date_col: str = "date") -> DataFrame:
-    """SRC-4: the first ``n`` rows by date and key, found by position so that no task holds the whole prefix."""
-    rows = with_positions(df, [], [date_col, *keys], int_setting(df.sparkSession, MAX_GROUP_ROWS))
-    return rows.where(F.col(POSITION) <= n).select(*df.columns)
+    """SRC-4: the first ``n`` rows by date and key, equal ones by their content: one pass, of which every task keeps its first ``n``."""
+    hashed = [c.name for c in df.schema.fields if not isinstance(c.dataType, (T.MapType, T.VariantType))]
+    return df.orderBy(date_col, *keys, F.xxhash64(*hashed)).limit(n)
