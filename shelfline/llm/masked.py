@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline.llm.common import LOWER, blocks, mixed, table, utf8, word_hashes, word_spans
-from shelfline.session import written
+from shelfline.session import discard, written
 
 #: Clusters, classes in each, and classes at the end that words outside the vocabulary share by hash.
 CLUSTERS, INSIDE, SHARED = 48, 48, 384
@@ -38,6 +38,8 @@ SMOOTH = 0.5
 BATCH = 4096
 RATE = 0.15
 FAN_IN = 64
+#: Entries of words in hash classes that a pack holds.
+PACK = 1 << 20
 _HOLD = 1 << 21
 
 
@@ -110,7 +112,7 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
         for batch in batches:
             found = words.classes(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)) - WORDS - 1
             own = found >= 0
-            n = np.bincount(found[own], batch.column(1).to_numpy(zero_copy_only=False)[own], SHARED)
+            n = np.bincount(found[own], batch.column(1).to_numpy(zero_copy_only=False)[own], SHARED).astype(np.float64)
             distinct = np.bincount(found[own], minlength=SHARED)
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(SHARED)), pa.array(n), pa.array(distinct, pa.int64())], names=["class", "n", "words"])
 
@@ -190,10 +192,13 @@ class Network:
         logits = hidden @ self.cluster + self.cluster_bias
         for c, lo, hi in parts:
             own = hidden[lo:hi] @ self.inside[c] + self.inside_bias[c]
-            rows = np.arange(hi - lo)
-            found[lo:hi] = own[rows, target[lo:hi] - c * INSIDE] + logits[lo:hi, c]
+            # Less the largest, so that no exponential grows beyond its type.
+            own -= own.max(axis=1, keepdims=True)
+            found[lo:hi] = own[np.arange(hi - lo), target[lo:hi] - c * INSIDE] + logits[lo:hi, c]
             found[lo:hi] -= np.log(np.exp(own, out=own).sum(axis=1))
-        found -= np.log(np.exp(logits, out=logits).sum(axis=1))
+        most = logits.max(axis=1, keepdims=True)
+        logits -= most
+        found -= np.log(np.exp(logits, out=logits).sum(axis=1)) + most[:, 0]
         out = np.empty_like(found)
         out[order] = found
         return out
@@ -278,6 +283,7 @@ def train(docs: DataFrame, words: Vocabulary, seed: int = 11) -> Network:
         state = _pass(classes, network.state(), step)
         if state is not None:
             network.resume(state)
+    discard(classes)
     return network
 
 
@@ -308,24 +314,50 @@ def _pass(classes: DataFrame, start: bytes, step: int) -> bytes | None:
     schema = "part long, weight double, flat binary"
     copies = written(classes.mapInArrow(run, schema), "copies")
     while copies.count() > 1:
-        copies = written(copies.groupBy(F.expr(f"part div {FAN_IN}")).applyInArrow(averaged, schema), "copies")
+        before, copies = copies, written(copies.groupBy(F.expr(f"part div {FAN_IN}")).applyInArrow(averaged, schema), "copies")
+        discard(before)
     last = copies.first()
+    discard(copies)
     shared.unpersist()
     return None if last is None else bytes(last["flat"])
 
 
+def _packed(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]], base: int) -> list[bytes]:
+    """Distinct words ascending, how many entries each has, and the entries' documents and times in this order."""
+    rows, word, times = (np.concatenate(x) for x in zip(*parts, strict=True))
+    order = np.argsort(word, kind="stable")
+    word = word[order]
+    cut = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+    runs = np.diff(np.append(cut, len(word)))
+    blobs = (word[cut].astype("<u8"), runs.astype("<u4"), (rows[order] - base).astype("<u4"), times[order].astype("<u4"))
+    return [x.tobytes() for x in blobs]
+
+
 def score(docs: DataFrame, network: Network, words: Vocabulary) -> DataFrame:
-    """``doc_id, n_words, log_likelihood, mean_log_likelihood`` of every document."""
+    """``doc_id, n_words, log_likelihood, mean_log_likelihood`` of every document.
+
+    The words in hash classes are looked up in the counts of the corpus by pack: a task packs those of many documents, each
+    distinct word of a pack is joined once, and the pack adds the found values up for its documents. A word of any frequency is
+    in a pack once, so no join grows with the documents that have it.
+    """
     kind = docs.schema["doc_id"].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast((network.flat(), words))
+    blobs = ["words", "runs", "rows", "times"]
+    names = ["row", "doc_id", "n_words", "found", *blobs]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """One row for each document, and one for each of its words in a hash class."""
+        """One row for each document, and one for each pack, named by a row of its own."""
         flat, own_words = shared.value
         model = Network().load(flat)
         row = TaskContext.get().partitionId() << 33
-        names = ["row", "doc_id", "n_words", "found", "word", "times"]
+        base, parts, held, of_ids = row, [], 0, None
+
+        def pack() -> pa.RecordBatch:
+            values = [pa.array([base]), pa.nulls(1, of_ids), pa.nulls(1, pa.int64()), pa.nulls(1, pa.float64())]
+            return pa.RecordBatch.from_arrays([*values, *[pa.array([x], pa.binary()) for x in _packed(parts, base)]], names=names)
+
         for batch in batches:
+            of_ids = batch.column(0).type
             data, offsets = utf8(batch.column(1))
             for lo, hi, d, o in blocks(data, offsets):
                 hashes, first = _words(d, o)
@@ -340,8 +372,8 @@ def score(docs: DataFrame, network: Network, words: Vocabulary) -> DataFrame:
                 n = np.diff(first)
                 sums = total[first[1:]] - total[first[:-1]]
                 rows = row + np.arange(hi - lo)
-                none = pa.nulls(hi - lo, pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(rows), batch.column(0).slice(lo, hi - lo), pa.array(n, pa.int64()), pa.array(sums), none, none], names=names)
+                none = [pa.nulls(hi - lo, pa.binary())] * len(blobs)
+                yield pa.RecordBatch.from_arrays([pa.array(rows), batch.column(0).slice(lo, hi - lo), pa.array(n, pa.int64()), pa.array(sums), *none], names=names)
                 doc = np.repeat(np.arange(len(n)), n)[rare]
                 word = hashes[rare]
                 order = np.lexsort((word, doc))
@@ -350,26 +382,48 @@ def score(docs: DataFrame, network: Network, words: Vocabulary) -> DataFrame:
                 new[1:] = (word[1:] != word[:-1]) | (doc[1:] != doc[:-1])
                 cut = np.flatnonzero(new)
                 times = np.diff(np.concatenate([cut, [len(word)]]))
-                none = pa.nulls(len(cut), pa.int64())
-                of_ids = pa.nulls(len(cut), batch.column(0).type)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(rows[doc[cut]]), of_ids, none, none.cast(pa.float64()), pa.array(word[cut].view(np.int64)), pa.array(times, pa.int64())],
-                    names=names,
-                )
+                if len(cut):
+                    parts.append((rows[doc[cut]], word[cut], times))
+                    held += len(cut)
                 row += hi - lo
+                if held >= PACK:
+                    yield pack()
+                    base, parts, held = row, [], 0
+        if parts:
+            yield pack()
 
-    schema = f"row long, doc_id {kind}, n_words long, found double, word long, times long"
+    schema = f"row long, doc_id {kind}, n_words long, found double, " + ", ".join(f"{b} binary" for b in blobs)
     parts = written(docs.select("doc_id", "text").mapInArrow(run, schema), "scored-words")
-    rare = parts.where(F.col("word").isNotNull()).select("row", "word", "times")
+    packs = parts.where(F.col("words").isNotNull())
+
+    def spelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                own = np.frombuffer(raw.as_buffer(), "<i8")
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), row)), pa.array(own)], names=["row", "word"])
+
+    rare = packs.select("row", "words").mapInArrow(spelled, "row long, word long")
     if words.counts is not None:
         rare = rare.join(words.counts, "word", "left")
     else:
         rare = rare.withColumn("n", F.lit(None).cast("long"))
-    # In whole steps of 2^-32, so that the sum does not depend on the order of its parts.
+    # In whole steps of 2^-32, so that the sum does not depend on the order of its parts. A word never seen has the share of
+    # all unseen words.
     log = F.round(F.log(F.coalesce(F.col("n"), F.lit(0)) + F.lit(SMOOTH)) * 2.0**32).cast("long")
-    # A word never seen has the share of all unseen words.
-    inside = rare.groupBy("row").agg((F.sum(F.col("times") * log) / 2.0**32).alias("inside"))
-    whole = parts.where(F.col("word").isNull()).select("row", "doc_id", "n_words", "found").join(inside, "row", "left")
+
+    def added(pack: pa.Table, found: pa.Table) -> pa.Table:
+        word, log = found["word"].to_numpy().view(np.uint64), found["log"].to_numpy()
+        log = log[np.argsort(word)]
+        base, runs, rows, times = pack["row"][0].as_py(), *(np.frombuffer(pack[b][0].as_buffer(), "<u4") for b in blobs[1:])
+        value = np.repeat(log, runs) * times.astype(np.int64)
+        order = np.argsort(rows, kind="stable")
+        rows, value = rows[order], value[order]
+        cut = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
+        return pa.table({"row": base + rows[cut].astype(np.int64), "inside": np.add.reduceat(value, cut) / 2.0**32})
+
+    found = rare.select("row", "word", log.alias("log")).groupBy("row")
+    inside = packs.select("row", *blobs[1:]).groupBy("row").cogroup(found).applyInArrow(added, "row long, inside double")
+    whole = parts.where(F.col("words").isNull()).select("row", "doc_id", "n_words", "found").join(inside, "row", "left")
     whole = whole.withColumn("log_likelihood", F.col("found") + F.coalesce("inside", F.lit(0.0)))
     return whole.select("doc_id", "n_words", "log_likelihood", (F.col("log_likelihood") / F.greatest("n_words", F.lit(1))).alias("mean_log_likelihood"))
 
