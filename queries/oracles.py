@@ -597,6 +597,7 @@ PROFILE_RANGE = PROFILE.replace("FROM enriched", "FROM ranged").replace(
 
 WINDOWS_CUT = over_sales([*lags([1, 28]), *rolling([1], [7, 28]), *expanding([1, 7])])
 
+PLAIN_SLICE = with_(SALES) + f"SELECT * FROM sales WHERE date BETWEEN {LO} AND {HI}"
 ALIGNED_JOIN = with_(SALES, STORES) + "SELECT sales.*, city, state FROM sales LEFT JOIN stores USING (store_nbr)"
 RESOLVED_GROUPS = with_(SALES) + "SELECT store_nbr, sum(unit_sales) AS unit_sales, count(*) AS n FROM sales GROUP BY 1"
 STORED_MODEL = with_(SALES, FOLDS, naive_scores()) + """

@@ -63,7 +63,7 @@ from shelfline.operators.series import (
     make_rolling,
     rolling_feature,
 )
-from shelfline.operators.slicing import date_bounds, drop_target_cols, slice_by_date, unique_dates
+from shelfline.operators.slicing import date_bounds, drop_target_cols, plain_slice, slice_by_date, unique_dates
 from shelfline.plans.backtest import BacktestResult, run_backtest
 from shelfline.plans.feature_state import StatefulFeatures
 from shelfline.plans.features import make_features, slice_features
@@ -418,6 +418,12 @@ def aligned_join(spark: SparkSession, d: str) -> DataFrame:
     return attach_measured(rows, stores, ["store_nbr"])
 
 
+@query(sql.PLAIN_SLICE)
+def plain_slice_dates(spark: SparkSession, d: str) -> DataFrame:
+    """PRJ-2: a date range without checks."""
+    return plain_slice(v.sales(spark, d), tuple(date.fromisoformat(day) for day in SLICE))
+
+
 @query(sql.RESOLVED_GROUPS)
 def resolved_groups(spark: SparkSession, d: str) -> DataFrame:
     """PRJ-4: totals by those of the wanted group columns that the table has."""

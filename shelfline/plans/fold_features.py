@@ -42,8 +42,6 @@ def _look_ahead() -> list[BoundedFeature]:
     ]
 
 
-#: Parts of the windowed table, dealt by series: a series that changes costs its part.
-BUCKETS = 64
 _BUCKET, _UNIT = "_bucket", "_unit"
 
 
@@ -59,9 +57,11 @@ def data_prints(rows: DataFrame, unit: Column) -> DataFrame:
 class FoldFeatures:
     """SNK-2: training and validation features of folds, stored under ``path`` as they are first needed.
 
-    The folder's name carries the settings; each table knows the fingerprints of the data it was made of. On other data only those
-    buckets of series whose rows changed are windowed again, only changed days are summed again, and a validation slice is made
-    again if one of its days changed. ``rebuilt`` lists what was, by table.
+    The windowed table lies in buckets of series, as many as there are shuffle partitions unless ``buckets`` says otherwise, and
+    dealt by the hash that the windows' shuffle uses: a task writes one bucket, not a piece of each. The folder's name carries the
+    settings; each table knows the fingerprints of the data it was made of. On other data only those buckets of series whose rows
+    changed are windowed again, only changed days are summed again, and a validation slice is made again if one of its days
+    changed. ``rebuilt`` lists what was, by table.
     """
 
     def __init__(
@@ -73,11 +73,13 @@ class FoldFeatures:
         features: Features,
         cols: Columns,
         rows_per_group: str = "check",
+        buckets: int | None = None,
     ):
         self.spark, self.prepared = spark, prepared
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.features, self.cols, self.rows_per_group = features, cols, rows_per_group
         self.span = (min(f.train_start for f in folds), max(f.train_end for f in folds)) if folds else None
-        self.path = os.path.join(path, fingerprint(features, cols, rows_per_group, self.span, sorted(prepared.dtypes), BUCKETS))
+        self.path = os.path.join(path, fingerprint(features, cols, rows_per_group, self.span, sorted(prepared.dtypes), self.buckets))
         self._stored: dict[str, DataFrame] = {}
         self.rebuilt: dict[str, list] = {}
         own_periods = {"year", "week_of_year", "month_of_year"} & set(prepared.columns)
@@ -113,12 +115,12 @@ class FoldFeatures:
             return self._stored["windows"]
         groups = resolve_group_cols(self.prepared, self.cols.group_cols)
         rows = slice_by_date(self.prepared, self.span)
-        bucket = F.pmod(F.xxhash64(*groups), F.lit(BUCKETS)).cast("int") if groups else F.lit(0)
+        bucket = F.pmod(F.hash(*groups), F.lit(self.buckets)) if groups else F.lit(0)
         now = written(data_prints(rows, bucket), "prints")
         changed, gone = self._changed("windows", now)
         where = os.path.join(self.path, "windows")
         if changed:
-            wanted = rows if len(changed) == BUCKETS else rows.where(bucket.isin(changed))
+            wanted = rows if len(changed) == self.buckets else rows.where(bucket.isin(changed))
             made = self._windows(wanted, groups).withColumn(_BUCKET, bucket)
             # Only the folders of these buckets are written anew.
             made.sortWithinPartitions(_BUCKET, "date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(

@@ -47,7 +47,7 @@ FOLDS = [Fold(i, day(0), day(end), day(end + 5), day(end + 12)) for i, end in en
 
 def test_changed_day_costs_its_series_and_its_days(spark, tmp_path):
     df = sales(spark)
-    make = lambda data, name: FoldFeatures(spark, str(tmp_path / name), data, FOLDS, LIGHT_FEATURES, Columns(), "daily")
+    make = lambda data, name: FoldFeatures(spark, str(tmp_path / name), data, FOLDS, LIGHT_FEATURES, Columns(), "daily", 64)
 
     def built(features):
         return [rows_of(side) for f in FOLDS for side in features.build(f)]
@@ -68,7 +68,7 @@ def test_changed_day_costs_its_series_and_its_days(spark, tmp_path):
     gone = make(less, "cache")
     assert built(gone) == built(make(less, "fresh2"))
     assert len(gone.rebuilt["val"]) == 2
-    assert make(df, "cache").path != FoldFeatures(spark, str(tmp_path / "cache"), df, FOLDS, Features(), Columns(), "daily").path
+    assert make(df, "cache").path != FoldFeatures(spark, str(tmp_path / "cache"), df, FOLDS, Features(), Columns(), "daily", 64).path
 
 
 def test_features_of_new_days_equal_those_of_all_rows(spark, tmp_path):
