@@ -140,6 +140,9 @@ class _Library:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
+        # Fetched once: every access makes another object.
+        self.model = self.tokenizer.model
+        self.packed = [struct.pack("<I", i) for i in range(self.tokenizer.get_vocab_size())]
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         with open(path, encoding="utf-8") as file:
@@ -155,14 +158,19 @@ class _Library:
     def _word(self, word: str) -> bytes:
         """One pre-token through the library's own model."""
         letters = word.encode().decode("latin-1").translate(self.letters)
-        ids = [t.id for t in self.tokenizer.model.tokenize(letters)]
-        return struct.pack(f"<{len(ids)}I", *ids)
+        packed = self.packed
+        return b"".join([packed[t.id] for t in self.model.tokenize(letters)])
 
     def _learn(self, piece: str) -> bytes:
         found = self.older.get(piece)
         if found is None:
             core = piece[1:] if piece[0] == " " else piece
-            words = [piece] if core.isalpha() else self.cut.findall(piece)
+            if core.isalpha():
+                words = [piece]
+            elif core[-1] in ".," and core[:-1].isalpha():
+                words = [piece[:-1], piece[-1]]  # letters and the sign behind them are two pre-tokens
+            else:
+                words = self.cut.findall(piece)
             if len(words) == 1:
                 found = self._word(piece)
             else:
@@ -221,8 +229,10 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
             yield _shard(part, seq, ids, names)
 
     ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    # Ties between repeated ids are ordered by a hash of the text, so that a task run again gives the same shards.
-    ordered = ordered.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
+    # Rows of one id, or without one, are dealt and ordered by a hash of the text: no id fills a task, and a task run again gives
+    # the same shards.
+    tie = F.xxhash64("text")
+    ordered = ordered.repartitionByRange("doc_id", tie).sortWithinPartitions("doc_id", tie)
     ordered.mapInArrow(run, SHARD).write.option("compression", "zstd").parquet(path)
 
 
