@@ -23,6 +23,7 @@ Passages of equal 64-bit hashes are taken as equal.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 from collections.abc import Iterator
 
@@ -32,9 +33,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import blocks, mixed, table, utf8, word_hashes
+from shelfline.llm.common import blocks, make_room, mixed, table, utf8, word_hashes
 from shelfline.operators.relational import fits_broadcast
-from shelfline.session import written
+from shelfline.session import discard, written
 
 LENGTH = 400
 #: Bytes whose hash makes a cut, and places on either side in which it is the least.
@@ -53,6 +54,14 @@ _HOLD = 1 << 19
 _BUCKET = 100_000
 
 
+def released(*tables: DataFrame) -> None:
+    """Remove stored tables that nothing reads any more, and let Spark drop the shuffles that made them."""
+    for df in tables:
+        discard(df)
+    gc.collect()
+    tables[0].sparkSession._jvm.System.gc()
+
+
 def _i64(x: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(x).view(np.int64))
 
@@ -144,6 +153,7 @@ def repeated_cuts(staged: DataFrame, spread: int) -> DataFrame:
     """Cuts whose next ``SHORT`` bytes occur at several places."""
 
     def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make_room("suffix")
         parts, held = [], 0
 
         def packed() -> pa.RecordBatch:
@@ -217,13 +227,17 @@ def suffix_order(strings: DataFrame, levels: int = LEVELS) -> DataFrame:
     counted = sample.groupBy(*triple).agg(F.count(F.lit(1)).alias("n"))
     names = running(counted, triple, ["n"]).withColumn("rank", F.col("before_n") + 1).drop("before_n")
     named = written(sample.join(names, triple).select("s", "i", "rank"), "names")
+    released(names)
+    over = [triples, named]
     if levels > 1 and not named.groupBy("rank").count().where("count > 1").isEmpty():
         lower = named.select((F.col("s") * 2 + place - 1).alias("s"), F.floor(F.col("i") / 3).alias("i"), F.col("rank").alias("x"))
         ranked = suffix_order(lower, levels - 1)
+        over.append(ranked)
         side = F.pmod(F.col("s"), F.lit(2))
         named = ranked.select(F.shiftright("s", 1).alias("s"), (F.col("i") * 3 + 1 + side).alias("i"), "rank")
     joined = triples.join(named, ["s", "i"], "left").withColumn("r", F.coalesce("rank", F.lit(0))).drop("rank", "x2")
     joined = written(joined.select("s", "i", "x", "x1", "r", ahead("r", 1), ahead("r", 2)), "merged")
+    released(*over)
     zero = F.sum((place == 0).cast("long")).alias("zero")
     other = F.sum((place != 0).cast("long")).alias("other")
     by_one, by_two = ["x", "r1"], ["x", "x1", "r2"]
@@ -234,7 +248,9 @@ def suffix_order(strings: DataFrame, levels: int = LEVELS) -> DataFrame:
     first = first.select("s", "i", (1 + F.col("before_zero") + F.col("before_other") + F.col("other_two")).alias("rank"))
     second = joined.where(place == 1).join(one, by_one).select("s", "i", (F.col("r") + F.col("before_zero")).alias("rank"))
     third = joined.where(place == 2).join(two, by_two).select("s", "i", (F.col("r") + F.col("zero_two")).alias("rank"))
-    return written(first.unionByName(second).unionByName(third), "ranks")
+    ranks = written(first.unionByName(second).unionByName(third), "ranks")
+    released(joined, one, two)
+    return ranks
 
 
 def _strings(cuts: DataFrame) -> DataFrame:
@@ -327,8 +343,11 @@ def intervals(cuts: DataFrame) -> DataFrame:
 
     kinds = pa.schema([(f.split()[0], pa.int64()) for f in schema.split(", ")])
     found = written(ordered.mapInArrow(run, schema), "order").withColumnRenamed("s", "rep")
+    released(once, ranks)
     placed = strings.select("s", "i", "rid", "at", "gap", "around").join(stands.select("s", "rep"), "s").join(found, ["rep", "i"])
-    return written(placed.select("rid", "at", "gap", "around", "upper", "part", "seq", "trusted"), "intervals")
+    placed = written(placed.select("rid", "at", "gap", "around", "upper", "part", "seq", "trusted"), "intervals")
+    released(strings, stands, found)
+    return placed
 
 
 def tasks_of(found: DataFrame) -> DataFrame:
@@ -357,13 +376,12 @@ def tasks_of(found: DataFrame) -> DataFrame:
 _ASKED = (("key", "<u8"), ("rid", "<i8"), ("at", "<i4"))
 
 
-def repeated_starts(staged: DataFrame, todo: DataFrame, spread: int) -> DataFrame:
-    """``rid, at``: first bytes of passages that are repeated, among those that were to be compared one by one."""
-    lists = todo.where("check").groupBy("rid").agg(F.collect_list(F.struct("at", "gap", "upper")).alias("asked"))
-    lists = written(lists, "asked")
+def repeated_starts(staged: DataFrame, lists: DataFrame, spread: int) -> DataFrame:
+    """``rid, first, last``: first bytes of passages that are repeated, among those that ``lists`` asks to compare one by one."""
     texts = staged.select("rid", "text").join(F.broadcast(lists) if _fits(lists) else lists, "rid", "left")
 
     def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make_room("suffix")
         parts, held = [], 0
 
         def packed() -> pa.RecordBatch:
@@ -444,12 +462,17 @@ def with_spans(docs: DataFrame, text_col: str = "text") -> DataFrame:
     size = slim.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
     spread = max(8, int(size // 60 // _BUCKET) + 1)
     cuts = written(repeated_cuts(slim, spread), "cuts")
-    todo = written(tasks_of(intervals(cuts)), "tasks")
+    placed = intervals(cuts)
+    todo = written(tasks_of(placed), "tasks")
+    released(cuts, placed)
     # Where a cut is sure, all passages that hang on it and end inside the text are repeated.
     first = F.greatest(F.lit(0), F.col("at") - RADIUS - F.least(F.col("gap"), F.lit(REACH)) + 1)
     sure = todo.where("sure").select("rid", first.alias("first"), (F.col("at") - RADIUS).alias("last")).where("last >= first")
-    ranges = repeated_starts(slim, todo, spread).unionByName(sure)
+    lists = todo.where("check").groupBy("rid").agg(F.collect_list(F.struct("at", "gap", "upper")).alias("asked"))
+    lists = written(lists, "asked")
+    ranges = repeated_starts(slim, lists, spread).unionByName(sure)
     spans = written(ranges.groupBy("rid").agg(F.collect_list(F.struct("first", "last")).alias("spans")), "spans")
+    released(todo, lists)
     return staged.join(F.broadcast(spans) if _fits(spans) else spans, "rid", "left")
 
 
