@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfline.llm.common import table, utf8
+from shelfline.llm.common import keep, table, utf8
 
 #: Pieces in each of the two generations that a task remembers; what is forgotten is only encoded again.
 MEMORY_PIECES = 350_000
@@ -84,6 +84,11 @@ class Codec:
         self.memory: dict[str, tuple[int, ...]] = {}
         self.older: dict[str, tuple[int, ...]] = {}
 
+    def forget(self) -> None:
+        """Give up what was learnt from texts; it is only learnt again."""
+        self.memory, self.older = {}, {}
+        self.compatible.clear()
+
     def _merged(self, text: bytes) -> list[bytes]:
         """Plain merging, for short strings: used only to fill the pair table."""
         parts = [text[i : i + 1] for i in range(len(text))]
@@ -190,7 +195,9 @@ _TWO_SPACES = re.compile(r" \s").search
 
 @cache
 def codec(path: str) -> Codec:
-    return Codec(path)
+    found = Codec(path)
+    keep("bpe", found.forget)
+    return found
 
 
 def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:

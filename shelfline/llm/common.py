@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +23,23 @@ _BASE = 0x9E3779B97F4A7C15
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
 
 
+#: What an operator keeps in a Python worker from task to task, and how it is given up.
+_KEPT: dict[str, Callable[[], None]] = {}
+
+
+def keep(owner: str, forget: Callable[[], None]) -> None:
+    """Say how to give up what ``owner`` remembers in this worker."""
+    _KEPT[owner] = forget
+
+
+def make_room(owner: str) -> None:
+    """A task of ``owner`` begins: workers are used again by other operators, whose memories would only take its space."""
+    for other, forget in _KEPT.items():
+        if other != owner:
+            forget()
+    pa.default_memory_pool().release_unused()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import blocks, mixed, shingle_sets, table, utf8
+from shelfline.llm.common import blocks, make_room, mixed, shingle_sets, table, utf8
 from shelfline.llm.graph import components
 from shelfline.operators.relational import fits_broadcast
 from shelfline.session import written
@@ -43,6 +43,8 @@ LIGHT_MOST = 64
 #: List heads that a set is compared with in the first round; all other pairs wait for the second.
 HEADS = 4
 _HOLD = 1 << 20
+#: Sets that a task remembers to have entered; one that comes again later is only entered twice.
+_SEEN = 1 << 18
 
 
 def _i64(values: np.ndarray) -> pa.Array:
@@ -57,6 +59,7 @@ def _fingerprints(value: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 def _sets(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
     """For each block of texts: its rows, all sets, their offsets and fingerprints."""
+    make_room("jaccard")
     for batch in batches:
         data, offsets = utf8(batch.column(column))
         for lo, hi, d, o in blocks(data, offsets):
@@ -199,7 +202,7 @@ def shared_entries(docs: DataFrame, order: Order, light: int, entries: int) -> D
         parts, held, seen = [], 0, set()
         for _, value, first, ids in _sets(batches, 0):
             new = np.array([i not in seen and not seen.add(i) for i in ids.tolist()], bool) & (np.diff(first) > 0)
-            if len(seen) > _HOLD:
+            if len(seen) > _SEEN:
                 seen.clear()
             sizes = np.diff(first)
             value = value[np.repeat(new, sizes)]

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import blocks, table, utf8
+from shelfline.llm.common import blocks, make_room, table, utf8
 
 TRAIN_DOCS = 3000
 FIT_BYTES = 1 << 18
@@ -176,6 +176,7 @@ def score(docs: DataFrame, model: Network | float, name: str = "score") -> DataF
     schema = docs.select(*keep).schema.add(name, "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make_room("quality")
         for batch in batches:
             found = np.full(batch.num_rows, model if isinstance(model, float) else 0.0)
             if not isinstance(model, float):

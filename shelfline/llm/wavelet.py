@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfline.llm.bpe import PRE_TOKENS, byte_letters, cut_pieces, vocabulary_path
-from shelfline.llm.common import table
+from shelfline.llm.common import keep, table
 from shelfline.session import shared_folder
 
 #: Ids after which a shard is closed at the next document end.
@@ -155,6 +155,10 @@ class _Library:
         self.memory: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
+    def forget(self) -> None:
+        """Give up what was learnt from texts; it is only learnt again."""
+        self.memory, self.older = {}, {}
+
     def _word(self, word: str) -> bytes:
         """One pre-token through the library's own model."""
         letters = word.encode().decode("latin-1").translate(self.letters)
@@ -194,7 +198,9 @@ class _Library:
 
 @cache
 def _library(path: str) -> _Library:
-    return _Library(path)
+    found = _Library(path)
+    keep("wavelet", found.forget)
+    return found
 
 
 def _shard(part: int, seq: int, ids: list[bytes], names: list) -> pa.RecordBatch:
