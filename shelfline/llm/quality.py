@@ -69,6 +69,8 @@ class Network:
         groups = self.embed[bytes_].reshape(-1, EMBED * STEP)
         value = groups[:-1] @ self.left
         value += groups[1:] @ self.right
+        # At a text's last place the left part reads padding, and the right part would read the next text.
+        value[edge[1:] * (HALF // STEP) - 1] = 0
         halves = value.reshape(edge[-1], HALF // STEP, FILTERS).max(axis=1)
         # A chunk is a half and the next half of the same text; a text of one half is one chunk.
         chunk = halves.copy()
@@ -107,11 +109,13 @@ class Network:
         cube = value.reshape(len(halves), HALF // STEP, FILTERS)
         best = cube.argmax(axis=1) + (np.arange(len(halves)) * (HALF // STEP))[:, None]
         # Only the best place of each filter in each half gets a gradient.
+        inside = np.ones(len(value), bool)
+        inside[edge[1:] * (HALF // STEP) - 1] = False
         of_left, of_right = np.empty_like(self.left), np.empty_like(self.right)
         of_embed = np.zeros_like(self.embed)
         flat = np.zeros((256, EMBED), np.float32)
         for f in range(FILTERS):
-            where, weight = best[:, f], of_half[:, f]
+            where, weight = best[:, f], of_half[:, f] * inside[best[:, f]]
             of_left[:, f] = weight @ groups[where]
             of_right[:, f] = weight @ groups[where + 1]
             for side, matrix in ((0, self.left), (1, self.right)):
