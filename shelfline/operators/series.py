@@ -251,8 +251,8 @@ def _whole_series(df: DataFrame, features: Sequence, keys: list[str], order: lis
     """One window partition per series. All windows share the partitioning, so they share one shuffle."""
     running = [f for f in features if isinstance(f, RunningFeature)]
     known = all_known(keys)
-    content = [c.name for c in df.schema.fields if not isinstance(c.dataType, (T.MapType, T.VariantType))]
-    lane = F.when(~known, F.pmod(F.xxhash64(*content), F.lit(_NULL_KEY_LANES)).cast("int"))
+    # Rows without a key get no features, so it does not matter with which others they meet.
+    lane = F.when(~known, F.pmod(F.monotonically_increasing_id(), F.lit(_NULL_KEY_LANES)).cast("int"))
     df = df.withColumn(_LANE, lane) if keys else df
     partition = [*keys, _LANE] if keys else [F.lit(0)]
     asc = Window.partitionBy(*partition).orderBy(*order)
