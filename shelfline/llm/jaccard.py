@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import blocks, make_room, mixed, shingle_sets, table, utf8
+from shelfline.llm.common import batches_of, blocks, make_room, mixed, shingle_sets, table, utf8
 from shelfline.llm.graph import components
 from shelfline.operators.relational import fits_broadcast
 from shelfline.session import written
@@ -42,6 +42,8 @@ BUCKET = 100_000
 LIGHT_MOST = 64
 #: List heads that a set is compared with in the first round; all other pairs wait for the second.
 HEADS = 4
+#: Pairs of whole sets that are compared at a time.
+PAIRS = 128
 _HOLD = 1 << 20
 #: Sets that a task remembers to have entered; one that comes again later is only entered twice.
 _SEEN = 1 << 18
@@ -294,7 +296,9 @@ def verified(docs: DataFrame, known: DataFrame, pairs: DataFrame) -> DataFrame:
     members = written(read.select("text").mapInArrow(sets, "set_id long, members binary").dropDuplicates(["set_id"]), "sets")
     of_v = pairs.join(members.select(F.col("set_id").alias("v"), F.col("members").alias("b")), "v")
     both = of_v.join(members.select(F.col("set_id").alias("u"), F.col("members").alias("a")), "u").select("u", "v", "a", "b")
-    return written(both.mapInArrow(compare, "u long, v long"), "verified")
+    # A row holds two whole sets.
+    with batches_of(docs.sparkSession, PAIRS):
+        return written(both.mapInArrow(compare, "u long, v long"), "verified")
 
 
 def set_links(docs: DataFrame, known: DataFrame) -> DataFrame:
