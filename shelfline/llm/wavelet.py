@@ -171,7 +171,7 @@ class _Library:
             core = piece[1:] if piece[0] == " " else piece
             if core.isalpha():
                 words = [piece]
-            elif core[-1] in ".," and core[:-1].isalpha():
+            elif core[-1:] in (".", ",") and core[:-1].isalpha():
                 words = [piece[:-1], piece[-1]]  # letters and the sign behind them are two pre-tokens
             else:
                 words = self.cut.findall(piece)
