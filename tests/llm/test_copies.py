@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -77,6 +78,15 @@ def test_suffix_against_all_windows(spark):
     assert suffix.removal_digests(awkward(spark, rows).limit(0)).count() == 0
 
 
+def test_suffix_asks_once_before_a_wide_gap(spark):
+    # The first cut comes after more bytes than a passage may hold before it: passages there hang on no cut, and occur once.
+    shared = "ab" * 110 + "".join(random.Random(3).choices("abcdefgh ", k=175))
+    rows = [(k, start + shared) for k, start in enumerate(("d" * 80, "ef" * 40, "ghi" * 27))]
+    assert not any(map(any, covered([t for _, t in rows])))
+    found = suffix.removal_digests(awkward(spark, rows)).collect()
+    assert [(r.doc_id, r.n_removed) for r in sorted(found)] == [(0, 0), (1, 0), (2, 0)]
+
+
 def test_suffix_order(spark):
     strings = {-1: [3, 1, 2, 3, 1, 2, 3], 2: [2, 3, 1], -3: [1], -4: [3, 1, 2, 3, 9], 5: [3, 1, 2, 3, 1, 2, 1, 1]}
     rows = [(s, i, x) for s, xs in strings.items() for i, x in enumerate(xs)]
