@@ -162,6 +162,13 @@ def test_positions_are_complete(spark):
     assert [r["_pos"] for r in out] == list(range(1, 51))
 
 
+def test_short_chunks_are_numbered_in_few_ranges(spark):
+    df = random_sales(spark, 4, 50)
+    out = with_positions(df, ["store_nbr"], ["date", "line"], 1).where("store_nbr = 1").orderBy("date", "line")
+    assert [r["_pos"] for r in out.collect()] == list(range(1, 51))
+    assert 1 < len(out.inputFiles()) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_first_rows(tiny_groups):
     df = random_sales(tiny_groups, 6, 40).where("store_nbr IS NOT NULL")
     got = [r["line"] for r in first_rows(df, 17, ["store_nbr", "item_nbr", "line"]).collect()]
