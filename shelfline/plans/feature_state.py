@@ -21,7 +21,7 @@ from shelfline.functions.promo import promo_flag
 from shelfline.operators.promotions import PROMO_FLAG, promo_feature_list
 from shelfline.operators.relational import resolve_group_cols
 from shelfline.operators.seasonality import daily_totals, totals_from_days
-from shelfline.operators.series import POSITION, BoundedFeature, RunningFeature, all_known, bounded_inputs, guarded_columns
+from shelfline.operators.series import POSITION, BoundedFeature, RunningFeature, all_known, bounded_inputs, guarded_columns, spread_series
 from shelfline.plans.features import dressed, target_feature_list
 from shelfline.schemas import as_date, nan_to_null, require_columns
 from shelfline.session import written
@@ -125,6 +125,7 @@ class StatefulFeatures:
         # Rows without a key are no series; they are dealt to many tasks and get no features.
         both = both.withColumn(_LANE, F.when(~series, F.pmod(F.xxhash64("date", self.cols.target), F.lit(_LANES))))
         partition = [*keys, _LANE]
+        both = spread_series(both, partition)
         asc = Window.partitionBy(*partition).orderBy("date")
         bounded = both.withColumns({name: f.build(asc) for name, f in self.inputs.items()}).where(_NEW)
         wide = bounded.withColumns(guarded_columns(self.features)).drop(_NEW)
@@ -150,6 +151,8 @@ class StatefulFeatures:
         needed = rows.select("date", *keys, self.cols.target, PROMO_FLAG).where(all_known(keys))
         if state is not None:
             needed = needed.unionByName(state.tail)
+        if keys:
+            needed = spread_series(needed, keys)
         last = F.row_number().over(Window.partitionBy(*keys or [F.lit(0)]).orderBy(F.desc("date")))
         return needed.withColumn("_last", last).where(F.col("_last") <= max(self.back, 1)).drop("_last")
 

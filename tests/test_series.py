@@ -9,6 +9,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from shelfline.operators import series
 from shelfline.operators.promotions import promo_feature_list, promo_features_all
 from shelfline.operators.series import (
     add_series_features,
@@ -162,6 +163,18 @@ def test_positions_are_complete(spark):
     assert [r["_pos"] for r in out] == list(range(1, 51))
 
 
+def test_series_are_dealt_by_rows(spark, monkeypatch):
+    """The tasks that window series grow with the table, and nothing else changes."""
+    df = random_sales(spark, 12, 40)
+    columns = ["date", *KEYS, "line", "unit_sales_lag_1"]
+    lagged = lambda: make_lag(df, "unit_sales", [1], KEYS, rows_per_group="daily", tiebreak=("line",)).select(*columns)
+    want = sorted(map(str, lagged().collect()))
+    monkeypatch.setattr(series, "_TASK_ROWS", 20, raising=False)
+    assert sorted(map(str, lagged().collect())) == want
+    tasks = {r["task"] for r in lagged().withColumn("task", F.spark_partition_id()).collect()}
+    assert len(tasks) > int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_short_chunks_are_numbered_in_few_ranges(spark):
     df = random_sales(spark, 4, 50)
     out = with_positions(df, ["store_nbr"], ["date", "line"], 1).where("store_nbr = 1").orderBy("date", "line")
