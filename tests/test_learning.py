@@ -47,6 +47,18 @@ def test_growing_gives_the_trees_of_one_fit(spark, monkeypatch, share, subset, b
         assert grown.featureImportances.toArray() == pytest.approx(once.featureImportances.toArray())
 
 
+def test_nothing_is_stored_after_the_last_block(spark, monkeypatch):
+    """What no later tree reads is not written: rows that are stored already, and forecasts of the last block."""
+    stored = []
+    monkeypatch.setattr(boosting, "written", lambda df, label: stored.append(label) or written(df, label))
+    rows = written(model_rows(spark, 200), "rows")
+    monkeypatch.setattr(boosting, "BLOCK", 2)
+    boosting.grow(rows, {"maxDepth": 2, "seed": 1}, 2, 0.5, 100)
+    assert stored == []
+    boosting.grow(rows, {"maxDepth": 2, "seed": 1}, 3, 0.5, 100)
+    assert stored == ["boost"] and rows.count() == 200
+
+
 def test_no_tree_is_fitted_after_patience_ends(spark, monkeypatch):
     monkeypatch.setattr(boosting, "BLOCK", 2)
     fitted = []
