@@ -46,3 +46,22 @@ def test_slices_reach_the_scan(spark, tmp_path):
     plan = plan_of(df.select("date", "unit_sales_lag_1"))
     assert "GreaterThanOrEqual(date" in plan and "LessThanOrEqual(date" in plan
     assert "unused" not in plan and "onpromotion" not in plan
+
+
+def test_sales_of_large_tables_are_dealt_by_rows_before_they_are_summed(spark, tmp_path, monkeypatch):
+    from queries import views
+
+    rows = [(i % 50, i % 7, i % 11, float(i % 5), (i % 3) / 50, (i % 2) / 20) for i in range(2000)] + [(None, None, None, 1.0, 0.0, 0.0)]
+    lines = spark.createDataFrame(rows, "day int, l_suppkey long, l_partkey long, l_quantity double, l_tax double, l_discount double")
+    lines.withColumn("l_shipdate", F.date_add(F.lit("2016-01-01").cast("date"), F.col("day"))).drop("day").write.parquet(str(tmp_path / "lineitem.parquet"))
+    brands = [(i, None if i == 3 else f"Brand#{i % 4}") for i in range(11)]
+    spark.createDataFrame(brands, "p_partkey long, p_brand string").write.parquet(str(tmp_path / "part.parquet"))
+    few = views.sales(spark, str(tmp_path))
+    monkeypatch.setattr(views, "_SMALL_ROWS", 100)
+    monkeypatch.setattr(views, "_TASK_ROWS", 50)
+    many = views.sales(spark, str(tmp_path))
+    # 2,001 rows at 50 a task, in a multiple of the four shuffle partitions; sums are made by these tasks only.
+    assert many.rdd.getNumPartitions() == 44
+    plan = plan_of(many)
+    assert plan.index("REPARTITION_BY_NUM") > plan.rindex("HashAggregate")
+    assert sorted(map(repr, many.collect())) == sorted(map(repr, few.collect()))
