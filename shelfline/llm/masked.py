@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import LOWER, blocks, mixed, table, utf8, word_hashes, word_spans
+from shelfline.llm.common import LOWER, blocks, mixed, table, translated, utf8, word_hashes, word_spans
 from shelfline.session import discard, written
 
 #: Clusters, classes in each, and classes at the end that words outside the vocabulary share by hash.
@@ -44,7 +44,7 @@ _HOLD = 1 << 21
 
 
 def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    lowered = LOWER[data]
+    lowered = translated(data, LOWER)
     starts, ends, first = word_spans(lowered, offsets)
     return word_hashes(lowered, starts, ends), first
 
@@ -171,31 +171,40 @@ class Network:
         return self
 
     def _hidden(self, padded: np.ndarray, at: np.ndarray) -> np.ndarray:
-        total = self.embed[0][padded[at + PLACES[0]]]
+        # Whole rows are copied by ``take``, which is several times as fast as an index.
+        total = self.embed[0].take(padded[at + PLACES[0]], axis=0)
         for k in range(1, len(PLACES)):
-            total += self.embed[k][padded[at + PLACES[k]]]
+            total += self.embed[k].take(padded[at + PLACES[k]], axis=0)
         return np.tanh(total, out=total)
 
     def _by_cluster(self, target: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
-        cluster = target // INSIDE
+        # Two bytes, which are sorted by their digits.
+        cluster = target.astype(np.int16) // np.int16(INSIDE)
         order = np.argsort(cluster, kind="stable")
         edges = np.searchsorted(cluster[order], np.arange(CLUSTERS + 1))
         return order, [(c, int(edges[c]), int(edges[c + 1])) for c in range(CLUSTERS) if edges[c] < edges[c + 1]]
 
+    def _inside_logits(self, hidden: np.ndarray, target: np.ndarray, parts: list[tuple[int, int, int]]) -> np.ndarray:
+        """Of each word, a value for each class of its cluster; all steps that go by rows are then done at once."""
+        own = np.empty((len(hidden), INSIDE), np.float32)
+        for c, lo, hi in parts:
+            np.matmul(hidden[lo:hi], self.inside[c], out=own[lo:hi])
+        own += self.inside_bias.take(target // INSIDE, axis=0)
+        return own
+
     def log_probabilities(self, padded: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Of each word, given the words on both sides."""
         target = padded[at]
         order, parts = self._by_cluster(target)
         at, target = at[order], target[order]
         hidden = self._hidden(padded, at)
-        found = np.empty(len(at), np.float32)
         logits = hidden @ self.cluster + self.cluster_bias
-        for c, lo, hi in parts:
-            own = hidden[lo:hi] @ self.inside[c] + self.inside_bias[c]
-            # Less the largest, so that no exponential grows beyond its type.
-            own -= own.max(axis=1, keepdims=True)
-            found[lo:hi] = own[np.arange(hi - lo), target[lo:hi] - c * INSIDE] + logits[lo:hi, c]
-            found[lo:hi] -= np.log(np.exp(own, out=own).sum(axis=1))
+        own = self._inside_logits(hidden, target, parts)
+        # Less the largest, so that no exponential grows beyond its type.
+        own -= own.max(axis=1, keepdims=True)
+        cluster, every = target // INSIDE, np.arange(len(at))
+        found = own[every, target - cluster * INSIDE] + logits[every, cluster]
+        found -= np.log(np.exp(own, out=own).sum(axis=1))
         most = logits.max(axis=1, keepdims=True)
         logits -= most
         found -= np.log(np.exp(logits, out=logits).sum(axis=1)) + most[:, 0]
@@ -210,20 +219,25 @@ class Network:
         at, target = at[order], target[order]
         hidden = self._hidden(padded, at)
         logits = hidden @ self.cluster + self.cluster_bias
-        chance = np.exp(logits - logits.max(axis=1, keepdims=True))
+        logits -= logits.max(axis=1, keepdims=True)
+        chance = np.exp(logits, out=logits)
         chance /= chance.sum(axis=1, keepdims=True)
         chance[np.arange(len(at)), target // INSIDE] -= 1
         chance /= len(at)
         of_hidden = chance @ self.cluster.T
         of_inside, of_bias = np.zeros_like(self.inside), np.zeros_like(self.inside_bias)
+        own = self._inside_logits(hidden, target, parts)
+        own -= own.max(axis=1, keepdims=True)
+        np.exp(own, out=own)
+        own /= own.sum(axis=1, keepdims=True)
+        own[np.arange(len(at)), target % INSIDE] -= 1
+        own /= len(at)
+        of_own = np.empty_like(of_hidden)
         for c, lo, hi in parts:
-            own = hidden[lo:hi] @ self.inside[c] + self.inside_bias[c]
-            own = np.exp(own - own.max(axis=1, keepdims=True))
-            own /= own.sum(axis=1, keepdims=True)
-            own[np.arange(hi - lo), target[lo:hi] - c * INSIDE] -= 1
-            own /= len(at)
-            of_inside[c], of_bias[c] = hidden[lo:hi].T @ own, own.sum(axis=0)
-            of_hidden[lo:hi] += own @ self.inside[c].T
+            np.matmul(hidden[lo:hi].T, own[lo:hi], out=of_inside[c])
+            of_bias[c] = own[lo:hi].sum(axis=0)
+            np.matmul(own[lo:hi], self.inside[c].T, out=of_own[lo:hi])
+        of_hidden += of_own
         of_sum = of_hidden * (1 - hidden**2)
         gradients = [None, hidden.T @ chance, chance.sum(axis=0), of_inside, of_bias]
         for p, g, s in zip(self.parameters()[1:], gradients[1:], self.squares[1:], strict=True):
@@ -231,13 +245,15 @@ class Network:
             p -= RATE * g / np.sqrt(s)
         for k, place in enumerate(PLACES):
             word = padded[at + place]
-            by = np.argsort(word, kind="stable")
-            cut = np.flatnonzero(np.concatenate([[True], word[by][1:] != word[by][:-1]]))
-            rows = word[by][cut]
-            g = np.add.reduceat(of_sum[by], cut, axis=0)
-            s = self.squares[0][k]
-            s[rows] += g * g
-            self.embed[k][rows] -= RATE * g / np.sqrt(s[rows])
+            by = np.argsort(word.astype(np.int16), kind="stable")
+            word = word[by]
+            cut = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+            rows = word[cut]
+            g = np.add.reduceat(of_sum.take(by, axis=0), cut, axis=0)
+            s = self.squares[0][k].take(rows, axis=0)
+            s += g * g
+            self.squares[0][k][rows] = s
+            self.embed[k][rows] -= RATE * g / np.sqrt(s)
 
 
 def _classes(docs: DataFrame, words: Vocabulary) -> DataFrame:

@@ -3,6 +3,7 @@ from __future__ import annotations
 import os
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -157,3 +158,12 @@ def test_decontamination_judges_each_row(spark):
     kept = corpus_pipeline.benchmark_decontamination(spark, docs, SF_DIR)
     assert kept.columns == docs.columns
     assert sorted((r.doc_id or 0, r.text or "") for r in kept.collect()) == [(0, "another clean text"), (7, "a clean text of its own"), (8, "")]
+
+
+def test_bytes_are_translated_by_a_table():
+    from shelfline.llm import common
+
+    data = np.arange(512, dtype=np.int64).astype(np.uint8)[3:]
+    assert np.array_equal(common.translated(data, common.LOWER), common.LOWER[data])
+    assert common.translated(data, common._SPACE).dtype == bool
+    assert np.array_equal(common.translated(data, common._SPACE), common._SPACE[data])

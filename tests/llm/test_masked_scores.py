@@ -77,3 +77,26 @@ def test_large_weights_stay_finite(spark):
     docs = awkward(spark, [(1, "a b c d"), (2, prose(3, 40))])
     rows = masked.score(docs, model, masked.vocabulary(masked.word_counts(docs))).collect()
     assert all(np.isfinite(r.log_likelihood) for r in rows)
+
+
+def test_step_by_rows_is_a_step_by_clusters():
+    rng = np.random.default_rng(3)
+    network = masked.Network()
+    padded = rng.integers(0, masked.CLASSES, 3000)
+    padded[::3] = 7
+    at = np.arange(4, 2900)
+    for _ in range(3):
+        network.train(padded, at[rng.permutation(len(at))])
+    order, parts = network._by_cluster(padded[at])
+    target = padded[at][order]
+    hidden = network._hidden(padded, at[order])
+    assert np.array_equal(hidden, np.tanh(sum(network.embed[k][padded[at[order] + p]] for k, p in enumerate(masked.PLACES))))
+    own = network._inside_logits(hidden, target, parts)
+    for c, lo, hi in parts:
+        assert np.array_equal(own[lo:hi], hidden[lo:hi] @ network.inside[c] + network.inside_bias[c])
+    # Against all classes at once.
+    found = network.log_probabilities(padded, at)[order]
+    logits = hidden @ network.cluster + network.cluster_bias
+    wide = np.einsum("nd,cdk->nck", hidden, network.inside) + network.inside_bias
+    chance = np.log(np.exp(wide) / np.exp(wide).sum(axis=2, keepdims=True)) + (logits - np.log(np.exp(logits).sum(axis=1, keepdims=True)))[:, :, None]
+    assert np.allclose(found, chance.reshape(len(at), -1)[np.arange(len(at)), target], atol=1e-4)
