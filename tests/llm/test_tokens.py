@@ -81,3 +81,19 @@ def test_shards(spark, library, tmp_path):
     assert first.doc_id is None and len(first.ids) == 4 * first.n_tokens
     wavelet.write_shards(awkward(spark, edge_rows()).limit(0), str(tmp_path / "c"))
     assert wavelet.read_documents(spark, str(tmp_path / "c")).count() == 0
+
+
+def test_words_of_letters_are_the_library_s(library):
+    own = wavelet._library(bpe.vocabulary_path())
+    own.forget()
+    for word in ("a", " a", "Ab", " Zebra", " straße", "naïve", " x1", "!", " .", "\n", "日本"):
+        assert np.frombuffer(own._word(word), "<u4").tolist() == library.encode(word, add_special_tokens=False).ids, word
+    assert own.space == own.letters[32]
+
+
+def test_matrix_of_random_ids_comes_back():
+    rng = np.random.default_rng(5)
+    for n, most in ((1, 1), (513, 2), (5000, 50_000), (3000, 1 << 20)):
+        ids = rng.integers(0, most, n).astype(np.uint32)
+        matrix = wavelet.WaveletMatrix.build(ids)
+        assert matrix.all().tolist() == ids.tolist() == matrix.access(np.arange(n)).tolist()
