@@ -160,6 +160,16 @@ def test_decontamination_judges_each_row(spark):
     assert sorted((r.doc_id or 0, r.text or "") for r in kept.collect()) == [(0, "another clean text"), (7, "a clean text of its own"), (8, "")]
 
 
+def test_a_worker_gives_freed_memory_back(monkeypatch):
+    from shelfline.llm import common
+
+    asked, forgotten = [], []
+    monkeypatch.setattr(common, "_TRIM", asked.append)
+    monkeypatch.setattr(common, "_KEPT", {"a": lambda: forgotten.append("a"), "b": lambda: forgotten.append("b")})
+    common.make_room("a")
+    assert forgotten == ["b"] and asked == [0]
+
+
 def test_bytes_are_translated_by_a_table():
     from shelfline.llm import common
 
