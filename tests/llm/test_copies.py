@@ -88,6 +88,29 @@ def test_suffix_asks_once_before_a_wide_gap(spark):
     assert [(r.doc_id, r.n_removed) for r in sorted(found)] == [(0, 0), (1, 0), (2, 0)]
 
 
+def test_suffix_spans_are_joined(spark):
+    ranges = [(1, 5, 5), (1, 0, 3), (1, 4, 4), (1, 9, 12), (1, 10, 11), (1, 14, 14), (2, 3, 3), (-7, 0, 900), (-7, 2, 2), (-7, 901, 901)]
+    found = suffix.joined_spans(spark.createDataFrame(ranges, "rid long, first long, last long")).collect()
+    assert {r.rid: [tuple(x) for x in r.spans] for r in found} == {1: [(0, 5), (9, 12), (14, 14)], 2: [(3, 3)], -7: [(0, 901)]}
+
+
+def test_suffix_asks_in_groups():
+    data = np.frombuffer(prose(3, 3000).encode(), np.uint8)
+    offsets = np.array([0, len(data) // 3, len(data)])
+    cuts = suffix._block_cuts(data, offsets)
+    asked = {"at": cuts["at"], "gap": cuts["gap"], "upper": np.full(len(cuts["at"]), suffix.FAR)}
+    found = suffix._asked_groups(data, offsets, cuts["doc"], asked)
+    # Every passage is asked once, whether it hangs on a cut or not.
+    places = suffix._expanded(offsets[found["doc"]] + found["at"], found["n"])
+    assert sorted(places) == [k for a, b in zip(offsets, offsets[1:], strict=False) for k in range(a, b - suffix.LENGTH + 1)]
+    found["rid"] = found.pop("doc") + 10
+    sent = suffix._packed_groups([found], 4)
+    assert sum(len(x.as_py()) for f in ("key", "rid", "at", "n", "known") for x in sent.column(f)) < 12 * len(places)
+    # Copies in the same task are sent as ranges, without hashes.
+    twice = suffix._packed_groups([found, {**found, "rid": found["rid"] + 10}], 4)
+    assert sum(len(x.as_py()) for x in twice.column("key")) == 8 * len(set(found["key"].tolist()))
+
+
 def test_suffix_order(spark):
     strings = {-1: [3, 1, 2, 3, 1, 2, 3], 2: [2, 3, 1], -3: [1], -4: [3, 1, 2, 3, 9], 5: [3, 1, 2, 3, 1, 2, 1, 1]}
     rows = [(s, i, x) for s, xs in strings.items() for i, x in enumerate(xs)]
