@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfline.llm.bpe import PRE_TOKENS, byte_letters, cut_pieces, vocabulary_path
-from shelfline.llm.common import keep, table
+from shelfline.llm.common import batches_of, keep, make_room, table
 from shelfline.session import shared_folder
 
 #: Ids after which a shard is closed at the next document end.
@@ -33,6 +33,8 @@ SHARD_TOKENS = 1 << 20
 STEP = 512
 #: Pieces in each of the two generations that a task remembers while encoding.
 MEMORY_PIECES = 450_000
+#: Documents that a task gets from Spark at a time.
+ROWS_A_BATCH = 1000
 
 SHARD = (
     "part int, seq int, n_tokens long, n_docs long, bits int, doc_ids binary, id_known binary, doc_ends binary,"
@@ -226,6 +228,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
     """Tokenise ``docs`` (doc_id, text) in ascending doc_id order and write the shard files under ``path``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make_room("wavelet")
         library = _library(tokenizer or vocabulary_path())
         end = np.array([end_id], "<u4").tobytes()
         part, seq, ids, names, held = TaskContext.get().partitionId(), 0, [], [], 0
@@ -245,7 +248,8 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
     # the same shards.
     tie = F.xxhash64("text")
     ordered = ordered.repartitionByRange("doc_id", tie).sortWithinPartitions("doc_id", tie)
-    ordered.mapInArrow(run, SHARD).write.option("compression", "zstd").parquet(path)
+    with batches_of(docs.sparkSession, ROWS_A_BATCH):
+        ordered.mapInArrow(run, SHARD).write.option("compression", "zstd").parquet(path)
 
 
 def open_shard(row: dict) -> WaveletMatrix:
