@@ -22,10 +22,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfline.llm.common import keep, table, utf8
+from shelfline.llm.common import keep, make_room, table, utf8
 
 #: Pieces in each of the two generations that a task remembers; what is forgotten is only encoded again.
-MEMORY_PIECES = 350_000
+MEMORY_PIECES = 200_000
 
 #: Fixed value: how this vocabulary cuts a text before merging.
 PRE_TOKENS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -212,6 +212,7 @@ def encode_documents(docs: DataFrame, path: str | None = None, text_col: str = "
     schema = docs.select(*keep).schema.add("bpe_ids", "binary").add("bpe_decoded", "string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make_room("bpe")
         coder = codec(path or vocabulary_path())
         for batch in batches:
             texts = batch.column(text_col).to_pylist()
@@ -230,6 +231,7 @@ def encoding_digests(docs: DataFrame, path: str | None = None) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of each document, from encoding and decoding its whole text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make_room("bpe")
         coder = codec(path or vocabulary_path())
         for batch in batches:
             counts, of_ids, of_text = [], [], []

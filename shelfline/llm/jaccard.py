@@ -44,6 +44,9 @@ LIGHT_MOST = 64
 HEADS = 4
 #: Pairs of whole sets that are compared at a time.
 PAIRS = 128
+#: Bytes of text that are worked on at a time, and rows of texts that a task gets from Spark at a time: several arrays of eight
+#: bytes for each byte of text are held at once, and a batch is held by Spark and by the task.
+TEXT_BYTES, ROWS_A_BATCH = 1 << 18, 1000
 _HOLD = 1 << 20
 #: Sets that a task remembers to have entered; one that comes again later is only entered twice.
 _SEEN = 1 << 18
@@ -64,7 +67,7 @@ def _sets(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.R
     make_room("jaccard")
     for batch in batches:
         data, offsets = utf8(batch.column(column))
-        for lo, hi, d, o in blocks(data, offsets):
+        for lo, hi, d, o in blocks(data, offsets, TEXT_BYTES):
             value, first = shingle_sets(d, o)
             yield batch.slice(lo, hi - lo), value, first, _fingerprints(value, first)
 
@@ -293,7 +296,8 @@ def verified(docs: DataFrame, known: DataFrame, pairs: DataFrame) -> DataFrame:
                 keep.append(100 * both >= PERCENT * (len(a) + len(b) - both))
             yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
-    members = written(read.select("text").mapInArrow(sets, "set_id long, members binary").dropDuplicates(["set_id"]), "sets")
+    with batches_of(docs.sparkSession, ROWS_A_BATCH):
+        members = written(read.select("text").mapInArrow(sets, "set_id long, members binary").dropDuplicates(["set_id"]), "sets")
     of_v = pairs.join(members.select(F.col("set_id").alias("v"), F.col("members").alias("b")), "v")
     both = of_v.join(members.select(F.col("set_id").alias("u"), F.col("members").alias("a")), "u").select("u", "v", "a", "b")
     # A row holds two whole sets.
@@ -303,12 +307,14 @@ def verified(docs: DataFrame, known: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def set_links(docs: DataFrame, known: DataFrame) -> DataFrame:
     """Links (u, v) between set ids that leave no two linked sets in different components."""
-    order, scanned = common_order(written(frequencies(docs), "frequencies"))
+    with batches_of(docs.sparkSession, ROWS_A_BATCH):
+        order, scanned = common_order(written(frequencies(docs), "frequencies"))
     light = boundary(scanned)
     first = F.col("n_shingles") - F.ceil(F.col("n_shingles") * PERCENT / 100) + 1
     count = F.when(F.col("n_shingles") <= light, first * (first + 1) / 2).otherwise(first)
     entries = known.where("n_shingles > 0").agg(F.coalesce(F.sum(count), F.lit(0)).cast("long").alias("n")).first()["n"]
-    lists = written(shared_entries(docs, order, light, entries), "lists")
+    with batches_of(docs.sparkSession, ROWS_A_BATCH):
+        lists = written(shared_entries(docs, order, light, entries), "lists")
 
     # First every set against the heads of its lists, of which it takes those that it meets most often. A list's head is the set
     # that has the fewest rare shingles before the key: the copy with the fewest changes of its own.
@@ -343,7 +349,8 @@ def set_links(docs: DataFrame, known: DataFrame) -> DataFrame:
 
 def near_components(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every document."""
-    known = written(classes(docs), "classes")
+    with batches_of(docs.sparkSession, ROWS_A_BATCH):
+        known = written(classes(docs), "classes")
     found = components(set_links(docs, known)).withColumnsRenamed({"node": "set_id"})
     own = known.where("n_shingles > 0").groupBy("set_id").agg(F.min("doc_id").alias("least"))
     own = written(own.join(found, "set_id", "left").withColumn("component", F.coalesce("component", "set_id")), "set-components")
