@@ -47,7 +47,8 @@ PAIRS = 128
 #: Bytes of text that are worked on at a time, and rows of texts that a task gets from Spark at a time: several arrays of eight
 #: bytes for each byte of text are held at once, and a batch is held by Spark and by the task.
 TEXT_BYTES, ROWS_A_BATCH = 1 << 18, 1000
-_HOLD = 1 << 20
+#: Entries that a task holds before it sends them on, and shingles that it counts together.
+_HOLD, COUNTED = 1 << 18, 1 << 21
 #: Sets that a task remembers to have entered; one that comes again later is only entered twice.
 _SEEN = 1 << 18
 
@@ -93,17 +94,21 @@ def frequencies(docs: DataFrame) -> DataFrame:
         _, once = np.unique(ids, return_index=True)
         new = np.zeros(len(ids), bool)
         new[once] = True
-        sizes = np.concatenate([np.diff(p[1]) for p in parts])
-        value = np.concatenate([p[0] for p in parts])[np.repeat(new, sizes)]
-        token, df = np.unique(value, return_counts=True)
-        return pa.RecordBatch.from_arrays([_i64(token[df > 1]), pa.array(df[df > 1])], names=["token", "df"])
+        at = np.cumsum([0, *[len(p[2]) for p in parts]])
+        value = np.concatenate([p[0][np.repeat(new[a:b], np.diff(p[1]))] for p, a, b in zip(parts, at[:-1], at[1:], strict=True)])
+        parts.clear()
+        # In place, and only what is there twice is looked at: the shingles are the most that a task holds.
+        value.sort()
+        again = np.flatnonzero(value[1:] == value[:-1])
+        token, more = np.unique(value[again], return_counts=True)
+        return pa.RecordBatch.from_arrays([_i64(token), pa.array(more + 1)], names=["token", "df"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, held = [], 0
         for _, value, first, ids in _sets(batches, 0):
             parts.append((value, first, ids))
             held += len(value)
-            if held >= 2 * _HOLD:
+            if held >= COUNTED:
                 yield counted(parts)
                 parts, held = [], 0
         if parts:
