@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import random
 
+import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
@@ -14,10 +15,10 @@ from pyspark.sql import functions as F
 from shelfline.config import LIGHT_FEATURES, BacktestConfig, CrossValidation, Model, Sweep
 from shelfline.operators.folds import Fold
 from shelfline.operators.slicing import slice_by_date
-from shelfline.plans import boosting
+from shelfline.plans import boosting, packed
 from shelfline.plans.backtest import run_backtest
 from shelfline.plans.learners import BoostedTrees, FittedSeason, SeasonalNaive
-from shelfline.plans.model import label_index, tree_inputs
+from shelfline.plans.model import fit_trees, label_index, tree_inputs
 from shelfline.plans.sweep import SEARCH_SPACES, STARTUP_TRIALS, ScoreTable, run_sweep, should_prune, suggest_params, trial_states
 from shelfline.session import discard, written
 from shelfline.sources.sinks import RunRecords
@@ -76,6 +77,78 @@ def test_no_tree_is_fitted_after_patience_ends(spark, monkeypatch):
     assert len(model.trees) == boosting.best_iteration(errors, 3)
 
 
+def plain_rows(spark, n=3000):
+    """Numbers, gaps and texts; whole targets, so that sums are exact, and no two inputs that part the rows alike."""
+    rng = random.Random(6)
+    rows = []
+    for i in range(n):
+        a, b, gap, text = rng.random() * 10, rng.choice([0.0, 0.0, 1.5, -2.0]), rng.choice([None, 0.0, 3.0, 4.0]), rng.choice(["u", "v", "w", "x", None])
+        rows.append((day(i % 9), a, b, gap, text, float(round(a * (b + 2) + 5 * (text == "v") + (gap or 0) + rng.gauss(0, 2))), i % 4))
+    return spark.createDataFrame(rows, "date date, a double, b double, gap double, text string, y double, k int").coalesce(1)
+
+
+@pytest.mark.parametrize(("params", "block"), [({"maxDepth": 4}, 16), ({"maxDepth": 5, "featureSubsetStrategy": "0.6", "minInstancesPerNode": 20}, 2), ({"maxDepth": 0}, 16)])
+def test_packed_rows_give_the_trees_of_spark(spark, monkeypatch, params, block):
+    monkeypatch.setattr(boosting, "BLOCK", block)
+    df = plain_rows(spark)
+    inputs = tree_inputs(df.where("k > 0").drop("k"), df.where("k = 0").drop("k"), "y")
+    params = {"seed": 5, "maxBins": 32, **params}
+    grown, errors = packed.grow(inputs.packs(32, 5), params, 5, 0.2, 1000)
+    want, wanted = boosting.grow(inputs.rows, params, 5, 0.2, 1000)
+    assert errors == pytest.approx(wanted, rel=1e-9) and grown.treeWeights == want.treeWeights
+    assert [t.numNodes for t in grown.trees] == [t.numNodes for t in want.trees]
+    assert grown.featureImportances.toArray() == pytest.approx(want.featureImportances.toArray())
+    predictions = [[r[0] for r in m.transform(inputs.rows).select("prediction").collect()] for m in (grown, want)]
+    assert predictions[0] == pytest.approx(predictions[1])
+
+
+def test_fits_share_packs_and_spark_cuts_no_rows_anew(spark, monkeypatch):
+    """Fits of one fold read one set of packs; before, each tree of each fit cut all rows into bins again."""
+
+    def refused(**kwargs):
+        raise AssertionError("rows are cut into bins anew")
+
+    monkeypatch.setattr(boosting, "RandomForestRegressor", refused)
+    made = []
+    real = packed.pack
+    monkeypatch.setattr("shelfline.plans.model.pack", lambda *a: made.append(1) or real(*a))
+    df = plain_rows(spark, 400)
+    inputs = tree_inputs(df.where("k > 0").drop("k"), df.where("k = 0").drop("k"), "y")
+    params = {"n_estimators": 2, "max_depth": 2, "random_state": 7}
+    for extra in ({}, {"feature_fraction": 0.7, "min_data_in_leaf": 30, "min_info_gain": 0.1}):
+        model = fit_trees(inputs, Model(params={**params, **extra}))
+        assert model.transform(df).where("prediction IS NULL").count() == 0
+    assert made == [1]
+
+
+def test_patience_ends_growth_on_packs(spark, monkeypatch):
+    monkeypatch.setattr(boosting, "BLOCK", 2)
+    df = plain_rows(spark, 200)
+    noise = df.where("k = 0").withColumn("y", F.lit(0.0))
+    inputs = tree_inputs(df.where("k > 0").drop("k"), noise.drop("k"), "y")
+    model, errors = packed.grow(inputs.packs(32, 1), {"maxDepth": 3, "seed": 1}, 50, 0.5, 3)
+    assert len(errors) < 50 and len(model.trees) == boosting.best_iteration(errors, 3)
+    alone = tree_inputs(df.drop("k"), df.limit(0).drop("k"), "y")
+    model, errors = packed.grow(alone.packs(32, 1), {"maxDepth": 2, "seed": 1}, 3, 0.5, 1)
+    assert errors == [] and len(model.trees) == 3
+
+
+def test_bins_by_cells_are_those_of_a_search():
+    rng = np.random.default_rng(2)
+    for values in (rng.exponential(50, 5000), rng.integers(0, 300, 5000).astype(float), rng.normal(size=5000) ** 9, np.array([0.0, 5e-324, 1.0])):
+        cut = packed.thresholds_of(values, 64)
+        probe = np.concatenate([values, cut, [-1e300, 1e300, values.min() - 1, values.max() + 1]])
+        assert (packed.bins_of(probe, cut, packed._grid(cut)) == np.searchsorted(cut, probe, side="left")).all()
+
+
+def test_inputs_that_are_not_numbers_are_refused(spark):
+    df = plain_rows(spark, 40)
+    for odd in (float("nan"), float("inf")):
+        bad = df.withColumn("a", F.when(F.col("k") == 1, F.lit(odd)).otherwise(F.col("a")))
+        with pytest.raises(Exception, match="NaN or an infinite value"):
+            tree_inputs(bad.where("k > 0").drop("k"), bad.where("k = 0").drop("k"), "y").packs(32, 1)
+
+
 def test_labels_beyond_the_bound_share_categories(spark):
     """200,000 labels: the driver sees the most frequent ones alone, all others are dealt by hash."""
     many = spark.range(200_000).select(
