@@ -112,6 +112,7 @@ def test_fits_share_packs_and_spark_cuts_no_rows_anew(spark, monkeypatch):
     made = []
     real = packed.pack
     monkeypatch.setattr("shelfline.plans.model.pack", lambda *a: made.append(1) or real(*a))
+    monkeypatch.setattr("shelfline.plans.model.SMALL_ROWS", 100)
     df = plain_rows(spark, 400)
     inputs = tree_inputs(df.where("k > 0").drop("k"), df.where("k = 0").drop("k"), "y")
     params = {"n_estimators": 2, "max_depth": 2, "random_state": 7}
@@ -119,6 +120,11 @@ def test_fits_share_packs_and_spark_cuts_no_rows_anew(spark, monkeypatch):
         model = fit_trees(inputs, Model(params={**params, **extra}))
         assert model.transform(df).where("prediction IS NULL").count() == 0
     assert made == [1]
+    # Fewer rows than that, and trees that sample rows, are left to Spark.
+    few = tree_inputs(df.where("k > 0").limit(100).drop("k"), df.where("k = 0").drop("k"), "y")
+    for given, extra in ((few, {}), (inputs, {"subsample": 0.5})):
+        with pytest.raises(AssertionError, match="cut into bins anew"):
+            fit_trees(given, Model(params={**params, **extra}))
 
 
 def test_patience_ends_growth_on_packs(spark, monkeypatch):
